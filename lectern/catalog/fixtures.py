@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lectern.functions.text import cased_tokens
 from lectern.operators.corpus import dedup_in_order
+from lectern.operators.sparse import Bm25Index, IndexTables, TfidfIndex, build_index
+from lectern.sources.index_store import TableStore
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _key(spark: SparkSession, sf_dir: str) -> dict:
+    """Derived inputs are kept for one application: each run derives its own."""
+    return {"application": spark.sparkContext.applicationId, "input": sf_dir}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return TableStore(spark).load_or_build(name, _key(spark, sf_dir), build)
+
+
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_in_order(table(spark, sf_dir, "documents"))
+    return stored(spark, sf_dir, "passages", lambda: dedup_in_order(table(spark, sf_dir, "documents")))
+
+
+def index(spark: SparkSession, sf_dir: str, method: str) -> TfidfIndex | Bm25Index:
+    tables = IndexTables(TableStore(spark), _key(spark, sf_dir))
+    return build_index(method, passages(spark, sf_dir), tables=tables)
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +49,10 @@ def _anchors(tokens: Column, first: int, last: Column) -> Column:
 
 
 def qa_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "qa_examples", lambda: _qa_examples(spark, sf_dir))
+
+
+def _qa_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, question, context, answers): benchmark texts with the first passage
     that holds them.
 

@@ -80,7 +80,7 @@ def concat_passages(hits: DataFrame, by: str = "qid") -> DataFrame:
 
 def scaled_by_global_max(hits: DataFrame) -> DataFrame:
     top = hits.agg(F.max("score")).scalar()
-    return hits.withColumn("score", F.round(F.col("score") / top, SCORE_DIGITS))
+    return hits.withColumn("score", F.round(F.try_divide("score", top), SCORE_DIGITS))
 
 
 def at_rank(hits: DataFrame, rank: int) -> DataFrame:

@@ -8,11 +8,14 @@ anything moves to the final ranking."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions.text import Tokenizer, unigrams_and_bigrams, whitespace_tokens
 from lectern.operators.corpus import rank_hits
 from lectern.operators.sizing import fits_broadcast, global_top_k, sized_join, top_k
+from lectern.sources.index_store import TableStore
 
 MAX_FEATURES = 50_000
 BM25_K1 = 1.5
@@ -20,6 +23,25 @@ BM25_B = 0.75
 BM25_EPSILON = 0.25
 
 
+class IndexTables:
+    """Where the parts of an index live: recomputed on use, or kept in a store
+    under the corpus key. Tables by passage are bucketed on pid and sorted by
+    term, so scoring a stored index shuffles nothing but the final top-k."""
+
+    def __init__(self, store: TableStore | None = None, key: dict | None = None, buckets: int | None = None):
+        self.store, self.key = store, key or {}
+        self.buckets = buckets
+
+    def plain(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return self.store.load_or_build(name, self.key, build) if self.store else build()
+
+    def by_passage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if not self.store:
+            return build()
+        buckets = self.buckets or int(self.store.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self.store.load_or_build_bucketed(name, self.key, build, "pid", buckets, "term")
+
+
 # -- index ----------------------------------------------------------------
 
 def passage_terms(
@@ -29,7 +51,10 @@ def passage_terms(
     tokens = passages.repartition("pid").select("pid", tokenizer(F.col("text")).alias("tokens"))
     terms: Column = unigrams_and_bigrams(F.col("tokens")) if with_bigrams else F.col("tokens")
     return (
-        tokens.select("pid", F.size("tokens").cast("long").alias("dl"), F.explode(terms).alias("term"))
+        # outer: for an inner explode the optimizer adds a size check below it,
+        # which splits every text a second time
+        tokens.select("pid", F.size("tokens").cast("long").alias("dl"), F.explode_outer(terms).alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("pid", "dl", "term")
         .agg(F.count("*").alias("tf"))
     )
@@ -50,7 +75,10 @@ def question_terms(
     tokens = questions.select("qid", tokenizer(F.col("question")).alias("tokens"))
     terms = unigrams_and_bigrams(F.col("tokens")) if with_bigrams else F.col("tokens")
     return (
-        tokens.select("qid", F.explode(terms).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
+        tokens.select("qid", F.explode_outer(terms).alias("term"))
+        .filter(F.col("term").isNotNull())
+        .groupBy("qid", "term")
+        .agg(F.count("*").alias("qtf"))
     )
 
 
@@ -93,14 +121,16 @@ class TfidfIndex:
         tokenizer: Tokenizer = whitespace_tokens,
         max_features: int = MAX_FEATURES,
         with_bigrams: bool = True,
+        tables: IndexTables | None = None,
     ):
         self.passages = passages
         self.tokenizer = tokenizer
         self.with_bigrams = with_bigrams
-        self.postings = passage_terms(passages, tokenizer, with_bigrams)
+        keep = tables or IndexTables()
+        postings = keep.by_passage("tfidf_postings", lambda: passage_terms(passages, tokenizer, with_bigrams))
         n = passages.agg(F.count("*")).scalar()
-        self.vocabulary = capped_vocabulary(self.postings, n, max_features)
-        self.weights = unit_weights(self.postings, self.vocabulary, "pid", "tf")
+        self.vocabulary = keep.plain("tfidf_vocabulary", lambda: capped_vocabulary(postings, n, max_features))
+        self.weights = keep.by_passage("tfidf_weights", lambda: unit_weights(postings, self.vocabulary, "pid", "tf"))
 
     def question_weights(self, questions: DataFrame) -> DataFrame:
         terms = question_terms(questions, self.tokenizer, self.with_bigrams)
@@ -157,18 +187,16 @@ class Bm25Index:
         tokenizer: Tokenizer = whitespace_tokens,
         k1: float = BM25_K1,
         b: float = BM25_B,
-        postings: DataFrame | None = None,
-        stats: DataFrame | None = None,
-        vocabulary: DataFrame | None = None,
+        tables: IndexTables | None = None,
     ):
         self.passages = passages
         self.tokenizer = tokenizer
         self.k1, self.b = k1, b
-        self.postings = postings if postings is not None else passage_terms(passages, tokenizer)
-        self.stats = stats if stats is not None else corpus_stats(passages, tokenizer)
-        self.vocabulary = (
-            vocabulary if vocabulary is not None else bm25_vocabulary(self.postings, self.stats.select("n").scalar())
-        )
+        keep = tables or IndexTables()
+        self.postings = keep.by_passage("bm25_postings", lambda: passage_terms(passages, tokenizer))
+        self.stats = keep.plain("bm25_stats", lambda: corpus_stats(passages, tokenizer))
+        n = self.stats.select("n").scalar()
+        self.vocabulary = keep.plain("bm25_vocabulary", lambda: bm25_vocabulary(self.postings, n))
 
     def scores(self, questions: DataFrame) -> DataFrame:
         terms = question_terms(questions, self.tokenizer)
