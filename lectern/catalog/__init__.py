@@ -1,6 +1,6 @@
 """One registered query per operator."""
 
-from lectern.catalog import sparse_queries  # noqa: F401
+from lectern.catalog import corpus_queries, dense_queries, metric_queries, reader_queries, sparse_queries, text_queries  # noqa: F401
 from lectern.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

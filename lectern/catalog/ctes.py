@@ -249,7 +249,7 @@ CTES: dict[str, tuple[str, str]] = {
                if x not in ('', 'a', 'an', 'the')] AS g
             FROM golds""",
     ),
-    "overlaps": (
+    "shared_toks": (
         "normal_golds",
         """SELECT id, gold_no, sum(least(np, ng)) AS same FROM (
              SELECT id, gold_no, tok, count(*) FILTER (WHERE side = 'p') AS np, count(*) FILTER (WHERE side = 'g') AS ng
@@ -258,13 +258,13 @@ CTES: dict[str, tuple[str, str]] = {
              GROUP BY id, gold_no, tok) GROUP BY id, gold_no""",
     ),
     "scored": (
-        "normal_golds overlaps",
+        "normal_golds shared_toks",
         """SELECT n.id, n.gold_no, answered,
                   CASE WHEN answered AND array_to_string(p, ' ') = array_to_string(g, ' ') THEN 1.0 ELSE 0.0 END AS em,
                   CASE WHEN answered AND coalesce(same, 0) > 0
                        THEN 2.0 * (same / len(p)) * (same / len(g)) / (same / len(p) + same / len(g))
                        ELSE 0.0 END AS f1
-           FROM normal_golds n LEFT JOIN overlaps o ON o.id = n.id AND o.gold_no = n.gold_no""",
+           FROM normal_golds n LEFT JOIN shared_toks o ON o.id = n.id AND o.gold_no = n.gold_no""",
     ),
 }
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from lectern.functions.text import cased_tokens
+from lectern.functions.text import cased_tokens, whitespace_tokens
 from lectern.operators.corpus import dedup_in_order
 from lectern.operators.sparse import Bm25Index, IndexTables, TfidfIndex, build_index
+from lectern.operators.windows import features
+from lectern.session import shared_dir
 from lectern.sources.index_store import TableStore
 
 
@@ -101,3 +104,72 @@ def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"), "label")
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new folder for a sink, in the folder all executors share."""
+    return f"{shared_dir(spark)}/out/{name}-{uuid.uuid4().hex}"
+
+
+def scored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reader features of every example with start and end logits by formula."""
+    return stored(spark, sf_dir, "scored_features", lambda: _scored_features(spark, sf_dir))
+
+
+def _scored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = features(qa_examples(spark, sf_dir)).withColumnRenamed("id", "example_id")
+    at = F.sequence(F.lit(0), F.size("tokens") - 1)
+
+    def logits(by_position: int, by_example: int) -> Column:
+        return F.transform(
+            at,
+            lambda i: ((i * by_position + F.col("example_id") * by_example + F.col("window_no") * 53) % 1009) / 100.0 - 5,
+        )
+
+    return read.select(
+        "feature_id", "example_id", "window_no", "tokens", "offsets",
+        logits(37, 101).alias("start_logits"), logits(41, 211).alias("end_logits"),
+    )
+
+
+# ids of the special tokens in front of the vocabulary
+UNKNOWN_ID, PAD_ID, SPECIAL_IDS = 2, 3, 4
+
+
+def token_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vocab_id, token, special): special tokens, then the capped vocabulary in
+    its order. The cap bounds the numbering to one small task."""
+    terms = index(spark, sf_dir, "tfidf").vocabulary
+    place = F.row_number().over(Window.orderBy(F.col("cf").desc(), F.col("term").asc())) + SPECIAL_IDS - 1
+    named = terms.select(place.cast("int").alias("vocab_id"), F.col("term").alias("token"), F.lit(False).alias("special"))
+    marks = spark.createDataFrame(
+        [(0, "<s>", True), (1, "</s>", True), (2, "<unk>", True), (3, "<pad>", True)],
+        "vocab_id int, token string, special boolean",
+    )
+    return marks.unionByName(named)
+
+
+def label_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, ids): conversation turns as vocabulary ids, an end marker, and eight
+    masked labels."""
+    turns = table(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") * 100 + F.col("turn")).alias("id"),
+        F.posexplode_outer(whitespace_tokens(F.col("text"))).alias("pos", "token"),
+    )
+    known = token_vocabulary(spark, sf_dir).filter(~F.col("special")).select("token", "vocab_id")
+    numbered = turns.join(F.broadcast(known), "token", "left").withColumn(
+        "vocab_id", F.coalesce("vocab_id", F.lit(UNKNOWN_ID))
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "vocab_id")))
+    tail = F.array(F.lit(1), *[F.lit(-100)] * 8)
+    return numbered.groupBy("id").agg(F.concat(F.transform(ordered, lambda t: t["vocab_id"]), tail).alias("ids"))
+
+
+def sequence_logits(hits: DataFrame) -> DataFrame:
+    """(id, rank, pos, vocab_id, logit) by formula for each retrieved passage:
+    30 positions over 16 vocabulary ids."""
+    spread = hits.select(
+        F.col("qid").alias("id"), "rank", F.explode(F.sequence(F.lit(0), F.lit(29))).alias("pos")
+    ).select("*", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("vocab_id"))
+    value = (F.col("pos") * 7 + F.col("vocab_id") * 13 + F.col("id") * 29 + F.col("rank") * 3) % 17
+    return spread.withColumn("logit", value / 4.0)

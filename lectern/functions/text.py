@@ -107,6 +107,15 @@ def nfkc(text: pa.Array) -> pa.Array:
     )
 
 
+@F.arrow_udf(ArrayType(StringType()))
+def nfkc_all(texts: pa.Array) -> pa.Array:
+    """NFKC of every string of an array column."""
+    return pa.array(
+        [None if row is None else [None if v is None else unicodedata.normalize("NFKC", v) for v in row] for row in texts.to_pylist()],
+        pa.list_(pa.string()),
+    )
+
+
 def fold_full_width(text: Column) -> Column:
     """The full-width ASCII block and the ideographic space, JVM-side. Equal to
     NFKC on text that has no other compatibility characters."""

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.operators.reader import softmax_over
 
@@ -43,17 +43,18 @@ def sequence_loss(mixed: DataFrame, targets: DataFrame, pad_id: int = PAD_ID) ->
     """(loss): mean negative log-likelihood of the targets that are not padding.
     ``targets`` is (id, pos, target)."""
     wanted = targets.filter(F.col("target") != pad_id)
+    top = F.max("logit").over(Window.partitionBy("id", "pos"))
     per_position = (
         mixed.join(wanted, ["id", "pos"])
-        .groupBy("id", "pos")
+        .withColumn("m", top)
+        .groupBy("id", "pos", "m")
         .agg(
-            F.max("logit").alias("m"),
-            F.collect_list("logit").alias("xs"),
+            F.sum(F.exp(F.col("logit") - F.col("m"))).alias("s"),
             F.max(F.when(F.col("vocab_id") == F.col("target"), F.col("logit"))).alias("x"),
         )
     )
-    lse = F.col("m") + F.log(F.aggregate(F.transform("xs", lambda x: F.exp(x - F.col("m"))), F.lit(0.0), lambda a, x: a + x))
-    return per_position.agg(F.round(F.avg(lse - F.col("x")), DIGITS).alias("loss"))
+    nll = F.col("m") + F.log("s") - F.col("x")
+    return per_position.agg(F.round(F.avg(nll), DIGITS).alias("loss"))
 
 
 def pair_vectors(hits: DataFrame, queries: DataFrame, passages: DataFrame) -> DataFrame:

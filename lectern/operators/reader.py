@@ -38,10 +38,12 @@ def candidate_spans(
     n_best: int = N_BEST,
     max_answer_length: int = MAX_ANSWER_LENGTH,
     max_context: str | None = None,
+    keep: int | None = None,
 ) -> DataFrame:
     """Spans of every feature: best starts by best ends, in order, short enough
     and inside the context. ``max_context`` names an optional array of booleans
-    that marks the positions allowed as a start."""
+    that marks the positions allowed as a start. ``keep`` cuts each feature to
+    its best spans before any of them leaves the row."""
     bound = features.withColumn("_s", _largest("start_logits", n_best)).withColumn("_e", _largest("end_logits", n_best))
     known = F.size("offsets")
 
@@ -56,6 +58,7 @@ def candidate_spans(
         return F.transform(
             fitting,
             lambda e: F.struct(
+                (-F.round(s["x"] + e["x"], SCORE_DIGITS)).alias("m"),
                 s["i"].alias("start_index"),
                 e["i"].alias("end_index"),
                 s["x"].alias("start_logit"),
@@ -70,8 +73,10 @@ def candidate_spans(
         return ok & F.coalesce(F.get(max_context, s["i"]), F.lit(False)) if max_context else ok
 
     spans = F.flatten(F.transform(F.filter("_s", allowed), pairs))
-    return bound.select("feature_id", "example_id", "window_no", F.inline(spans)).withColumn(
-        "score", F.round(F.col("start_logit") + F.col("end_logit"), SCORE_DIGITS)
+    if keep is not None:
+        spans = F.slice(F.array_sort(spans), 1, keep)
+    return (
+        bound.select("feature_id", "example_id", "window_no", F.inline(spans)).withColumn("score", -F.col("m")).drop("m")
     )
 
 
@@ -92,56 +97,58 @@ def best_candidates(spans: DataFrame, n_best: int = N_BEST) -> DataFrame:
     return top_k(spans, "example_id", _candidate_order(), n_best)
 
 
-def with_text(candidates: DataFrame, examples: DataFrame) -> DataFrame:
-    """Cut the answer text out of the context of each kept candidate."""
-    contexts = examples.select(F.col("id").alias("example_id"), "context")
-    cut = F.substring(F.col("context"), F.col("s") + 1, F.col("e") - F.col("s"))
-    return candidates.join(contexts, "example_id").withColumn("text", cut).drop("context")
-
-
-def nbest(features: DataFrame, examples: DataFrame, n_best: int = N_BEST, with_null: bool = False, **limits) -> DataFrame:
+def nbest(
+    features: DataFrame, examples: DataFrame, n_best: int = N_BEST, with_null: bool = False, **limits
+) -> DataFrame:
     """(example_id, rank, text, start_logit, end_logit, score, probability).
 
     ``with_null`` makes the null score a candidate with empty text, put back at
     the end when the cut removes it. An example without candidates, or with an
     empty one only, gets the fixed stand-in first."""
-    spans = candidate_spans(features, n_best, **limits)
     columns = ["example_id", "window_no", "start_index", "end_index", "start_logit", "end_logit", "s", "e", "score"]
-    pool = spans.select(*columns)
-    if with_null:
+    pool = candidate_spans(features, n_best, keep=n_best, **limits).select(*columns)
+    if not with_null:
+        ranked = best_candidates(pool, n_best)
+    else:
+        marker = F.lit(-1)
         null = null_scores(features).select(
-            "example_id", "window_no", F.lit(-1).alias("start_index"), F.lit(-1).alias("end_index"),
+            "example_id", "window_no", marker.alias("start_index"), marker.alias("end_index"),
             "start_logit", "end_logit", F.lit(0).alias("s"), F.lit(0).alias("e"), "score",
         )
-        ranked = best_candidates(pool.unionByName(null), n_best)
-        kept = ranked.filter(F.col("start_index") == -1).select("example_id")
-        lost = null.join(kept, "example_id", "left_anti").withColumn("rank", F.lit(n_best + 1))
-        # an example with fewer than n_best candidates keeps its null answer
-        ranked = ranked.unionByName(lost)
-    else:
-        ranked = best_candidates(pool, n_best)
-    texts = with_text(ranked, examples).select("example_id", "rank", "text", "start_logit", "end_logit", "score")
-    return with_probability(with_stand_in(texts, examples))
+        place = F.row_number().over(Window.partitionBy("example_id").orderBy(*_candidate_order()))
+        ranked = (
+            pool.unionByName(null)
+            .withColumn("rank", place)
+            .filter((F.col("rank") <= n_best) | (F.col("start_index") == -1))
+            .withColumn("rank", F.least("rank", F.lit(n_best + 1)))
+        )
+    return softmax_over(with_text(ranked, examples), "example_id", "score", "probability")
 
 
-def with_stand_in(candidates: DataFrame, examples: DataFrame) -> DataFrame:
-    usable = (
-        candidates.groupBy("example_id")
-        .agg(F.count("*").alias("n"), F.max("text").alias("t"))
-        .filter((F.col("n") > 1) | (F.col("t") != ""))
-        .select("example_id")
-    )
-    needy = examples.select(F.col("id").alias("example_id")).join(usable, "example_id", "left_anti")
+def with_text(ranked: DataFrame, examples: DataFrame) -> DataFrame:
+    """Cut each answer out of its context and add the stand-in where it is due."""
+    contexts = examples.select(F.col("id").alias("example_id"), "context")
+    cut = F.substring(F.col("context"), F.col("s") + 1, F.col("e") - F.col("s"))
+    found = contexts.join(ranked, "example_id", "left").withColumn("text", cut)
+    count = F.count("rank").over(Window.partitionBy("example_id"))
+
+    def entry(rank: Column, text: Column, start: Column, end: Column, score: Column) -> Column:
+        return F.struct(
+            rank.cast("int").alias("rank"), text.alias("text"), start.alias("start_logit"),
+            end.alias("end_logit"), score.alias("score"),
+        )
+
+    def own(shift: int) -> Column:
+        return entry(F.col("rank") + shift, F.col("text"), F.col("start_logit"), F.col("end_logit"), F.col("score"))
+
     zero = F.lit(0.0)
-    stand_in = needy.select(
-        "example_id", F.lit(1).alias("rank"), F.lit(EMPTY).alias("text"),
-        zero.alias("start_logit"), zero.alias("end_logit"), zero.alias("score"),
-    )
-    shifted = candidates.join(needy.withColumn("_shift", F.lit(1)), "example_id", "left").select(
-        "example_id", (F.col("rank") + F.coalesce("_shift", F.lit(0))).alias("rank"),
-        "text", "start_logit", "end_logit", "score",
+    stand_in = entry(F.lit(1), F.lit(EMPTY), zero, zero, zero)
+    entries = (
+        F.when(F.col("rank").isNull(), F.array(stand_in))
+        .when((F.col("_n") == 1) & (F.col("text") == ""), F.array(stand_in, own(1)))
+        .otherwise(F.array(own(0)))
     )
-    return shifted.unionByName(stand_in)
+    return found.withColumn("_n", count).select("example_id", F.inline(entries))
 
 
 def softmax_over(df: DataFrame, by: str, score: str, out: str) -> DataFrame:
@@ -151,10 +158,6 @@ def softmax_over(df: DataFrame, by: str, score: str, out: str) -> DataFrame:
     return shifted.withColumn(out, F.col("_x") / F.sum("_x").over(w)).drop("_x")
 
 
-def with_probability(candidates: DataFrame) -> DataFrame:
-    return softmax_over(candidates, "example_id", "score", "probability")
-
-
 def best_answers(candidates: DataFrame, null: DataFrame | None = None, threshold: float = NULL_THRESHOLD) -> DataFrame:
     """(id, prediction_text), and score_diff when ``null`` scores are given: then
     the best non-empty candidate loses to the empty answer if it scores less than

@@ -31,7 +31,7 @@ def draw_negatives(positives: DataFrame, corpus: DataFrame, negatives: int = NEG
     n = corpus.agg(F.count("*")).scalar()
     slots = positives.select("qid", F.col("pid").alias("_pos"), F.explode(F.sequence(F.lit(0), F.lit(negatives))).alias("slot"))
     draw = F.pmod(
-        F.col("qid") * F.lit(1103515245) + F.col("slot") * F.lit(12345) + F.lit(seed), F.greatest(n - 1, F.lit(1))
+        F.pmod("qid", F.lit(1 << 31)) * F.lit(1103515245) + F.col("slot") * F.lit(12345) + F.lit(seed), F.greatest(n - 1, F.lit(1))
     )
     pid = F.when(F.col("slot") == 0, F.col("_pos")).otherwise(draw + F.when(draw >= F.col("_pos"), 1).otherwise(0))
     return slots.select("qid", "slot", pid.cast("long").alias("pid"))

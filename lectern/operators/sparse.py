@@ -242,7 +242,7 @@ def fill_with_zeros(hits: DataFrame, questions: DataFrame, passages: DataFrame,
         .withColumn("_last", F.least(n, F.lit(2 * k)) - 1)
         .filter(F.col("_last") >= 0)
     )
-    candidates = short.select("qid", "_found", F.explode(F.sequence(F.lit(0), F.col("_last"))).cast("long").alias("pid"))
+    candidates = short.select("qid", "_found", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"))).alias("pid"))
     unused = candidates.join(hits.select("qid", "pid"), ["qid", "pid"], "left_anti")
     filled = (
         top_k(unused, "qid", [F.col("pid").asc()], k, "_n")

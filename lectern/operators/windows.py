@@ -4,6 +4,7 @@ one explode, so no window shuffles."""
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -102,27 +103,28 @@ def fixed_chunks(passages: DataFrame, size: int = 300, overlap: int = 50) -> Dat
 # -- recursive chunks -----------------------------------------------------
 
 def _pieces(text: str, separator: str) -> list[str]:
-    return [p for p in (text.split(separator) if separator else list(text)) if p]
+    """Parts of ``text``; each but the first keeps the separator in front of it."""
+    if not separator:
+        return list(text)
+    first, *rest = text.split(separator)
+    return ([first] if first else []) + [separator + part for part in rest]
 
 
-def _merge(pieces: list[str], separator: str, size: int, overlap: int, length: Callable[[str], int]) -> Iterator[str]:
+def _merge(pieces: list[str], size: int, overlap: int, length: Callable[[str], int]) -> Iterator[str]:
     """Fill chunks greedily up to ``size``; each starts with as many of the last
     pieces of the one before as fit into ``overlap``."""
-    glue = length(separator)
-    held: list[tuple[str, int]] = []
+    held: deque[tuple[str, int]] = deque()
     total = 0
     for piece in pieces:
         n = length(piece)
-        if held and total + glue + n > size:
-            yield separator.join(p for p, _ in held)
-            while held and (total > overlap or total + glue + n > size):
-                total -= held.pop(0)[1] + (glue if held else 0)
-                if not held:
-                    total = 0
-        total += n + (glue if held else 0)
+        if held and total + n > size:
+            yield "".join(p for p, _ in held)
+            while held and (total > overlap or total + n > size):
+                total -= held.popleft()[1]
+        total += n
         held.append((piece, n))
     if held:
-        yield separator.join(p for p, _ in held)
+        yield "".join(p for p, _ in held)
 
 
 def split_recursively(
@@ -138,10 +140,10 @@ def split_recursively(
         if length(piece) < size:
             short.append(piece)
             continue
-        chunks.extend(_merge(short, separator, size, overlap, length))
+        chunks.extend(_merge(short, size, overlap, length))
         short = []
         chunks.extend(split_recursively(piece, size, overlap, length, finer) if finer else [piece])
-    chunks.extend(_merge(short, separator, size, overlap, length))
+    chunks.extend(_merge(short, size, overlap, length))
     return [c.strip() for c in chunks if c.strip()]
 
 
