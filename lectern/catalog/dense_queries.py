@@ -13,10 +13,13 @@ from lectern.functions.vectors import l2_normalize
 from lectern.operators import clustered_text, dense, mixture, sampling
 from lectern.operators.sparse import retrieve
 
-RANK = F.col("rank").cast("bigint").alias("rank")
 BITS = 4
 
 
+def _rank() -> Column:
+    return F.col("rank").cast("bigint").alias("rank")
+
+
 def _passages(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").alias("pid"), "vec")
 
@@ -30,19 +33,24 @@ def _scaled(vectors: DataFrame) -> DataFrame:
     return vectors.withColumn("vec", F.transform("vec", lambda x: x.cast("double") * (F.col("label") + 1)))
 
 
-@query("d1_batch_embedding")
+@query(
+    "d1_batch_embedding",
+    """SELECT pid, d, CAST(len(text) - len(replace(text, chr(CAST(97 + d AS INTEGER)), '')) AS DOUBLE) AS x
+       FROM passages, range(26) r(d)""",
+    uses="passages",
+)
 def d1(spark: SparkSession, sf: str) -> DataFrame:
+    """The model is a stand-in that counts the letters of a text."""
+
     def make_encoder() -> Callable[[np.ndarray], np.ndarray]:
         def encode(texts: np.ndarray) -> np.ndarray:
-            out = np.zeros((len(texts), 32), dtype=np.float32)
-            for row, text in enumerate(texts):
-                for token in str(text).split():
-                    out[row, sum(token.encode()) % 32] += 1.0
-            return out
+            counts = [[str(text).count(chr(97 + d)) for d in range(26)] for text in texts]
+            return np.asarray(counts, dtype=np.float32)
 
         return encode
 
-    return dense.embed(fx.passages(spark, sf), make_encoder).select("pid", F.posexplode("vec").alias("d", "x"))
+    rows = dense.embed(fx.passages(spark, sf), make_encoder).select("pid", F.posexplode("vec").alias("d", "x"))
+    return rows.select("pid", F.col("d").cast("bigint").alias("d"), F.col("x").cast("double").alias("x"))
 
 
 @query(
@@ -60,7 +68,7 @@ def d2(spark: SparkSession, sf: str) -> DataFrame:
 @query("d3_inner_product_topk", "SELECT qid, rank, pid, score FROM ip_ranked WHERE rank <= 10", uses="ip_ranked")
 def d3(spark: SparkSession, sf: str) -> DataFrame:
     vectors = fx.vectors(spark, sf)
-    return dense.vector_topk(_queries(vectors), _passages(vectors), 10).select("qid", RANK, "pid", "score")
+    return dense.vector_topk(_queries(vectors), _passages(vectors), 10).select("qid", _rank(), "pid", "score")
 
 
 @query(
@@ -76,7 +84,7 @@ def d4(spark: SparkSession, sf: str) -> DataFrame:
     """One question vector: the mean of all vectors."""
     vectors = fx.vectors(spark, sf)
     mean = dense.label_centroids(vectors.withColumn("label", F.lit(0).cast("bigint")))
-    return dense.vector_topk(mean.select(F.col("cell").alias("qid"), "vec"), _passages(vectors), 10).select(RANK, "pid", "score")
+    return dense.vector_topk(mean.select(F.col("cell").alias("qid"), "vec"), _passages(vectors), 10).select(_rank(), "pid", "score")
 
 
 @query(
@@ -90,7 +98,7 @@ def d4(spark: SparkSession, sf: str) -> DataFrame:
 )
 def d5(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _scaled(fx.vectors(spark, sf))
-    return dense.cosine_topk(_queries(vectors), _passages(vectors), 10).select("qid", RANK, "pid", "score")
+    return dense.cosine_topk(_queries(vectors), _passages(vectors), 10).select("qid", _rank(), "pid", "score")
 
 
 @query("d6_kmeans_cells")
@@ -120,7 +128,7 @@ def d8(spark: SparkSession, sf: str) -> DataFrame:
     vectors = fx.vectors(spark, sf)
     centroids = dense.label_centroids(vectors)
     assigned = dense.nearest_cells(_passages(vectors), centroids, "pid")
-    return dense.clustered_topk(_queries(vectors), assigned, centroids, 10).select("qid", RANK, "pid", "score")
+    return dense.clustered_topk(_queries(vectors), assigned, centroids, 10).select("qid", _rank(), "pid", "score")
 
 
 @query(
@@ -265,7 +273,7 @@ def _ids(*names: str) -> list[Column]:
 
 @query("a10_score_softmax", f"SELECT qid, rank, round(p, 6) AS p FROM {_WEIGHTS}", uses="bm25_ranked")
 def a10(spark: SparkSession, sf: str) -> DataFrame:
-    return mixture.retrieval_weights(_hits(spark, sf)).select("qid", RANK, F.round("p", 6).alias("p"))
+    return mixture.retrieval_weights(_hits(spark, sf)).select("qid", _rank(), F.round("p", 6).alias("p"))
 
 
 @query("a11_score_mixture", f"SELECT id, pos, vocab_id, round(logit, 6) AS logit FROM {_MIXED}", uses="bm25_ranked")
@@ -294,7 +302,7 @@ def a13(spark: SparkSession, sf: str) -> DataFrame:
         return F.round(F.aggregate(half, F.lit(0.0), lambda a, x: a + x), 6)
 
     return pairs.select(
-        "qid", RANK, "pid", F.size("vec").cast("bigint").alias("width"),
+        "qid", _rank(), "pid", F.size("vec").cast("bigint").alias("width"),
         total(F.lit(1)).alias("head"), total((F.size("vec") / 2 + 1).cast("int")).alias("tail"),
     )
 

@@ -264,7 +264,15 @@ def r16(spark: SparkSession, sf: str) -> DataFrame:
     return predictions_to_rows(maps)
 
 
-@query("s6_nbest_sink")
+@query(
+    "s6_nbest_sink",
+    """SELECT n.example_id AS id, (SELECT count(*) FROM nbest_null m WHERE m.example_id = n.example_id) AS entries,
+              CAST(round(n.score - b.start_logit - b.end_logit, 6) AS DOUBLE) AS score_diff
+       FROM null_scores n
+       JOIN (SELECT example_id, arg_min(start_logit, rank) AS start_logit, arg_min(end_logit, rank) AS end_logit
+             FROM nbest_null WHERE text <> '' GROUP BY example_id) b ON b.example_id = n.example_id""",
+    uses="null_scores nbest_null",
+)
 def s6(spark: SparkSession, sf: str) -> DataFrame:
     scored, examples = fx.scored_features(spark, sf), fx.qa_examples(spark, sf)
     best = reader.nbest(scored, examples, with_null=True)

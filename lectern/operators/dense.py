@@ -12,7 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, predict_batch_udf
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from lectern.functions.vectors import as_doubles, l2_normalize
 from lectern.operators.sizing import top_k
@@ -240,29 +241,27 @@ def scalar_ranges(passages: DataFrame) -> DataFrame:
     )
 
 
-def _as_array(ranges: DataFrame, column: str) -> Column:
-    """A per-dimension column as one array, usable inside an expression."""
-    ordered = F.array_sort(F.collect_list(F.struct("d", column)))
-    return ranges.agg(F.transform(ordered, lambda e: e[column]).alias("a")).scalar()
+def _ranges_as_array(ranges: DataFrame) -> Column:
+    """The ranges of all dimensions as one array of (lo, hi)."""
+    ordered = F.array_sort(F.collect_list(F.struct("d", "lo", "hi")))
+    pairs = F.transform(ordered, lambda r: F.struct(r["lo"].alias("lo"), r["hi"].alias("hi")))
+    return ranges.agg(pairs.alias("r")).scalar()
 
 
 def scalar_encode(passages: DataFrame, ranges: DataFrame, bits: int = 8) -> DataFrame:
-    """``vec`` as one small integer per dimension."""
-    top = (1 << bits) - 1
-    lo, hi = _as_array(ranges, "lo"), _as_array(ranges, "hi")
-    scaled = F.zip_with(as_doubles(F.col("vec")), F.arrays_zip(lo.alias("lo"), hi.alias("hi")), lambda x, r: F.try_divide(x - r["lo"], r["hi"] - r["lo"]))
-    code = F.transform(scaled, lambda t: F.coalesce(F.least(F.floor(t * (top + 1)), F.lit(top)), F.lit(0)).cast("int"))
-    return passages.withColumn("code", code).drop("vec")
+    """Replace ``vec`` by ``code``: one small integer per dimension."""
+    levels = 1 << bits
+    share = F.zip_with(as_doubles(F.col("vec")), "_r", lambda x, r: F.try_divide(x - r["lo"], r["hi"] - r["lo"]))
+    code = F.transform(share, lambda t: F.coalesce(F.least(F.floor(t * levels), F.lit(levels - 1)), F.lit(0)).cast("int"))
+    # the ranges are bound as a column first: a subquery cannot stand in a lambda
+    return passages.withColumn("_r", _ranges_as_array(ranges)).withColumn("code", code).drop("vec", "_r")
 
 
 def scalar_decode(encoded: DataFrame, ranges: DataFrame, bits: int = 8) -> DataFrame:
-    """Middle of each level."""
+    """Replace ``code`` by ``vec``: the middle of each level."""
     levels = 1 << bits
-    lo, hi = _as_array(ranges, "lo"), _as_array(ranges, "hi")
-    vec = F.zip_with(
-        "code", F.arrays_zip(lo.alias("lo"), hi.alias("hi")), lambda c, r: r["lo"] + (c + 0.5) * (r["hi"] - r["lo"]) / levels
-    )
-    return encoded.withColumn("vec", vec).drop("code")
+    vec = F.zip_with("code", "_r", lambda c, r: r["lo"] + (c + 0.5) * (r["hi"] - r["lo"]) / levels)
+    return encoded.withColumn("_r", _ranges_as_array(ranges)).withColumn("vec", vec).drop("code", "_r")
 
 
 def product_codebooks(passages: DataFrame, parts: int = 8, codes: int = 256, seed: int = 2024) -> DataFrame:
@@ -318,5 +317,5 @@ def product_decode(encoded: DataFrame, codebooks: DataFrame) -> DataFrame:
 def embed(passages: DataFrame, make_encoder, text: str = "text", batch_size: int = 256) -> DataFrame:
     """Add ``vec``: a user's model over every text. ``make_encoder`` is called
     once per Python worker and returns texts -> matrix."""
-    encoder = predict_batch_udf(make_encoder, return_type="array<float>", batch_size=batch_size)
+    encoder = predict_batch_udf(make_encoder, return_type=ArrayType(FloatType()), batch_size=batch_size)
     return passages.withColumn("vec", encoder(text))
