@@ -10,6 +10,7 @@ from lectern.functions import text as tx
 from lectern.operators import corpus, metrics
 from lectern.operators.sizing import top_k
 from lectern.operators.sparse import passage_terms, retrieve
+from lectern.plans.retrieval import contexts_for, with_texts
 from lectern.sources import readers, sinks
 from lectern.sources.index_store import TableStore, corpus_fingerprint
 
@@ -92,7 +93,7 @@ def s7(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("s8_passage_store", "SELECT pid, text FROM passages", uses="passages")
 def s8(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.passages(spark, sf)
+    return fx.passages(spark, sf).select("pid", "text")
 
 
 @query(
@@ -141,9 +142,9 @@ def retrieval_results(spark: SparkSession, sf: str, first_only: bool = False) ->
     """(id, question, context, original_context, answers) for every question."""
     questions = fx.questions(spark, sf)
     hits = retrieve(fx.index(spark, sf, "bm25"), questions, K)
-    contexts = corpus.concat_passages(corpus.gather(hits, fx.passages(spark, sf)))
-    asked = questions.join(contexts, "qid").withColumnRenamed("qid", "id")
-    return corpus.carry_gold(asked, fx.qa_examples(spark, sf), first_only)
+    asked = questions.withColumnRenamed("qid", "id")
+    contexts = contexts_for(hits, asked, fx.passages(spark, sf), K)
+    return corpus.carry_gold(contexts, fx.qa_examples(spark, sf), first_only)
 
 
 @query(
@@ -186,14 +187,16 @@ def r6(spark: SparkSession, sf: str) -> DataFrame:
     uses="bm25_ranked passages",
 )
 def r7(spark: SparkSession, sf: str) -> DataFrame:
-    hits = retrieve(fx.index(spark, sf, "bm25"), fx.questions(spark, sf), K)
-    return corpus.gather(hits, fx.passages(spark, sf)).select("qid", F.col("rank").cast("bigint").alias("rank"), "pid", "text")
+    questions = fx.questions(spark, sf)
+    hits = retrieve(fx.index(spark, sf, "bm25"), questions, K)
+    return with_texts(hits, questions, fx.passages(spark, sf), K).select("qid", F.col("rank").cast("bigint").alias("rank"), "pid", "text")
 
 
 @query("r8_passage_concat", f"SELECT qid, context FROM {_TOP_K}", uses="bm25_ranked passages")
 def r8(spark: SparkSession, sf: str) -> DataFrame:
-    hits = retrieve(fx.index(spark, sf, "bm25"), fx.questions(spark, sf), K)
-    return corpus.concat_passages(corpus.gather(hits, fx.passages(spark, sf)))
+    questions = fx.questions(spark, sf)
+    hits = retrieve(fx.index(spark, sf, "bm25"), questions, K)
+    return corpus.concat_passages(with_texts(hits, questions, fx.passages(spark, sf), K))
 
 
 @query(
@@ -221,9 +224,10 @@ def r13(spark: SparkSession, sf: str) -> DataFrame:
     uses="bm25_ranked passages",
 )
 def r14(spark: SparkSession, sf: str) -> DataFrame:
-    hits = retrieve(fx.index(spark, sf, "bm25"), fx.questions(spark, sf), K)
+    questions = fx.questions(spark, sf)
+    hits = retrieve(fx.index(spark, sf, "bm25"), questions, K)
     second = corpus.at_rank(corpus.scaled_by_global_max(hits), 2)
-    return corpus.gather(second, fx.passages(spark, sf)).select(
+    return with_texts(second, questions, fx.passages(spark, sf), 1).select(
         "qid", F.col("rank").cast("bigint").alias("rank"), "pid", "text", "score"
     )
 

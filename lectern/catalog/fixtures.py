@@ -29,7 +29,9 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir, "passages", lambda: dedup_in_order(table(spark, sf_dir, "documents")))
+    """(pid, text, block): the stored passages."""
+    docs = table(spark, sf_dir, "documents")
+    return TableStore(spark).load_or_build_passages(_key(spark, sf_dir), lambda: dedup_in_order(docs))
 
 
 def index(spark: SparkSession, sf_dir: str, method: str) -> TfidfIndex | Bm25Index:
@@ -83,6 +85,10 @@ def _qa_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "qa_pairs", lambda: _qa_pairs(spark, sf_dir))
+
+
+def _qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, prediction_text, golds): a conversation turn without its first words
     is the prediction, missing for turns under six words; the golds are the turn
     without its last words and, by role, the whole turn or all but two words."""

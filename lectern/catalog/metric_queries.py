@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lectern.catalog import fixtures as fx
 from lectern.catalog.registry import query
 from lectern.operators import metrics
-from lectern.operators.corpus import carry_gold, concat_passages, gather
+from lectern.operators.corpus import carry_gold
 from lectern.operators.sparse import retrieve
+from lectern.plans.retrieval import contexts_for
 
 
 def _given(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -67,8 +68,7 @@ def _retrieved(spark: SparkSession, sf: str, k: int) -> DataFrame:
     examples = fx.qa_examples(spark, sf)
     asked = examples.select(F.col("id").alias("qid"), "question")
     hits = retrieve(fx.index(spark, sf, "bm25"), asked, k)
-    contexts = concat_passages(gather(hits, fx.passages(spark, sf))).withColumnRenamed("qid", "id")
-    return carry_gold(contexts, examples)
+    return carry_gold(contexts_for(hits, examples, fx.passages(spark, sf), k), examples)
 
 
 _TOP = """FROM examples x JOIN (SELECT qid, string_agg(text, ' ' ORDER BY rank) AS context

@@ -8,9 +8,9 @@ from lectern.catalog import fixtures as fx
 from lectern.catalog.registry import query
 from lectern.functions import text as tx
 from lectern.operators import cleaning, sequences, windows
-from lectern.operators.corpus import gather
 from lectern.operators.sampling import shuffled_batches
 from lectern.operators.sparse import retrieve
+from lectern.plans.retrieval import with_texts
 
 ALNUM = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 WIDE = "".join(chr(ord(c) + 0xFEE0) for c in ALNUM)
@@ -211,7 +211,7 @@ def t13(spark: SparkSession, sf: str) -> DataFrame:
 def t14(spark: SparkSession, sf: str) -> DataFrame:
     questions = fx.questions(spark, sf)
     hits = retrieve(fx.index(spark, sf, "bm25"), questions, 10)
-    pairs = sequences.question_passage_pairs(gather(hits, fx.passages(spark, sf)), questions)
+    pairs = sequences.question_passage_pairs(with_texts(hits, questions, fx.passages(spark, sf), 10), questions)
     return pairs.select("qid", F.col("rank").cast("bigint").alias("rank"), "pid", F.array_join("tokens", " ").alias("pair"))
 
 

@@ -19,8 +19,10 @@ ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 QUOTE_CHARS = "“”‘’"
 OPEN_BRACKET_CHARS = "〈<＜「≪《『"
 CLOSE_BRACKET_CHARS = "〉>＞」≫》』"
-# Fixed value: deleted sequences (backslash + n, asterisk, newline, pipe + hash).
-DELETED_SEQUENCES = r"\\n|\*|\n|\|#"
+# Deleted characters and, as a pattern, deleted sequences
+# (backslash + n, pipe + hash).
+DELETED_CHARS = "*\n"
+DELETED_SEQUENCES = r"\\n|\|#"
 # Substrings removed from prompts, in this order.
 PROMPT_NOISE = ("\\n", "\n", "\\", "context", ":", ".", '"')
 # Whitespace as Python's str methods see it.
@@ -125,11 +127,15 @@ def fold_full_width(text: Column) -> Column:
 
 
 def rewrite_special(text: Column) -> Column:
-    """Unify quotes and brackets, then delete layout leftovers."""
-    out = F.regexp_replace(text, f"[{QUOTE_CHARS}]", "'")
-    out = F.regexp_replace(out, f"[{OPEN_BRACKET_CHARS}]", "<")
-    out = F.regexp_replace(out, f"[{CLOSE_BRACKET_CHARS}]", ">")
-    return F.regexp_replace(out, DELETED_SEQUENCES, "")
+    """Unify quotes and brackets, and delete layout leftovers.
+
+    Only texts that hold a deleted sequence meet the pattern. What it leaves and
+    the single characters go through one translation; it may delete characters
+    last because no sequence contains one."""
+    has_sequence = F.contains(text, F.lit("\\n")) | F.contains(text, F.lit("|#"))
+    out = F.when(has_sequence, F.regexp_replace(text, DELETED_SEQUENCES, "")).otherwise(text)
+    unified = "'" * len(QUOTE_CHARS) + "<" * len(OPEN_BRACKET_CHARS) + ">" * len(CLOSE_BRACKET_CHARS)
+    return F.translate(out, QUOTE_CHARS + OPEN_BRACKET_CHARS + CLOSE_BRACKET_CHARS + DELETED_CHARS, unified)
 
 
 def remap_offset(text: Column, start: Column, clean: Callable[[Column], Column]) -> Column:

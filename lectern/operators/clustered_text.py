@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
@@ -38,7 +39,7 @@ def _vectors(df: DataFrame, index: TfidfIndex, vectorizer: CountVectorizerModel,
     return Normalizer(inputCol="weighted", outputCol="features").transform(weighted)
 
 
-def fit_cells(index: TfidfIndex, cells: int = 64, seed: int = 2024, max_iter: int = 20) -> TextCells:
+def fit_cells(index: TfidfIndex, cells: int = 64, seed: int = 2024, max_iter: int = 10) -> TextCells:
     """The vocabulary is capped, so its terms and weights may visit the driver."""
     spark = index.passages.sparkSession
     vocabulary = index.vocabulary.select("term", "idf").orderBy("term").toArrow()
@@ -48,7 +49,13 @@ def fit_cells(index: TfidfIndex, cells: int = 64, seed: int = 2024, max_iter: in
     weights = ElementwiseProduct(
         scalingVec=Vectors.dense(vocabulary["idf"].to_pylist()), inputCol="counts", outputCol="weighted"
     )
-    vectors = _vectors(index.passages.select("pid", "text"), index, vectorizer, weights, "text").select("pid", "features")
+    # every iteration reads the vectors again: keep them as a table, or cached
+    vectors = index.tables.plain(
+        "tfidf_vectors",
+        lambda: _vectors(index.passages.select("pid", "text"), index, vectorizer, weights, "text").select("pid", "features"),
+    )
+    if index.tables.store is None:
+        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     model = KMeans(k=cells, seed=seed, maxIter=max_iter, predictionCol="cell").fit(vectors)
     return TextCells(vectorizer, weights, model, model.transform(vectors).select("pid", "cell"))
 

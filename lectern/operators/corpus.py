@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.operators.sizing import BROADCAST_ROWS, positions, top_k
+from lectern.sources.index_store import PASSAGE_BLOCK_BITS
 
 SCORE_DIGITS = 6
 
@@ -67,9 +68,14 @@ def gather(hits: DataFrame, table: DataFrame, key: str = "pid", max_hits: int |
     hit list (questions times k): below the broadcast size the hits go to the
     table. Otherwise both sides shuffle on the key, and adaptive execution
     splits a passage that very many questions hit."""
+    on = [key]
+    if "block" in table.columns:
+        # a stored passage table: the hits' blocks prune its directories
+        hits = hits.withColumn("block", F.shiftright(key, PASSAGE_BLOCK_BITS))
+        on = ["block", key]
     if max_hits is not None and max_hits <= BROADCAST_ROWS:
-        return table.join(F.broadcast(hits), key)
-    return hits.join(table, key)
+        return table.join(F.broadcast(hits), on).drop("block")
+    return hits.join(table, on).drop("block")
 
 
 def concat_passages(hits: DataFrame, by: str = "qid") -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, predict_batch_udf
 from pyspark.sql import Column, DataFrame, functions as F
@@ -164,9 +165,14 @@ def cosine_topk(queries: DataFrame, passages: DataFrame, k: int, normalize_query
 
 # -- clusters -------------------------------------------------------------
 
-def kmeans_cells(passages: DataFrame, cells: int = 64, seed: int = 2024, max_iter: int = 20) -> KMeansModel:
+def kmeans_cells(passages: DataFrame, cells: int = 64, seed: int = 2024, max_iter: int = 10) -> KMeansModel:
     vectors = passages.select(array_to_vector(as_doubles(F.col("vec"))).alias("features"))
-    return KMeans(k=cells, seed=seed, maxIter=max_iter).fit(vectors)
+    # every iteration reads the vectors again
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return KMeans(k=cells, seed=seed, maxIter=max_iter).fit(vectors)
+    finally:
+        vectors.unpersist()
 
 
 def centroid_table(model: KMeansModel, spark) -> DataFrame:

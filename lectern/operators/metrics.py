@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.functions.text import answer_tokens, normalize_answer
+from lectern.functions.text import answer_tokens
+from lectern.operators.sizing import spread
 
 DIGITS = 6
 
@@ -23,17 +24,23 @@ def per_gold_scores(references: DataFrame, predictions: DataFrame) -> DataFrame:
 
     Token overlap is counted by (id, token) on one partitioning by id, so a long
     answer costs its length and not its square."""
-    paired = join_predictions(references, predictions).repartition("id")
+    paired = spread(join_predictions(references, predictions), "id")
     golds = paired.select(
-        "id", F.posexplode("golds").alias("gold_no", "gold"), "prediction_text"
-    )
+        "id", F.posexplode_outer("golds").alias("gold_no", "gold"), "prediction_text"
+    ).filter(F.col("gold_no").isNotNull())
     read = golds.select(
         "id",
         "gold_no",
         F.col("prediction_text").isNotNull().alias("answered"),
-        F.coalesce(normalize_answer(F.col("prediction_text")) == normalize_answer(F.col("gold")), F.lit(False)).alias("em"),
-        F.coalesce(answer_tokens(F.col("prediction_text")), F.array().cast("array<string>")).alias("p"),
+        answer_tokens(F.col("prediction_text")).alias("p"),
         answer_tokens(F.col("gold")).alias("g"),
+    ).select(
+        "id",
+        "gold_no",
+        "answered",
+        F.coalesce(F.col("p") == F.col("g"), F.lit(False)).alias("em"),
+        F.coalesce("p", F.array().cast("array<string>")).alias("p"),
+        "g",
     )
     # (token, in prediction, in gold); one empty mark keeps pairs without tokens
     marks = F.concat(

@@ -36,6 +36,13 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return n <= max_rows and size <= max_bytes
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Partition by ``by`` into the session's number of shuffle partitions. The
+    number is given so that adaptive execution, which only sees small input
+    bytes, does not merge tasks whose rows are about to be exploded."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def count_up_to(df: DataFrame, limit: int = BROADCAST_ROWS) -> int | None:
     """Row count, or None when there are more rows than ``limit``."""
     n = df.select(F.lit(1)).limit(limit + 1).count()
@@ -87,7 +94,7 @@ def _offsets(counts: DataFrame, shifts: Sequence[int]) -> DataFrame:
 
 
 def positions(
-    df: DataFrame, key: str, out: str, tie: Sequence[str] = (), shifts: Sequence[int] = (20, 22)
+    df: DataFrame, key: str, out: str, tie: Sequence[str] = (), shifts: Sequence[int] = (10, 20, 20)
 ) -> DataFrame:
     """Dense 0-based position of each row in the order of the bigint ``key``.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions.text import Tokenizer, unigrams_and_bigrams, whitespace_tokens
 from lectern.operators.corpus import rank_hits
-from lectern.operators.sizing import fits_broadcast, global_top_k, sized_join, top_k
+from lectern.operators.sizing import fits_broadcast, global_top_k, sized_join, spread, top_k
 from lectern.sources.index_store import TableStore
 
 MAX_FEATURES = 50_000
@@ -48,7 +48,7 @@ def passage_terms(
     passages: DataFrame, tokenizer: Tokenizer = whitespace_tokens, with_bigrams: bool = False
 ) -> DataFrame:
     """(pid, dl, term, tf), partitioned by pid. ``dl`` counts single tokens."""
-    tokens = passages.repartition("pid").select("pid", tokenizer(F.col("text")).alias("tokens"))
+    tokens = spread(passages.select("pid", "text"), "pid").select("pid", tokenizer(F.col("text")).alias("tokens"))
     terms: Column = unigrams_and_bigrams(F.col("tokens")) if with_bigrams else F.col("tokens")
     return (
         # outer: for an inner explode the optimizer adds a size check below it,
@@ -126,7 +126,7 @@ class TfidfIndex:
         self.passages = passages
         self.tokenizer = tokenizer
         self.with_bigrams = with_bigrams
-        keep = tables or IndexTables()
+        self.tables = keep = tables or IndexTables()
         postings = keep.by_passage("tfidf_postings", lambda: passage_terms(passages, tokenizer, with_bigrams))
         n = passages.agg(F.count("*")).scalar()
         self.vocabulary = keep.plain("tfidf_vocabulary", lambda: capped_vocabulary(postings, n, max_features))
@@ -192,7 +192,7 @@ class Bm25Index:
         self.passages = passages
         self.tokenizer = tokenizer
         self.k1, self.b = k1, b
-        keep = tables or IndexTables()
+        self.tables = keep = tables or IndexTables()
         self.postings = keep.by_passage("bm25_postings", lambda: passage_terms(passages, tokenizer))
         self.stats = keep.plain("bm25_stats", lambda: corpus_stats(passages, tokenizer))
         n = self.stats.select("n").scalar()
@@ -233,21 +233,15 @@ def fill_with_zeros(hits: DataFrame, questions: DataFrame, passages: DataFrame,
     A short list has fewer than k hits, so the first 2k passages hold all the
     fill it can need: no question is paired with the corpus."""
     n = passages.agg(F.count("*")).scalar()
-    found = hits.groupBy("qid").agg(F.count("*").alias("_found"))
-    short = (
+    first = (
         questions.select("qid")
-        .join(found, "qid", "left")
-        .fillna(0, ["_found"])
-        .filter(F.col("_found") < k)
         .withColumn("_last", F.least(n, F.lit(2 * k)) - 1)
         .filter(F.col("_last") >= 0)
+        .select("qid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"))).alias("pid"))
     )
-    candidates = short.select("qid", "_found", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"))).alias("pid"))
-    unused = candidates.join(hits.select("qid", "pid"), ["qid", "pid"], "left_anti")
-    filled = (
-        top_k(unused, "qid", [F.col("pid").asc()], k, "_n")
-        .withColumn("rank", F.col("_found") + F.col("_n"))
-        .filter(F.col("rank") <= k)
-        .select("qid", F.col("rank").cast("int").alias("rank"), "pid", F.lit(0.0).alias("score"))
-    )
-    return hits.select("qid", "rank", "pid", "score").unionByName(filled)
+    pool = hits.select(
+        "qid", "pid", F.lit(0).alias("fill"), F.col("rank").cast("long").alias("place"), "score"
+    ).unionByName(first.select("qid", "pid", F.lit(1).alias("fill"), F.col("pid").alias("place"), F.lit(0.0).alias("score")))
+    # a passage that is hit and among the first keeps its hit
+    distinct = pool.groupBy("qid", "pid").agg(F.min(F.struct("fill", "place", "score")).alias("r")).select("qid", "pid", "r.*")
+    return top_k(distinct, "qid", [F.col("fill"), F.col("place")], k).select("qid", "rank", "pid", "score")

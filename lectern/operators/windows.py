@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.functions.text import attention_mask, cased_tokens, pad, token_spans
+from lectern.operators.sizing import spread
 
 MAX_LENGTH = 384
 DOC_STRIDE = 128
@@ -167,5 +168,5 @@ def recursive_chunks(
                 names=["pid", "chunk_no", "text"],
             )
 
-    spread = passages.select(F.col("pid").cast("long").alias("pid"), "text").repartition("pid")
-    return spread.mapInArrow(chunk, "pid long, chunk_no int, text string")
+    texts = spread(passages.select(F.col("pid").cast("long").alias("pid"), "text"), "pid")
+    return texts.mapInArrow(chunk, "pid long, chunk_no int, text string")

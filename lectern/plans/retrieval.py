@@ -12,11 +12,15 @@ from lectern.operators.sparse import Bm25Index, TfidfIndex, retrieve
 DEFAULT_K = 10
 
 
+def with_texts(hits: DataFrame, questions: DataFrame, passages: DataFrame, k: int) -> DataFrame:
+    """Hits with their passage texts; questions times k bounds the hit list."""
+    asked = count_up_to(questions)
+    return gather(hits, passages, max_hits=None if asked is None else asked * k)
+
+
 def contexts_for(hits: DataFrame, examples: DataFrame, passages: DataFrame, k: int) -> DataFrame:
     """(id, question, context): the k passages of each question as one context."""
-    asked = count_up_to(examples)
-    found = gather(hits, passages, max_hits=None if asked is None else asked * k)
-    contexts = concat_passages(found).withColumnRenamed("qid", "id")
+    contexts = concat_passages(with_texts(hits, examples, passages, k)).withColumnRenamed("qid", "id")
     return examples.select("id", "question").join(contexts, "id")
 
 

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.session import shared_dir
 
+PASSAGE_BLOCK_BITS = 20  # ids per directory
+PASSAGE_FILE_BITS = 10  # ids that stay together in a file
+
 
 def corpus_fingerprint(df: DataFrame, columns: Sequence[str]) -> str:
     """Row count and order-free hash of the named columns, in one pass."""
@@ -43,6 +46,21 @@ class TableStore:
             build().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def load_or_build_passages(self, key: dict, build: Callable[[], DataFrame]) -> DataFrame:
+        """(pid, text, block): passages partitioned by blocks of their id and
+        sorted inside, so that fetching a hit list reads only its blocks."""
+        path = self.path("passages", key)
+        if not self.exists(path):
+            placed = build().select("pid", "text", F.shiftright("pid", PASSAGE_BLOCK_BITS).alias("block"))
+            (
+                placed.repartition("block", F.shiftright("pid", PASSAGE_FILE_BITS))
+                .sortWithinPartitions("block", "pid")
+                .write.mode("overwrite")
+                .partitionBy("block")
+                .parquet(path)
+            )
+        return self.spark.read.schema("pid long, text string, block long").parquet(path)
+
     def load_or_build_bucketed(
         self, name: str, key: dict, build: Callable[[], DataFrame], by: str, buckets: int, sort_by: str
     ) -> DataFrame:
