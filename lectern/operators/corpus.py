@@ -70,8 +70,9 @@ def gather(hits: DataFrame, table: DataFrame, key: str = "pid", max_hits: int |
     splits a passage that very many questions hit."""
     on = [key]
     if "block" in table.columns:
-        # a stored passage table: the hits' blocks prune its directories
-        hits = hits.withColumn("block", F.shiftright(key, PASSAGE_BLOCK_BITS))
+        # a stored passage table: the hits' blocks prune its directories. Spark
+        # plans that only for a side with a filter, so there is one
+        hits = hits.withColumn("block", F.shiftright(key, PASSAGE_BLOCK_BITS)).filter(F.col("block") >= 0)
         on = ["block", key]
     if max_hits is not None and max_hits <= BROADCAST_ROWS:
         return table.join(F.broadcast(hits), on).drop("block")

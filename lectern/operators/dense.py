@@ -258,7 +258,7 @@ def scalar_encode(passages: DataFrame, ranges: DataFrame, bits: int = 8) -> Data
     """Replace ``vec`` by ``code``: one small integer per dimension."""
     levels = 1 << bits
     share = F.zip_with(as_doubles(F.col("vec")), "_r", lambda x, r: F.try_divide(x - r["lo"], r["hi"] - r["lo"]))
-    code = F.transform(share, lambda t: F.coalesce(F.least(F.floor(t * levels), F.lit(levels - 1)), F.lit(0)).cast("int"))
+    code = F.transform(share, lambda t: F.least(F.floor(F.coalesce(t, F.lit(0.0)) * levels), F.lit(levels - 1)).cast("int"))
     # the ranges are bound as a column first: a subquery cannot stand in a lambda
     return passages.withColumn("_r", _ranges_as_array(ranges)).withColumn("code", code).drop("vec", "_r")
 
