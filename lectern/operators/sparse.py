@@ -21,6 +21,7 @@ MAX_FEATURES = 50_000
 BM25_K1 = 1.5
 BM25_B = 0.75
 BM25_EPSILON = 0.25
+PUSHED_TERMS = 500
 
 
 class IndexTables:
@@ -32,14 +33,28 @@ class IndexTables:
         self.store, self.key = store, key or {}
         self.buckets = buckets
 
-    def plain(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return self.store.load_or_build(name, self.key, build) if self.store else build()
+    def plain(self, name: str, build: Callable[[], DataFrame], sort_by: str | None = None) -> DataFrame:
+        return self.store.load_or_build(name, self.key, build, sort_by) if self.store else build()
 
     def by_passage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if not self.store:
             return build()
-        buckets = self.buckets or int(self.store.spark.conf.get("spark.sql.shuffle.partitions"))
-        return self.store.load_or_build_bucketed(name, self.key, build, "pid", buckets, "term")
+        session = int(self.store.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = self.buckets or session
+        return self.store.load_or_build_bucketed(
+            name, self.key, build, "pid", buckets, "term", placed=buckets == session
+        )
+
+    def asked_only(self, stored: list[DataFrame], terms: DataFrame) -> list[DataFrame]:
+        """Rows of stored tables for a short list of question terms. The filter
+        reaches the files, which are sorted by term: one question reads the pages
+        of its terms and not the index."""
+        if not self.store:
+            return stored
+        listed = [r["term"] for r in terms.select("term").distinct().limit(PUSHED_TERMS + 1).collect()]
+        if len(listed) > PUSHED_TERMS:
+            return stored
+        return [df.filter(F.col("term").isin(listed)) for df in stored]
 
 
 # -- index ----------------------------------------------------------------
@@ -137,8 +152,9 @@ class TfidfIndex:
         return unit_weights(terms, self.vocabulary, "qid", "qtf")
 
     def scores(self, questions: DataFrame) -> DataFrame:
-        fits = fits_broadcast(question_terms(questions, self.tokenizer, self.with_bigrams))
-        return tfidf_scores(self.weights, self.question_weights(questions), fits)
+        terms = question_terms(questions, self.tokenizer, self.with_bigrams)
+        (weights,) = self.tables.asked_only([self.weights], terms)
+        return tfidf_scores(weights, self.question_weights(questions), fits_broadcast(terms))
 
     def unknown_questions(self, questions: DataFrame) -> DataFrame:
         """Questions without a single vocabulary term."""
@@ -196,15 +212,16 @@ class Bm25Index:
         self.postings = keep.by_passage("bm25_postings", lambda: passage_terms(passages, tokenizer))
         self.stats = keep.plain("bm25_stats", lambda: corpus_stats(passages, tokenizer))
         n = self.stats.select("n").scalar()
-        self.vocabulary = keep.plain("bm25_vocabulary", lambda: bm25_vocabulary(self.postings, n))
+        self.vocabulary = keep.plain("bm25_vocabulary", lambda: bm25_vocabulary(self.postings, n), sort_by="term")
 
     def scores(self, questions: DataFrame) -> DataFrame:
         terms = question_terms(questions, self.tokenizer)
         fits = fits_broadcast(terms)
-        found = sized_join(self.vocabulary.select("term", "idf"), terms, ["term"], salt_by="term", fits=fits)
+        vocabulary, postings = self.tables.asked_only([self.vocabulary, self.postings], terms)
+        found = sized_join(vocabulary.select("term", "idf"), terms, ["term"], salt_by="term", fits=fits)
         weighted = found.select("qid", "term", (F.col("qtf") * F.col("idf")).alias("wq"))
         avgdl = self.stats.select("avgdl").scalar()
-        return bm25_scores(self.postings, weighted, avgdl, fits, self.k1, self.b)
+        return bm25_scores(postings, weighted, avgdl, fits, self.k1, self.b)
 
 
 INDEXES = {TfidfIndex.name: TfidfIndex, Bm25Index.name: Bm25Index}

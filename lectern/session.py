@@ -13,6 +13,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    # a question's terms reach sorted index files as a list, not as a range
+    "spark.sql.parquet.pushdown.inFilterThreshold": "500",
 }
 
 

@@ -39,11 +39,14 @@ class TableStore:
         marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
         return marker.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(marker)
 
-    def load_or_build(self, name: str, key: dict, build: Callable[[], DataFrame]) -> DataFrame:
-        """A plain table."""
+    def load_or_build(
+        self, name: str, key: dict, build: Callable[[], DataFrame], sort_by: str | None = None
+    ) -> DataFrame:
+        """A plain table. Sorted files let a filter on ``sort_by`` skip pages."""
         path = self.path(name, key)
         if not self.exists(path):
-            build().write.mode("overwrite").parquet(path)
+            built = build()
+            (built.sortWithinPartitions(sort_by) if sort_by else built).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     def load_or_build_passages(self, key: dict, build: Callable[[], DataFrame]) -> DataFrame:
@@ -62,20 +65,28 @@ class TableStore:
         return self.spark.read.schema("pid long, text string, block long").parquet(path)
 
     def load_or_build_bucketed(
-        self, name: str, key: dict, build: Callable[[], DataFrame], by: str, buckets: int, sort_by: str
+        self,
+        name: str,
+        key: dict,
+        build: Callable[[], DataFrame],
+        by: str,
+        buckets: int,
+        sort_by: str,
+        placed: bool = False,
     ) -> DataFrame:
         """A table bucketed on ``by``, so that grouping on it after a read needs
         no shuffle, and sorted on ``sort_by`` inside each bucket, so that a filter
-        on it skips row groups."""
+        on it skips row groups. ``placed`` says that what ``build`` returns is
+        already partitioned by ``by`` into ``buckets``, so it is written as it is."""
         key = key | {"buckets": buckets, "by": by}
         path = self.path(name, key)
         table = path.rsplit("/", 1)[1]
         catalog = self.spark.catalog
         if not self.exists(path):
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            built = build()
             (
-                build()
-                .repartition(buckets, by)
+                (built if placed else built.repartition(buckets, by))
                 .write.mode("overwrite")
                 .format("parquet")
                 .bucketBy(buckets, by)
