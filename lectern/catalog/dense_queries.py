@@ -11,6 +11,7 @@ from lectern.catalog import fixtures as fx
 from lectern.catalog.registry import query
 from lectern.functions.vectors import l2_normalize
 from lectern.operators import clustered_text, dense, mixture, sampling
+from lectern.operators.sizing import count_up_to
 from lectern.operators.sparse import retrieve
 
 BITS = 4
@@ -258,7 +259,9 @@ def _hits(spark: SparkSession, sf: str) -> DataFrame:
 
 def _mixed(spark: SparkSession, sf: str) -> DataFrame:
     hits = _hits(spark, sf)
-    return mixture.mixed_logits(fx.sequence_logits(hits), mixture.retrieval_weights(hits))
+    asked = count_up_to(fx.questions(spark, sf))
+    bound = None if asked is None else asked * 10
+    return mixture.mixed_logits(fx.sequence_logits(hits), mixture.retrieval_weights(hits), bound)
 
 
 def _targets(spark: SparkSession, sf: str) -> DataFrame:

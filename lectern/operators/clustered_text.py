@@ -14,8 +14,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.functions.text import unigrams_and_bigrams
-from lectern.operators.sizing import fits_broadcast, top_k
-from lectern.operators.sparse import TfidfIndex, question_terms, tfidf_scores
+from lectern.operators.sizing import fits_broadcast, sized_join, spread, top_k
+from lectern.operators.sparse import TfidfIndex, question_terms
 
 SCORE_DIGITS = 6
 
@@ -57,7 +57,12 @@ def fit_cells(index: TfidfIndex, cells: int = 64, seed: int = 2024, max_iter: in
     if index.tables.store is None:
         vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     model = KMeans(k=cells, seed=seed, maxIter=max_iter, predictionCol="cell").fit(vectors)
-    return TextCells(vectorizer, weights, model, model.transform(vectors).select("pid", "cell"))
+    assigned = index.tables.by_passage(
+        f"tfidf_cells_{cells}_{seed}_{max_iter}",
+        lambda: spread(model.transform(vectors).select("pid", "cell"), "pid"),
+        sort_by="pid",
+    )
+    return TextCells(vectorizer, weights, model, assigned)
 
 
 def clustered_tfidf_topk(index: TfidfIndex, cells: TextCells, questions: DataFrame, k: int) -> DataFrame:
@@ -69,12 +74,16 @@ def clustered_tfidf_topk(index: TfidfIndex, cells: TextCells, questions: DataFra
     asked = _vectors(questions, index, cells.vectorizer, cells.weights, "question").select("qid", "features")
     question_cells = cells.model.transform(asked).select("qid", F.col("cell").alias("qcell"))
     fits = fits_broadcast(question_terms(questions, index.tokenizer, index.with_bigrams))
-    scores = tfidf_scores(index.weights, index.question_weights(questions), fits)
+    # the cell is part of the key, so a question meets only postings of its cell
+    asked_terms = index.question_weights(questions).join(question_cells, "qid").select(
+        "qid", "term", F.col("w").alias("wq"), F.col("qcell").alias("cell")
+    )
+    placed = index.weights.join(cells.assigned, "pid")
     shared = (
-        scores.join(cells.assigned, "pid")
-        .join(question_cells, "qid")
-        .filter(F.col("cell") == F.col("qcell"))
-        .select("qid", "pid", F.round(2 - 2 * F.col("score"), SCORE_DIGITS).alias("score"))
+        sized_join(placed, asked_terms, ["term", "cell"], salt_by="pid", fits=fits)
+        .groupBy("pid", "qid")
+        .agg(F.sum(F.col("w") * F.col("wq")).alias("cosine"))
+        .select("qid", "pid", F.round(2 - 2 * F.col("cosine"), SCORE_DIGITS).alias("score"))
     )
     near = top_k(shared, "qid", [F.col("score"), F.col("pid")], k).drop("rank")
     known = index.weights.select("pid").distinct().withColumn("_known", F.lit(True))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.operators.reader import softmax_over
+from lectern.operators.sizing import BROADCAST_ROWS
 
 END_ID = 1
 PAD_ID = 3
@@ -17,9 +18,14 @@ def retrieval_weights(hits: DataFrame) -> DataFrame:
     return softmax_over(hits.select("qid", "rank", "score"), "qid", "score", "p").select("qid", "rank", "p")
 
 
-def mixed_logits(logits: DataFrame, weights: DataFrame) -> DataFrame:
-    """(id, pos, vocab_id, logit): sum over the passages of weight times logit."""
+def mixed_logits(logits: DataFrame, weights: DataFrame, max_hits: int | None = None) -> DataFrame:
+    """(id, pos, vocab_id, logit): sum over the passages of weight times logit.
+
+    The logits outnumber the weights by positions times vocabulary. With a known
+    bound on the hits the weights travel, and the logits move once, to the sum."""
     p = weights.select(F.col("qid").alias("id"), "rank", "p")
+    if max_hits is not None and max_hits <= BROADCAST_ROWS:
+        p = F.broadcast(p)
     return (
         logits.join(p, ["id", "rank"])
         .groupBy("id", "pos", "vocab_id")

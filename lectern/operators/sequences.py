@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lectern.functions.text import Tokenizer, attention_mask, cased_tokens, pad, strip, truncate
+from lectern.operators.sizing import fits_broadcast
 
 IGNORED_LABEL = -100
 PAIR_LIMIT = 512
@@ -34,7 +35,9 @@ def decode(sequences: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(id, text): tokens of ``sequences`` (id, ids) without special ones, joined
     and stripped. ``vocabulary`` is (vocab_id, token, special)."""
     entries = sequences.select("id", F.posexplode_outer("ids").alias("pos", "vocab_id"))
-    named = entries.join(vocabulary.filter(~F.col("special")).select("vocab_id", "token"), "vocab_id", "left")
+    names = vocabulary.filter(~F.col("special")).select("vocab_id", "token")
+    # frequent tokens make hot keys: a vocabulary that fits goes to the entries
+    named = entries.join(F.broadcast(names) if fits_broadcast(names) else names, "vocab_id", "left")
     kept = F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("pos", "token"))))
     words = F.array_join(F.transform(kept, lambda t: t["token"]), " ")
     return named.groupBy("id").agg(strip(words).alias("text"))

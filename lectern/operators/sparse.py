@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions.text import Tokenizer, unigrams_and_bigrams, whitespace_tokens
 from lectern.operators.corpus import rank_hits
-from lectern.operators.sizing import fits_broadcast, global_top_k, sized_join, spread, top_k
+from lectern.operators.sizing import BROADCAST_ROWS, fits_broadcast, global_top_k, sized_join, spread, top_k
 from lectern.sources.index_store import TableStore
 
 MAX_FEATURES = 50_000
@@ -36,13 +36,13 @@ class IndexTables:
     def plain(self, name: str, build: Callable[[], DataFrame], sort_by: str | None = None) -> DataFrame:
         return self.store.load_or_build(name, self.key, build, sort_by) if self.store else build()
 
-    def by_passage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def by_passage(self, name: str, build: Callable[[], DataFrame], sort_by: str | None = "term") -> DataFrame:
         if not self.store:
             return build()
         session = int(self.store.spark.conf.get("spark.sql.shuffle.partitions"))
         buckets = self.buckets or session
         return self.store.load_or_build_bucketed(
-            name, self.key, build, "pid", buckets, "term", placed=buckets == session
+            name, self.key, build, "pid", buckets, sort_by, placed=buckets == session
         )
 
     def asked_only(self, stored: list[DataFrame], terms: DataFrame) -> list[DataFrame]:
@@ -107,12 +107,11 @@ def capped_vocabulary(postings: DataFrame, n_passages: Column, max_features: int
     return kept.withColumn("idf", F.log((n_passages + 1) / (F.col("df") + 1)) + 1.0)
 
 
-def unit_weights(terms: DataFrame, vocabulary: DataFrame, by: str, tf: str) -> DataFrame:
-    """(by, term, w): tf-idf weights with every row of unit length. The capped
-    vocabulary bounds what is broadcast."""
-    raw = terms.join(F.broadcast(vocabulary.select("term", "idf")), "term").withColumn(
-        "_w", F.col(tf) * F.col("idf")
-    )
+def unit_weights(terms: DataFrame, vocabulary: DataFrame, by: str, tf: str, fits: bool = True) -> DataFrame:
+    """(by, term, w): tf-idf weights with every row of unit length. ``fits``: the
+    cap of the vocabulary is small enough to send it to every executor."""
+    known = sized_join(terms, vocabulary.select("term", "idf"), ["term"], salt_by=by, fits=fits)
+    raw = known.withColumn("_w", F.col(tf) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(by)))
     return raw.select(by, "term", (F.col("_w") / norm).alias("w"))
 
@@ -142,14 +141,17 @@ class TfidfIndex:
         self.tokenizer = tokenizer
         self.with_bigrams = with_bigrams
         self.tables = keep = tables or IndexTables()
-        postings = keep.by_passage("tfidf_postings", lambda: passage_terms(passages, tokenizer, with_bigrams))
+        self.small = max_features <= BROADCAST_ROWS
+        postings = keep.by_passage(
+            "tfidf_postings", lambda: passage_terms(passages, tokenizer, with_bigrams), sort_by=None
+        )
         n = passages.agg(F.count("*")).scalar()
         self.vocabulary = keep.plain("tfidf_vocabulary", lambda: capped_vocabulary(postings, n, max_features))
-        self.weights = keep.by_passage("tfidf_weights", lambda: unit_weights(postings, self.vocabulary, "pid", "tf"))
+        self.weights = keep.by_passage("tfidf_weights", lambda: unit_weights(postings, self.vocabulary, "pid", "tf", self.small))
 
     def question_weights(self, questions: DataFrame) -> DataFrame:
         terms = question_terms(questions, self.tokenizer, self.with_bigrams)
-        return unit_weights(terms, self.vocabulary, "qid", "qtf")
+        return unit_weights(terms, self.vocabulary, "qid", "qtf", self.small)
 
     def scores(self, questions: DataFrame) -> DataFrame:
         terms = question_terms(questions, self.tokenizer, self.with_bigrams)
@@ -159,7 +161,8 @@ class TfidfIndex:
     def unknown_questions(self, questions: DataFrame) -> DataFrame:
         """Questions without a single vocabulary term."""
         terms = question_terms(questions, self.tokenizer, self.with_bigrams)
-        known = terms.join(F.broadcast(self.vocabulary.select("term")), "term", "left_semi").select("qid")
+        vocabulary = self.vocabulary.select("term")
+        known = terms.join(F.broadcast(vocabulary) if self.small else vocabulary, "term", "left_semi").select("qid")
         return questions.join(known, "qid", "left_anti")
 
 

@@ -76,10 +76,12 @@ def augmented_inputs(
     )
 
 
-def augmented_answers(hits: DataFrame, logits: DataFrame, targets: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+def augmented_answers(
+    hits: DataFrame, logits: DataFrame, targets: DataFrame | None = None, max_hits: int | None = None
+) -> tuple[DataFrame, DataFrame | None]:
     """(id, ids) decoded from the score-weighted logits, and the exact match up to
     the end marker when ``targets`` (id, ids) are given."""
-    mixed = mixture.mixed_logits(logits, mixture.retrieval_weights(hits))
+    mixed = mixture.mixed_logits(logits, mixture.retrieval_weights(hits), max_hits)
     decoded = mixture.as_sequence(mixture.greedy_decode(mixed))
     return decoded, None if targets is None else mixture.sequence_exact_match(decoded, targets)
 

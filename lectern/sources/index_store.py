@@ -71,7 +71,7 @@ class TableStore:
         build: Callable[[], DataFrame],
         by: str,
         buckets: int,
-        sort_by: str,
+        sort_by: str | None,
         placed: bool = False,
     ) -> DataFrame:
         """A table bucketed on ``by``, so that grouping on it after a read needs
@@ -85,19 +85,18 @@ class TableStore:
         if not self.exists(path):
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
             built = build()
-            (
+            writer = (
                 (built if placed else built.repartition(buckets, by))
                 .write.mode("overwrite")
                 .format("parquet")
                 .bucketBy(buckets, by)
-                .sortBy(sort_by)
-                .option("path", path)
-                .saveAsTable(table)
             )
+            (writer.sortBy(sort_by) if sort_by else writer).option("path", path).saveAsTable(table)
         elif not catalog.tableExists(table):
             columns = self.spark.read.parquet(path).schema.toDDL()
+            order = f"SORTED BY ({sort_by}) " if sort_by else ""
             self.spark.sql(
-                f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({sort_by}) "
+                f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({by}) {order}"
                 f"INTO {buckets} BUCKETS LOCATION '{path}'"
             )
         return self.spark.table(table)
