@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lectern.functions.text import cased_tokens, whitespace_tokens
-from lectern.operators.corpus import dedup_in_order
+from lectern.operators.corpus import dedup_in_order, gather
 from lectern.operators.sparse import Bm25Index, IndexTables, TfidfIndex, build_index
 from lectern.operators.windows import features
 from lectern.session import shared_dir
@@ -45,14 +45,6 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _anchors(tokens: Column, first: int, last: Column) -> Column:
-    """Every run of three tokens that starts at ``first`` or later."""
-    return F.transform(
-        F.sequence(F.lit(first), F.greatest(last, F.lit(first))),
-        lambda i: F.array_join(F.slice(tokens, i, 3), " "),
-    )
-
-
 def qa_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "qa_examples", lambda: _qa_examples(spark, sf_dir))
 
@@ -62,25 +54,27 @@ def _qa_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     that holds them.
 
     A passage that holds a text holds its inner words as whole words, so the
-    second to fourth word are the join key and ``contains`` decides."""
-    items = questions(spark, sf_dir).withColumn("_q", cased_tokens(F.col("question")))
-    keyed = items.select("qid", "question", F.array_join(F.slice("_q", 2, 3), " ").alias("anchor"))
-    corpus = passages(spark, sf_dir)
-    words = corpus.withColumn("_t", cased_tokens(F.col("text")))
-    anchored = words.select("pid", "text", F.explode(F.array_distinct(_anchors(F.col("_t"), 1, F.size("_t") - 2))).alias("anchor"))
-    found = anchored.join(keyed, "anchor").filter(F.contains("text", "question"))
+    second to fourth word are the join key. Only ids meet on it; the texts of the
+    candidates are fetched afterwards and ``contains`` decides."""
+    items = questions(spark, sf_dir)
+    keyed = items.select("qid", F.array_join(F.slice(cased_tokens(F.col("question")), 2, 3), " ").alias("anchor"))
+    words = passages(spark, sf_dir).select("pid", cased_tokens(F.col("text")).alias("_t"))
+    runs = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("_t") - 2, F.lit(1))),
+        lambda i: F.array_join(F.slice("_t", i, 3), " "),
+    )
+    anchored = words.select("pid", F.explode_outer(F.array_distinct(runs)).alias("anchor"))
+    candidates = anchored.join(keyed, "anchor").select("qid", "pid").distinct()
+    found = (
+        gather(candidates, passages(spark, sf_dir)).join(items, "qid").filter(F.contains("text", "question"))
+    )
     first = found.groupBy("qid", "question").agg(F.min(F.struct("pid", "text")).alias("_p"))
     start = F.instr(F.col("context"), F.col("question")) + 39
-    return first.select(
-        F.col("qid").alias("id"), "question", F.col("_p")["text"].alias("context")
-    ).select(
-        "id",
-        "question",
-        "context",
-        F.struct(
-            F.array(F.substring("question", 41, 20)).alias("text"),
-            F.array(start.cast("int")).alias("answer_start"),
-        ).alias("answers"),
+    answers = F.struct(
+        F.array(F.substring("question", 41, 20)).alias("text"), F.array(start.cast("int")).alias("answer_start")
+    )
+    return first.select(F.col("qid").alias("id"), "question", F.col("_p")["text"].alias("context")).withColumn(
+        "answers", answers
     )
 
 
