@@ -1,3 +1,11 @@
 """Retrieval and reading-comprehension data work on Spark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run inside tasks travel with the job, so executors need no copy
+# of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
