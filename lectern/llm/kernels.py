@@ -20,8 +20,8 @@ SPACES[[9, 10, 11, 12, 13, 32]] = True
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+BASE = 0x9E3779B97F4A7C15
+BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,7 +37,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
@@ -53,7 +53,7 @@ class WordHasher:
 
     def _tables(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            self.up, self.down = _powers(_BASE, n), _powers(_BASE_INVERSE, n)
+            self.up, self.down = powers(BASE, n), powers(BASE_INVERSE, n)
         return self.up, self.down
 
     def chunk(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +124,7 @@ def digest(hashes: np.ndarray) -> tuple[int, int]:
     """Two independent 64-bit hashes of a whole word sequence, as signed integers."""
     n = len(hashes)
     place = np.arange(1, n + 1, dtype=np.uint64)
-    a = np.bitwise_xor.reduce(mix(hashes + place * np.uint64(_BASE)), initial=np.uint64(n))
+    a = np.bitwise_xor.reduce(mix(hashes + place * np.uint64(BASE)), initial=np.uint64(n))
     b = np.add.reduce(mix(hashes ^ mix(place)), dtype=np.uint64)
     return signed(a), signed(b)
 

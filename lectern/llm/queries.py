@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.llm import sql
+from lectern.llm.decontaminate import contaminated
 from lectern.llm.lines import drop_repeated_lines
 from lectern.llm.minhash import near_duplicates
+from lectern.llm.ngram_lm import fit, fold, score
 from lectern.llm.packing import pack
+from lectern.llm.quality import judged, ledger
 from lectern.llm.shards import interleave
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+QUALITY_POLICY = "v2"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -22,6 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    book = judged(ledger(table(spark, sf_dir, "documents")), QUALITY_POLICY)
+    return book.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "fail_bits", "sole_bit",
+    )
+
+
+def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(table(spark, sf_dir, "documents"), 40)
 
@@ -34,6 +50,16 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs.filter(fold("doc_id", 5) != 1))
+    scored = score(docs, model)
+    return scored.select(
+        "doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def op9_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,12 +74,16 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_ledger": op1_quality_ledger,
+    "op2_string_tiling": op2_string_tiling,
     "op3_interleaved_shards": op3_interleaved_shards,
     "op6_line_dedup": op6_line_dedup,
+    "op7_kneser_ney": op7_kneser_ney,
     "op9_circulant_minhash": op9_circulant_minhash,
     "op10_hilbert_packing": op10_hilbert_packing,
 }
 ORACLES: dict[str, str] = {
+    "op1_quality_ledger": sql.QUALITY,
     "op3_interleaved_shards": sql.SHARDS,
     "op6_line_dedup": sql.LINES,
     "op9_circulant_minhash": sql.NEAR_DUPLICATES,

@@ -16,6 +16,38 @@ def _words(text: str) -> str:
     return f"list_filter(string_split_regex(coalesce({text}, ''), '[{_SPACE}]+'), lambda w: w <> '')"
 
 
+QUALITY = f"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS text, {_words("text")} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda v: regexp_matches(v, '[^{_SPACE}]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g
+  FROM split
+), twice AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id
+), measured AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
+         length(regexp_replace(text, '\\P{{L}}+', '', 'g')) AS n_letters,
+         length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_capitals,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM split LEFT JOIN covered USING (doc_id)
+), book AS (
+  SELECT *, (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT
+    + 4 * (100 * n_dup_lines > 30 * n_lines)::BIGINT + 8 * (10 * n_symbols > n_words)::BIGINT
+    + 16 * (word_chars < 2 * n_words)::BIGINT + 32 * (word_chars > 25 * n_words)::BIGINT
+    + 64 * (2 * n_letters < word_chars)::BIGINT + 128 * (10 * n_capitals > 6 * n_letters)::BIGINT AS fail_bits
+  FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed,
+       fail_bits = 0 AS kept, fail_bits, CASE WHEN bit_count(fail_bits) = 1 THEN fail_bits ELSE 0 END AS sole_bit
+FROM book
+"""
+
 # CRC-32 of the UTF-8 bytes: the table of the reversed polynomial, then a fold over the bytes
 _CRC_TABLE = """crc_table AS (
   SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
