@@ -16,7 +16,7 @@ _WORD = r"[^\x20\x09-\x0D]"
 _SYMBOL = r"[#*$%&|<>]"
 WINDOW = 5
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_capitals")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_capitals", "n_echoes")
 
 
 @dataclass(frozen=True)
@@ -35,12 +35,13 @@ def _c(name: str) -> Column:
 RULES = (
     Rule("few_words", 0, lambda: _c("n_words") < 10),
     Rule("repeated_words", 1, lambda: _c("n_repeat_words") * 100 > _c("n_words") * 20),
-    Rule("repeated_lines", 2, lambda: _c("n_dup_lines") * 100 > _c("n_lines") * 30),
+    Rule("repeated_lines", 2, lambda: _c("n_dup_lines") * 2 > _c("n_lines")),
     Rule("symbols", 3, lambda: _c("n_symbols") * 10 > _c("n_words")),
     Rule("short_words", 4, lambda: _c("word_chars") < _c("n_words") * 2),
     Rule("long_words", 5, lambda: _c("word_chars") > _c("n_words") * 25),
     Rule("few_letters", 6, lambda: _c("n_letters") * 2 < _c("word_chars")),
     Rule("capitals", 7, lambda: _c("n_capitals") * 10 > _c("n_letters") * 6),
+    Rule("echoes", 8, lambda: _c("n_echoes") * 100 > _c("n_words") * 30),
 )
 BITS = {rule.name: 1 << rule.bit for rule in RULES}
 BASE = BITS["few_words"] | BITS["repeated_words"]
@@ -65,7 +66,7 @@ def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """(key, the measurements, fail_bits) for every row.
 
     Words are runs without white space. ``n_repeat_words`` counts the words that lie in a
-    five-word window found twice or more in the text. A null text is empty: no words, no lines
+    five-word window found twice or more in the text, ``n_echoes`` those equal to the word before. A null text is empty: no words, no lines
     with a word. Repeated rows are judged as often as they occur. All work is in the row: windows
     are compared by 64-bit hashes, sorted only in texts that repeat one, so a long text
     costs n log n and nothing is shuffled."""
@@ -87,7 +88,8 @@ def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     window = F.transform(
         F.sequence(F.lit(0), F.size("_h") - WINDOW), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(WINDOW)])
     )
-    windowed = counted.withColumn("_w", F.when(F.size("_h") >= WINDOW, window).otherwise(F.array().cast("array<bigint>"))).drop("_h")
+    echoes = F.size(F.filter(h, lambda v, i: F.get(h, i - 1).eqNullSafe(v))).cast("long")
+    windowed = counted.withColumn("n_echoes", echoes).withColumn("_w", F.when(F.size("_h") >= WINDOW, window).otherwise(F.array().cast("array<bigint>"))).drop("_h")
     repeats = F.size(F.array_distinct("_w")) < F.size("_w")
     by_hash = F.sort_array(F.transform("_w", lambda v, i: F.struct(v.alias("h"), i.alias("i"))))
     ordered = windowed.withColumn("_s", F.when(repeats, by_hash)).drop("_w")

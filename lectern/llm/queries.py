@@ -15,6 +15,7 @@ from lectern.llm.ngram_lm import fit, fold, score
 from lectern.llm.packing import pack
 from lectern.llm.quality import judged, ledger
 from lectern.llm.shards import interleave
+from lectern.llm.toxicity import fit as fit_toxicity, production_part
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +43,14 @@ def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(table(spark, sf_dir, "documents"), 40)
 
 
+def op5_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), production_part())
+    return model.score(docs).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cleaned = drop_repeated_lines(docs, totals=("n_lines", "n_dropped"))
@@ -77,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_ledger": op1_quality_ledger,
     "op2_string_tiling": op2_string_tiling,
     "op3_interleaved_shards": op3_interleaved_shards,
+    "op5_boosted_toxicity": op5_boosted_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_kneser_ney": op7_kneser_ney,
     "op9_circulant_minhash": op9_circulant_minhash,

@@ -34,13 +34,14 @@ WITH split AS (
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
          length(regexp_replace(text, '\\P{{L}}+', '', 'g')) AS n_letters,
          length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_capitals,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echoes,
          coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM split LEFT JOIN covered USING (doc_id)
 ), book AS (
   SELECT *, (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT
-    + 4 * (100 * n_dup_lines > 30 * n_lines)::BIGINT + 8 * (10 * n_symbols > n_words)::BIGINT
+    + 4 * (2 * n_dup_lines > n_lines)::BIGINT + 8 * (10 * n_symbols > n_words)::BIGINT
     + 16 * (word_chars < 2 * n_words)::BIGINT + 32 * (word_chars > 25 * n_words)::BIGINT
-    + 64 * (2 * n_letters < word_chars)::BIGINT + 128 * (10 * n_capitals > 6 * n_letters)::BIGINT AS fail_bits
+    + 64 * (2 * n_letters < word_chars)::BIGINT + 128 * (10 * n_capitals > 6 * n_letters)::BIGINT + 256 * (100 * n_echoes > 30 * n_words)::BIGINT AS fail_bits
   FROM measured
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed,
