@@ -16,6 +16,7 @@ from lectern.llm.packing import pack
 from lectern.llm.quality import judged, ledger
 from lectern.llm.shards import interleave
 from lectern.llm.toxicity import fit as fit_toxicity, production_part
+from lectern.llm.wrappers import extract
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +70,11 @@ def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -89,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op5_boosted_toxicity": op5_boosted_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_kneser_ney": op7_kneser_ney,
+    "op8_wrapper_text": op8_wrapper_text,
     "op9_circulant_minhash": op9_circulant_minhash,
     "op10_hilbert_packing": op10_hilbert_packing,
 }
