@@ -13,14 +13,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.components import components
-from lectern.llm.kernels import WordHasher, digest, mix, windows
+from lectern.llm.kernels import WordHasher, chunks, digest, mix, windows
 from lectern.llm.tables import written
 
 _SIGNED = "doc_id long, d1 long, d2 long, n_shingles long, bands array<long>"
 _SETS = "doc_id long, shingles array<long>"
 # coordinates are computed over this many shingles at a time, so that they stay in cache
-_BLOCK = 1 << 13
-_ODD = np.uint64(0xA24BAED4963EE407)
+_BLOCK = 1 << 16
+# rounds of pivots: how many times more in each
+_GROWTH = 4
 
 
 def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -30,30 +31,39 @@ def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
     return np.unique(windows(hashes, k))
 
 
-def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
-    """Circulant MinHash coordinates of a non-empty set."""
-    out = np.full(coordinates, np.iinfo(np.uint64).max, np.uint64)
-    spread = mix(shingles ^ np.uint64(0x6A09E667F3BCC909))
-    for at in range(0, len(spread), _BLOCK):
-        block = spread[at : at + _BLOCK]
+def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
+    """Circulant MinHash coordinates of non-empty sets, one row each.
+
+    The first permutation places the shingles on a circle of 2**32 values; coordinate k is the
+    least value of the second one, read k places further on."""
+    out = np.full((len(sets), coordinates), np.iinfo(np.uint32).max, np.uint32)
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    circle = (mix(np.concatenate(sets) ^ np.uint64(0x6A09E667F3BCC909)) >> np.uint64(32)).astype(np.uint32)
+    for start in range(0, len(circle), _BLOCK):
+        block = circle[start : start + _BLOCK]
+        first = int(np.searchsorted(ends, start, "right"))
+        last = int(np.searchsorted(ends, start + len(block), "left"))
+        edges = np.maximum(ends[first : last + 1] - sizes[first : last + 1] - start, 0)
+        value, shifted = np.empty_like(block), np.empty_like(block)
         for k in range(coordinates):
-            # the second permutation, read at a place shifted by k
-            value = (block - np.uint64(k)) * _ODD
-            value ^= value >> np.uint64(32)
-            value *= np.uint64(0xD6E8FEB86659FD93)
-            value ^= value >> np.uint64(29)
-            low = value.min()
-            if low < out[k]:
-                out[k] = low
+            np.add(block, np.uint32(k), out=value)
+            np.multiply(value, np.uint32(0x85EBCA6B), out=value)
+            np.right_shift(value, np.uint32(15), out=shifted)
+            np.bitwise_xor(value, shifted, out=value)
+            np.multiply(value, np.uint32(0xC2B2AE35), out=value)
+            np.right_shift(value, np.uint32(13), out=shifted)
+            np.bitwise_xor(value, shifted, out=value)
+            np.minimum(out[first : last + 1, k], np.minimum.reduceat(value, edges), out=out[first : last + 1, k])
     return out
 
 
 def band_keys(coordinates: np.ndarray, rows: int) -> np.ndarray:
-    """One 64-bit key per band of ``rows`` coordinates, different for each band."""
-    grid = coordinates.reshape(-1, rows)
-    keys = np.arange(1, len(grid) + 1, dtype=np.uint64) * _ODD
+    """One 64-bit key per set and band of ``rows`` coordinates, different for each band."""
+    grid = coordinates.reshape(len(coordinates), -1, rows).astype(np.uint64)
+    keys = np.broadcast_to(np.arange(1, grid.shape[1] + 1, dtype=np.uint64), grid.shape[:2])
     for j in range(rows):
-        keys = mix(keys ^ grid[:, j]) + np.uint64(j)
+        keys = mix(keys * np.uint64(0xA24BAED4963EE407) + grid[:, :, j])
     return keys
 
 
@@ -61,20 +71,26 @@ def _sign(k: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            n = batch.num_rows
-            first, second = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            sizes = np.zeros(n, np.int64)
-            keys: list = [None] * n
-            for row, hashes in hasher(batch.column(1)):
-                shingles = shingle_set(hashes, k)
-                sizes[row] = len(shingles)
-                if len(shingles):
-                    first[row], second[row] = digest(hashes)
-                    keys[row] = band_keys(signature(shingles, bands * rows), rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(first), pa.array(second), pa.array(sizes), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "d1", "d2", "n_shingles", "bands"],
-            )
+            for first, part in chunks(batch.column(1)):
+                hashes, at = hasher.chunk(part)
+                n = len(part)
+                ones, twos, sizes = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+                sets, filled = [], []
+                for row in range(n):
+                    own = hashes[at[row] : at[row + 1]]
+                    if len(own):
+                        sets.append(shingle_set(own, k))
+                        filled.append(row)
+                        ones[row], twos[row] = digest(own)
+                        sizes[row] = len(sets[-1])
+                keys: list = [None] * n
+                if sets:
+                    for row, own in zip(filled, band_keys(signatures(sets, bands * rows), rows).view(np.int64)):
+                        keys[row] = own
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, n), pa.array(ones), pa.array(twos), pa.array(sizes), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["doc_id", "d1", "d2", "n_shingles", "bands"],
+                )
 
     return run
 
@@ -101,8 +117,9 @@ def _sets(k: int):
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (p, x) whose full sets overlap enough. A pivot that is in very many
     pairs is a skewed join key, which adaptive execution splits."""
+    of_p = sets.join(pairs.select(F.col("p").alias("doc_id")).distinct(), "doc_id", "left_semi")
     with_x = pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx")), "x")
-    both = with_x.join(sets.select(F.col("doc_id").alias("p"), F.col("shingles").alias("sp")), "p")
+    both = with_x.join(of_p.select(F.col("doc_id").alias("p"), F.col("shingles").alias("sp")), "p")
     shared = F.size(F.array_intersect("sx", "sp"))
     return (
         both.withColumn("shared", shared)
@@ -112,48 +129,90 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _classed(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Rows with the class that their document is known to be in."""
+    rows = rows.drop("class")
+    if labels is None:
+        return rows.withColumn("class", F.col("doc_id"))
+    named = rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    return named.withColumn("class", F.coalesce("label", "doc_id")).drop("label")
+
+
+def _undone(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets whose members are not all known to belong together."""
+    mixed = rows.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi")
+    return rows.join(mixed.select("band"), "band", "left_semi")
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Rows with ``degree``: how often a document meets others. Who meets most is most
+    likely in the middle of its group."""
+    sizes = rows.groupBy("band").agg(F.count("*").alias("size"))
+    degree = rows.join(sizes, "band").groupBy("doc_id").agg(F.sum("size").alias("degree"))
+    return rows.drop("degree").join(degree, "doc_id")
+
+
+def _meet(rows: DataFrame, salts: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs p, x; rows that were no pivot): in every bucket, all members meet one pivot per
+    salt. Members of the pivot's class, and those too large or small for the overlap, need not."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(salts)), F.lit(salts)))
+    pivots = salted.groupBy("band", "salt").agg(F.max(F.struct("degree", "doc_id", "class", "n")).alias("top"))
+    pivots = pivots.select("band", *[F.col(f"top.{c}").alias(a) for c, a in (("doc_id", "p"), ("class", "cp"), ("n", "np"))])
+    sized = (F.least("n", "np") * 100 >= F.greatest("n", "np") * percent)
+    met = rows.join(pivots, (rows["band"] == pivots["band"]) & (F.col("class") != F.col("cp")) & sized)
+    pairs = met.select(F.least("p", "doc_id").alias("p"), F.greatest("p", "doc_id").alias("x")).distinct()
+    rest = rows.join(pivots.select("band", F.col("p").alias("doc_id")), ["band", "doc_id"], "left_anti")
+    return pairs, rest
+
+
+def _prefixes(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(band, doc_id, n) with a bucket for each shingle that two of ``docs`` may have to
+    share: in one order of all shingles, rarest first, sets that overlap enough
+    have a shingle in common among the first of each (Chaudhuri et al., prefix filter)."""
+    own = sets.join(docs, "doc_id", "left_semi").withColumn("n", F.size("shingles"))
+    each = own.select("doc_id", "n", F.explode("shingles").alias("s"))
+    shared = each.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1")
+    listed = each.join(shared, "s").groupBy("doc_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("list"))
+    # shingles of one document come first and use up places
+    places = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("list"))
+    first = F.slice("list", F.lit(1), F.greatest(places, F.lit(0)).cast("int"))
+    return listed.select("doc_id", F.col("n").cast("long").alias("n"), F.explode(first).alias("v")).select(
+        F.col("v.s").alias("band"), "doc_id", "n"
+    )
+
+
 def _links(buckets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """Confirmed links (a, b) that connect what the buckets' pairs connect.
+    """Confirmed links (a, b) that connect all that can be linked inside the buckets.
 
-    In every bucket all members meet a few pivots. A pivot has then met everyone and
-    leaves; a bucket is done when its other members are known to belong together.
-    The number of pivots doubles from round to round, so that also a bucket of
-    documents that are all unlike each other is compared to its last pair."""
+    First all members of a bucket meet its pivot. Where the others do not turn out to
+    belong together, prefix-filter buckets replace the bands: they keep every pair that can be
+    linked and part documents that only share a common passage. Pivots then meet
+    the members of other classes, more pivots in each round, until every bucket is of one
+    class, or to its last pair."""
     sizes = buckets.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
-    alive = written(buckets.join(sizes, "band"), "buckets")
-    degree = alive.groupBy("doc_id").agg(F.sum("size").alias("degree"))
-    # who shares most buckets is most likely in the middle of its group
-    alive = written(alive.drop("size").join(degree, "doc_id"), "buckets")
-    if alive.isEmpty():
+    several = buckets.join(sizes.select("band"), "band", "left_semi")
+    rows = written(_ranked(_classed(several, None)), "buckets")
+    if rows.isEmpty():
         return None
-    asked = alive.select("doc_id").distinct()
+    asked = rows.select("doc_id").distinct()
     sets = written(docs.join(asked, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(k), _SETS), "shingles")
-    links, labels, round_no = None, None, 0
+    links, labels, salts = None, None, 1
     while True:
-        salted = alive.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(round_no)), F.lit(1 << round_no)))
-        pivots = salted.groupBy("band", "salt").agg(F.max(F.struct("degree", "doc_id"))["doc_id"].alias("p")).select("band", "p")
-        met = alive.join(pivots, "band").filter(F.col("doc_id") != F.col("p"))
-        if labels is not None:
-            met = _apart(met, labels)
-        pairs = met.select(F.least("p", "doc_id").alias("p"), F.greatest("p", "doc_id").alias("x")).distinct()
-        found = written(_confirmed(pairs, sets, percent), "links")
-        links = found if links is None else written(links.unionByName(found).distinct(), "links")
-        labels = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
-        rest = alive.join(pivots.select("band", F.col("p").alias("doc_id")), ["band", "doc_id"], "left_anti")
-        named = rest.join(labels, F.col("doc_id") == F.col("node"), "left").withColumn("class", F.coalesce("label", "doc_id"))
-        undone = named.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi")
-        alive = written(rest.join(undone.select("band"), "band", "left_semi"), "buckets")
-        if alive.isEmpty():
-            return links.select(F.col("p").alias("a"), F.col("x").alias("b"))
-        round_no += 1
-
-
-def _apart(met: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs that are not already known to belong together."""
-    of_x = labels.select(F.col("node").alias("doc_id"), F.col("label").alias("lx"))
-    of_p = labels.select(F.col("node").alias("p"), F.col("label").alias("lp"))
-    both = met.join(of_x, "doc_id", "left").join(of_p, "p", "left")
-    return both.filter(F.coalesce("lx", "doc_id") != F.coalesce("lp", "p"))
+        pairs, rest = _meet(rows, salts, percent)
+        found = written(_confirmed(pairs, sets, percent), "links").select(F.col("p").alias("a"), F.col("x").alias("b"))
+        known = found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        labels = components(known)
+        links = found if links is None else links.unionByName(found)
+        rest = _undone(_classed(rest, labels))
+        if salts == 1:
+            open_docs = written(rest.select("doc_id").distinct(), "open")
+            rest = _undone(_ranked(_classed(_prefixes(open_docs, sets, percent), labels)))
+        else:
+            salts *= _GROWTH
+        rows = written(rest, "buckets")
+        if rows.isEmpty():
+            return links
+        salts = max(salts, 2)
 
 
 def near_duplicates(
@@ -178,7 +237,7 @@ def near_duplicates(
     groups = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     members = written(full.drop("bands").join(groups, ["d1", "d2"]).select("doc_id", "rep").distinct(), "members")
     reps = full.join(groups, ["d1", "d2"]).filter("doc_id = rep")
-    buckets = reps.select(F.explode("bands").alias("band"), "doc_id").distinct()
+    buckets = reps.select(F.explode("bands").alias("band"), "doc_id", F.col("n_shingles").alias("n")).distinct()
     near = _links(buckets, own, k, percent)
     # an id with several texts ties their groups together
     several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")

@@ -63,7 +63,7 @@ def _repeat_words(n: Column) -> Column:
 
 
 def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, the measurements, fail_bits) for every row.
+    """(key, the measurements, fail_bits) for every row; ``key`` may be any column.
 
     Words are runs without white space. ``n_repeat_words`` counts the words that lie in a
     five-word window found twice or more in the text, ``n_echoes`` those equal to the word before. A null text is empty: no words, no lines
@@ -108,7 +108,8 @@ def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     bits = F.lit(0).cast("long")
     for rule in RULES:
         bits = bits.bitwiseOR(F.when(rule.broken(), F.lit(1 << rule.bit)).otherwise(F.lit(0)).cast("long"))
-    return measured.select(key, *MEASURES, bits.alias("fail_bits"))
+    # a generator is a wall for filters: pushed below it they would evaluate the rules again
+    return measured.select(key, F.inline(F.array(F.struct(*MEASURES, bits.alias("fail_bits")))))
 
 
 def fails(policy: str | int, bits: str = "fail_bits") -> Column:
@@ -149,3 +150,10 @@ def ablation(book: DataFrame, policy: str | int) -> DataFrame:
             F.coalesce(F.sum(F.when((F.col("bits") == 0) | (F.col("bits") == F.col("bit")), F.col("n"))), F.lit(0)).alias("kept_without"),
         )
     )
+
+
+def kept_documents(docs: DataFrame, policy: str | int, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that a policy keeps, all columns as they are. Rows are carried
+    through the ledger whole, so neither ids nor the names of other columns matter."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    return judged(ledger(whole, "row", "text"), policy).filter("kept").select("row.*")

@@ -16,10 +16,19 @@ from lectern.llm.packing import pack
 from lectern.llm.quality import judged, ledger
 from lectern.llm.shards import interleave
 from lectern.llm.toxicity import fit as fit_toxicity, production_part
+from lectern.llm.urls import judge, mine
 from lectern.llm.wrappers import extract
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# the rules of the contract: verdict, host, start of the path
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
 QUALITY_POLICY = "v2"
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -44,6 +53,13 @@ def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(table(spark, sf_dir, "documents"), 40)
 
 
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return judge(pages, URL_RULES, mine(pages.join(labels, "page_id")))
+
+
 def op5_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"), production_part())
@@ -92,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_ledger": op1_quality_ledger,
     "op2_string_tiling": op2_string_tiling,
     "op3_interleaved_shards": op3_interleaved_shards,
+    "op4_url_rules": op4_url_rules,
     "op5_boosted_toxicity": op5_boosted_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_kneser_ney": op7_kneser_ney,
