@@ -9,7 +9,7 @@ from lectern.catalog.registry import query
 from lectern.functions import text as tx
 from lectern.operators import corpus, metrics
 from lectern.operators.sizing import top_k
-from lectern.operators.sparse import passage_terms, retrieve
+from lectern.operators.sparse import IndexTables, TfidfIndex, passage_terms, retrieve
 from lectern.plans.retrieval import contexts_for, with_texts
 from lectern.sources import readers, sinks
 from lectern.sources.index_store import TableStore, corpus_fingerprint
@@ -45,22 +45,36 @@ def s3(spark: SparkSession, sf: str) -> DataFrame:
     return readers.flatten_articles(articles).select("id", F.col("answers").alias("answer"))
 
 
+ALL_TERMS = 1 << 30
+
+
 @query(
     "s4_index_store",
-    "SELECT pid, dl, count(*) AS terms, CAST(sum(tf) AS BIGINT) AS tokens FROM postings GROUP BY pid, dl",
+    """SELECT 'all' AS vocabulary, pid, dl, count(*) AS terms, CAST(sum(tf) AS BIGINT) AS tokens FROM postings GROUP BY pid, dl
+       UNION ALL
+       SELECT 'first', pid, dl, count(*), CAST(sum(tf) AS BIGINT) FROM postings WHERE term IN (
+         SELECT term FROM postings GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 100) GROUP BY pid, dl""",
     uses="postings",
 )
 def s4(spark: SparkSession, sf: str) -> DataFrame:
-    """Postings built once under the corpus key, then loaded: grouping the loaded
-    table by passage shuffles nothing, as it is bucketed on the passage."""
+    """Two indexes with different parameters built on one store, then loaded: each has its own
+    tables. Grouping a loaded table by passage shuffles nothing, as it is bucketed on it."""
     passages = fx.passages(spark, sf)
-    store, key = TableStore(spark), {"corpus": corpus_fingerprint(passages, ["pid", "text"]), "input": sf}
+    tables = IndexTables(TableStore(spark), {"corpus": corpus_fingerprint(passages, ["pid", "text"]), "input": sf})
+
+    def load(max_features: int) -> DataFrame:
+        index = TfidfIndex(passages, max_features=max_features, with_bigrams=False, tables=tables)
+        weighted = index.weights.select("pid", "term")
+        postings = index.tables.by_passage("tfidf_postings", passages, lambda n: passage_terms(passages, partitions=n), sort_by=None)
+        return postings.join(weighted, ["pid", "term"], "left_semi")
 
-    def load() -> DataFrame:
-        return store.load_or_build_bucketed("postings", key, lambda: passage_terms(passages), "pid", 8, "term")
+    def counted(name: str, postings: DataFrame) -> DataFrame:
+        by_passage = postings.groupBy("pid", "dl").agg(F.count("*").alias("terms"), F.sum("tf").alias("tokens"))
+        return by_passage.select(F.lit(name).alias("vocabulary"), "pid", "dl", "terms", "tokens")
 
-    load()
-    return load().groupBy("pid", "dl").agg(F.count("*").alias("terms"), F.sum("tf").alias("tokens"))
+    for size in (ALL_TERMS, 100):
+        load(size)
+    return counted("all", load(ALL_TERMS)).unionByName(counted("first", load(100)))
 
 
 @query(

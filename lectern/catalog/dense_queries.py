@@ -177,7 +177,7 @@ def n1(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _DRAWS = """(SELECT id AS qid, slot, CASE WHEN slot = 0 THEN pid WHEN draw >= pid THEN draw + 1 ELSE draw END AS pid
-             FROM (SELECT id, pid, slot, (id * 1103515245 + slot * 12345 + 2024) % ((SELECT count(*) FROM passages) - 1) AS draw
+             FROM (SELECT id, pid, slot, ('0x' || substr(md5(id || ':' || slot || ':2024'), 1, 15))::BIGINT % ((SELECT count(*) FROM passages) - 1) AS draw
                    FROM examples JOIN passages ON text = context, range(3) r(slot)))"""
 
 
@@ -214,7 +214,7 @@ def n3(spark: SparkSession, sf: str) -> DataFrame:
            SELECT qid, slot, x, max(x) OVER (PARTITION BY qid) AS m FROM (
              SELECT qid, slot, list_inner_product(q.v, p.v) AS x FROM (
                SELECT vec_id AS qid, slot, CASE WHEN slot = 0 THEN vec_id WHEN draw >= vec_id THEN draw + 1 ELSE draw END AS pid
-               FROM (SELECT vec_id, slot, (vec_id * 1103515245 + slot * 12345 + 2024) % ((SELECT count(*) FROM vecs) - 1) AS draw
+               FROM (SELECT vec_id, slot, ('0x' || substr(md5(vec_id || ':' || slot || ':2024'), 1, 15))::BIGINT % ((SELECT count(*) FROM vecs) - 1) AS draw
                      FROM vecs, range(3) r(slot)))
              JOIN vecs q ON q.vec_id = qid JOIN vecs p ON p.vec_id = pid)) GROUP BY qid)""",
     uses="vecs",

@@ -39,6 +39,10 @@ def _vectors(df: DataFrame, index: TfidfIndex, vectorizer: CountVectorizerModel,
     return Normalizer(inputCol="weighted", outputCol="features").transform(weighted)
 
 
+def _by_pid(df: DataFrame, buckets: int | None) -> DataFrame:
+    return df.repartition(buckets, "pid") if buckets else spread(df, "pid")
+
+
 def fit_cells(index: TfidfIndex, cells: int = 64, seed: int = 2024, max_iter: int = 10) -> TextCells:
     """The vocabulary is capped, so its terms and weights may visit the driver."""
     spark = index.passages.sparkSession
@@ -59,7 +63,8 @@ def fit_cells(index: TfidfIndex, cells: int = 64, seed: int = 2024, max_iter: in
     model = KMeans(k=cells, seed=seed, maxIter=max_iter, predictionCol="cell").fit(vectors)
     assigned = index.tables.by_passage(
         f"tfidf_cells_{cells}_{seed}_{max_iter}",
-        lambda: spread(model.transform(vectors).select("pid", "cell"), "pid"),
+        index.passages,
+        lambda n: _by_pid(model.transform(vectors).select("pid", "cell"), n),
         sort_by="pid",
     )
     return TextCells(vectorizer, weights, model, assigned)
@@ -70,7 +75,9 @@ def clustered_tfidf_topk(index: TfidfIndex, cells: TextCells, questions: DataFra
     each question, ascending.
 
     A passage of the cell without a shared term is at distance 2, or 1 if it has
-    no known term at all; the first k of each kind complete a short list."""
+    no known term at all; a question without a known term is at distance 1 of the former and
+    0 of the latter. The first k of each kind complete a short list."""
+    lost = index.unknown_questions(questions).select("qid", F.lit(1.0).alias("_lost"))
     asked = _vectors(questions, index, cells.vectorizer, cells.weights, "question").select("qid", "features")
     question_cells = cells.model.transform(asked).select("qid", F.col("cell").alias("qcell"))
     fits = fits_broadcast(question_terms(questions, index.tokenizer, index.with_bigrams))
@@ -93,6 +100,7 @@ def clustered_tfidf_topk(index: TfidfIndex, cells: TextCells, questions: DataFra
     far = (
         question_cells.join(first, "qcell")
         .join(near.select("qid", "pid"), ["qid", "pid"], "left_anti")
-        .select("qid", "pid", F.when(F.col("known"), 2.0).otherwise(1.0).alias("score"))
+        .join(lost, "qid", "left")
+        .select("qid", "pid", (F.when(F.col("known"), 2.0).otherwise(1.0) - F.coalesce("_lost", F.lit(0.0))).alias("score"))
     )
     return top_k(near.unionByName(far), "qid", [F.col("score"), F.col("pid")], k).select("qid", "rank", "pid", "score")

@@ -23,7 +23,6 @@ SCORE_DIGITS = 6
 QUERY_BLOCK = 4096
 PASSAGE_BLOCK = 65_536
 SCORE_CELLS = 1 << 24  # scores held at a time inside a task
-MAX_CELLS = 4096
 HITS = "qid long, pid long, score double"
 
 
@@ -80,6 +79,15 @@ def _search_block(qids, queries, pids, passages, k: int, metric: str) -> pa.Tabl
     return _hits(q, p, s)
 
 
+def _k_best(hits: pa.Table, k: int) -> pa.Table:
+    """The k best hits of every question, by question."""
+    q, p, s = (np.asarray(c) for c in hits.columns)
+    order = np.lexsort((p, -s, q))
+    q, p, s = q[order], p[order], s[order]
+    within = np.arange(len(q)) - np.searchsorted(q, q, side="left") < k
+    return _hits(q[within], p[within], s[within])
+
+
 # -- search ---------------------------------------------------------------
 
 def _final(hits: DataFrame, k: int, metric: str) -> DataFrame:
@@ -97,10 +105,12 @@ def _broadcast_search(queries: DataFrame, passages: DataFrame, k: int, metric: s
         qids, matrix = shared.value
         if len(qids) == 0:
             return
+        best = _hits([], [], [])
         for batch in batches:
             if batch.num_rows:
-                table = _search_block(qids, matrix, _ids(batch["pid"]), _matrix(batch["vec"]), k, metric)
-                yield from table.to_batches()
+                found = _search_block(qids, matrix, _ids(batch["pid"]), _matrix(batch["vec"]), k, metric)
+                best = _k_best(pa.concat_tables([best, found]), k)
+        yield from best.to_batches()
 
     return passages.select("pid", "vec").mapInArrow(search, HITS)
 
@@ -181,27 +191,28 @@ def centroid_table(model: KMeansModel, spark) -> DataFrame:
 
 
 def label_centroids(passages: DataFrame, label: str = "label") -> DataFrame:
-    """(cell, vec): mean vector per label, rounded. Sums per dimension combine
-    before the shuffle, so a label with most of the rows is no hot key."""
-    means = (
-        passages.select(F.col(label).alias("cell"), F.posexplode(as_doubles(F.col("vec"))).alias("d", "x"))
-        .groupBy("cell", "d")
-        .agg(F.round(F.avg("x"), SCORE_DIGITS).alias("m"))
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("d", "m")))
-    return means.groupBy("cell").agg(F.transform(ordered, lambda e: e["m"]).alias("vec"))
+    """(cell, vec): mean vector per label, rounded. A vector is summed where it is, one
+    sum per dimension, so a label with most of the rows is no hot key."""
+    vectors = passages.select(F.col(label).alias("cell"), as_doubles(F.col("vec")).alias("v"))
+    means = [F.round(F.avg(F.get("v", F.lit(d))), SCORE_DIGITS) for d in range(_width(passages))]
+    return vectors.groupBy("cell").agg(F.array(*means).alias("vec"))
+
+
+def _width(vectors: DataFrame) -> int:
+    """Dimensions of a table of vectors; 0 for an empty one."""
+    first = vectors.select(F.size("vec").alias("n")).first()
+    return first["n"] if first else 0
 
 
 def _cell_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    block = centroids.select(F.col("cell").cast("long"), as_doubles(F.col("vec")).alias("vec")).limit(MAX_CELLS + 1).toArrow()
-    if block.num_rows > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} cells")
+    block = centroids.select(F.col("cell").cast("long"), as_doubles(F.col("vec")).alias("vec")).toArrow()
     return _ids(block["cell"]), _matrix(block["vec"])
 
 
 def nearest_cells(vectors: DataFrame, centroids: DataFrame, key: str, nprobe: int = 1) -> DataFrame:
     """``vectors`` with (cell, d2) of the ``nprobe`` nearest centroids. The
-    centroids, at most ``MAX_CELLS``, travel to the vectors."""
+    centroids travel to the vectors, which they are few beside; they are scored in
+    blocks, so a task holds ``SCORE_CELLS`` distances however many cells there are."""
     shared = vectors.sparkSession.sparkContext.broadcast(_cell_matrix(centroids))
     schema = f"{key} long, vec {vectors.schema['vec'].dataType.simpleString()}, cell long, d2 double"
 
@@ -210,8 +221,8 @@ def nearest_cells(vectors: DataFrame, centroids: DataFrame, key: str, nprobe: in
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            rows = np.arange(batch.num_rows)
-            row, cell, score = _best(rows, cells, _scores(_matrix(batch["vec"]), centers, "l2"), nprobe)
+            found = _search_block(np.arange(batch.num_rows), _matrix(batch["vec"]), cells, centers, nprobe, "l2")
+            row, cell, score = (c.to_numpy() for c in _k_best(found, nprobe).columns)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch[key].take(pa.array(row)),
@@ -240,11 +251,11 @@ def clustered_topk(
 
 def scalar_ranges(passages: DataFrame) -> DataFrame:
     """(d, lo, hi) per dimension."""
-    return (
-        passages.select(F.posexplode(as_doubles(F.col("vec"))).alias("d", "x"))
-        .groupBy("d")
-        .agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    )
+    x = [F.get(F.col("v"), F.lit(d)) for d in range(_width(passages))]
+    ranges = [F.struct(F.lit(d).alias("d"), F.min(c).alias("lo"), F.max(c).alias("hi")) for d, c in enumerate(x)]
+    if not ranges:
+        return passages.sparkSession.createDataFrame([], "d int, lo double, hi double")
+    return passages.select(as_doubles(F.col("vec")).alias("v")).agg(F.array(*ranges).alias("r")).select(F.inline("r"))
 
 
 def _ranges_as_array(ranges: DataFrame) -> Column:
@@ -271,12 +282,12 @@ def scalar_decode(encoded: DataFrame, ranges: DataFrame, bits: int = 8) -> DataF
 
 
 def product_codebooks(passages: DataFrame, parts: int = 8, codes: int = 256, seed: int = 2024) -> DataFrame:
-    """(part, code, vec): k-means centres of each slice of the dimensions."""
+    """(part, code, vec): k-means centres of each slice of the dimensions. Where they do
+    not divide evenly, the first slices are one longer."""
     spark = passages.sparkSession
-    width = passages.select(F.size("vec").alias("n")).first()["n"] // parts
     books = None
-    for part in range(parts):
-        piece = passages.select(F.slice("vec", part * width + 1, width).alias("vec"))
+    for part, dimensions in enumerate(np.array_split(np.arange(_width(passages)), parts)):
+        piece = passages.select(F.slice("vec", int(dimensions[0]) + 1, len(dimensions)).alias("vec"))
         model = kmeans_cells(piece, codes, seed)
         book = centroid_table(model, spark).select(
             F.lit(part).alias("part"), F.col("cell").alias("code"), "vec"
@@ -286,12 +297,13 @@ def product_codebooks(passages: DataFrame, parts: int = 8, codes: int = 256, see
 
 
 def product_encode(passages: DataFrame, codebooks: DataFrame) -> DataFrame:
-    """(pid, codes): nearest centre of every slice."""
+    """(pid, codes): nearest centre of every slice. The codebooks travel to the vectors: their
+    size is the number of codes times that of dimensions, both parameters of their training."""
     spark = passages.sparkSession
-    rows = codebooks.orderBy("part", "code").limit(1 << 20).toArrow()
+    rows = codebooks.orderBy("part", "code").toArrow()
     parts = np.asarray(rows["part"].to_numpy())
-    centers = _matrix(rows["vec"])
-    shared = spark.sparkContext.broadcast([centers[parts == p] for p in np.unique(parts)])
+    centers = [np.array(rows["vec"].filter(pa.array(parts == p)).to_pylist(), np.float64) for p in np.unique(parts)]
+    shared = spark.sparkContext.broadcast(centers)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books = shared.value
@@ -299,7 +311,7 @@ def product_encode(passages: DataFrame, codebooks: DataFrame) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             vectors = _matrix(batch["vec"])
-            slices = np.split(vectors, len(books), axis=1)
+            slices = np.split(vectors, np.cumsum([b.shape[1] for b in books])[:-1], axis=1)
             codes = np.stack([_scores(s, b, "l2").argmax(1) for s, b in zip(slices, books)], axis=1).astype(np.int32)
             offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * len(books)
             yield pa.RecordBatch.from_arrays(

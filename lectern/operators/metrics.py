@@ -75,10 +75,12 @@ def corpus_scores(per_question: DataFrame) -> DataFrame:
 
 
 def evaluate(references: DataFrame, predictions: DataFrame, all_golds: bool = False) -> DataFrame:
-    """Exact match and F1 against the first gold, or the best of all golds."""
+    """Exact match and F1 against the first gold, or the best of all golds. A reference
+    without a gold stays in the total and scores 0."""
     scores = per_gold_scores(references, predictions)
     picked = best_gold_scores(scores) if all_golds else scores.filter(F.col("gold_no") == 0)
-    return corpus_scores(picked)
+    every = spread(references.select("id"), "id").join(picked.select("id", "exact_match", "f1"), "id", "left")
+    return corpus_scores(every.fillna(0.0, ["exact_match", "f1"]))
 
 
 def comparison_table(references: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.functions.vectors import dot
-from lectern.operators.sizing import global_top_k, positions
+from lectern.operators.sizing import first_rows, positions
 
 SEED = 2024
 NEGATIVES = 2
@@ -19,7 +19,8 @@ def shuffle_hash(key: Column, seed: int = SEED) -> Column:
 def fixed_sample(df: DataFrame, key: str, n: int = 1000, seed: int = SEED) -> DataFrame:
     """``n`` rows without replacement: the smallest hashes of key and seed."""
     hashed = df.withColumn("_h", shuffle_hash(F.col(key), seed))
-    return global_top_k(hashed, key, [F.col("_h"), F.col(key)], n).drop("_h")
+    first = F.conv(F.substring("_h", 1, 4), 16, 10).cast("long")
+    return first_rows(hashed, first, [F.col("_h"), F.col(key)], n).drop("_h")
 
 
 def draw_negatives(positives: DataFrame, corpus: DataFrame, negatives: int = NEGATIVES, seed: int = SEED) -> DataFrame:
@@ -27,12 +28,12 @@ def draw_negatives(positives: DataFrame, corpus: DataFrame, negatives: int = NEG
     replacement from all other passages.
 
     A draw picks one of the n - 1 others and steps over the positive, which has
-    the law of drawing again until the positive is missed."""
+    the law of drawing again until the positive is missed. Draws hash question,
+    slot and seed, so those of one question do not depend on each other."""
     n = corpus.agg(F.count("*")).scalar()
     slots = positives.select("qid", F.col("pid").alias("_pos"), F.explode(F.sequence(F.lit(0), F.lit(negatives))).alias("slot"))
-    draw = F.pmod(
-        F.pmod("qid", F.lit(1 << 31)) * F.lit(1103515245) + F.col("slot") * F.lit(12345) + F.lit(seed), F.greatest(n - 1, F.lit(1))
-    )
+    named = F.concat_ws(":", F.col("qid").cast("string"), F.col("slot").cast("string"), F.lit(str(seed)))
+    draw = F.pmod(F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long"), F.greatest(n - 1, F.lit(1)))
     pid = F.when(F.col("slot") == 0, F.col("_pos")).otherwise(draw + F.when(draw >= F.col("_pos"), 1).otherwise(0))
     return slots.select("qid", "slot", pid.cast("long").alias("pid"))
 

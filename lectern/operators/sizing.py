@@ -73,11 +73,21 @@ def top_k(df: DataFrame, by: str | Sequence[str], order: Sequence[Column], k: in
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
-def global_top_k(df: DataFrame, key: str, order: Sequence[Column], k: int, salts: int = 64) -> DataFrame:
-    """First ``k`` rows of the whole table for a large ``k``: a cut per salt
-    first, so that the last task sorts at most ``salts * k`` rows."""
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)))
-    return top_k(salted, "_salt", order, k, "_cut").drop("_salt", "_cut").orderBy(*order).limit(k)
+def first_rows(df: DataFrame, coarse: Column, fine: Sequence[Column], k: int) -> DataFrame:
+    """The ``k`` rows of the whole table that come first by ``coarse``, a bigint of few
+    different values, and then by ``fine``.
+
+    Rows are counted per value, which finds the value where the cut falls. Rows before
+    it are kept by a filter where they are, and only those at the cut are ordered."""
+    rows = df.withColumn("_v", coarse)
+    running = F.sum("n").over(Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counts = rows.groupBy("_v").agg(F.count("*").alias("n")).withColumn("upto", running)
+    cut = counts.filter(F.col("upto") >= k).agg(F.min("_v")).scalar()
+    left = k - counts.filter((F.col("upto") < k)).agg(F.coalesce(F.max("upto"), F.lit(0))).scalar()
+    before = rows.filter((F.col("_v") < cut) | cut.isNull())
+    tied = rows.filter(F.col("_v") == cut).orderBy(*fine).limit(k)
+    place = F.row_number().over(Window.orderBy(*fine))  # at most k rows are left
+    return before.unionByName(tied.withColumn("_p", place).filter(F.col("_p") <= left).drop("_p")).drop("_v")
 
 
 def _offsets(counts: DataFrame, shifts: Sequence[int]) -> DataFrame:

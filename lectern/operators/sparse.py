@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions.text import Tokenizer, unigrams_and_bigrams, whitespace_tokens
 from lectern.operators.corpus import rank_hits
-from lectern.operators.sizing import BROADCAST_ROWS, fits_broadcast, global_top_k, sized_join, spread, top_k
+from lectern.operators.sizing import BROADCAST_ROWS, first_rows, fits_broadcast, sized_join, spread, top_k
 from lectern.sources.index_store import TableStore
 
 MAX_FEATURES = 50_000
@@ -22,27 +22,34 @@ BM25_K1 = 1.5
 BM25_B = 0.75
 BM25_EPSILON = 0.25
 PUSHED_TERMS = 500
+BUCKET_BYTES = 16 << 20  # of passage text
+LEAST_BUCKETS = 8
 
 
 class IndexTables:
     """Where the parts of an index live: recomputed on use, or kept in a store
-    under the corpus key. Tables by passage are bucketed on pid and sorted by
-    term, so scoring a stored index shuffles nothing but the final top-k."""
+    under the corpus key and the parameters of the index. Tables by passage are bucketed
+    on pid and sorted by term, so scoring a stored index shuffles nothing but the final top-k."""
 
     def __init__(self, store: TableStore | None = None, key: dict | None = None, buckets: int | None = None):
         self.store, self.key = store, key or {}
         self.buckets = buckets
 
+    def of_index(self, **parameters) -> IndexTables:
+        """The same place for an index with these parameters."""
+        return IndexTables(self.store, self.key | parameters, self.buckets)
+
     def plain(self, name: str, build: Callable[[], DataFrame], sort_by: str | None = None) -> DataFrame:
         return self.store.load_or_build(name, self.key, build, sort_by) if self.store else build()
 
-    def by_passage(self, name: str, build: Callable[[], DataFrame], sort_by: str | None = "term") -> DataFrame:
+    def by_passage(
+        self, name: str, passages: DataFrame, build: Callable[[int | None], DataFrame], sort_by: str | None = "term", placed: bool = True
+    ) -> DataFrame:
+        """A table by pid. ``build`` gets the number of buckets to partition by."""
         if not self.store:
-            return build()
-        session = int(self.store.spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = self.buckets or session
+            return build(None)
         return self.store.load_or_build_bucketed(
-            name, self.key, build, "pid", buckets, sort_by, placed=buckets == session
+            name, self.key, build, "pid", lambda: self.buckets or buckets_for(passages), sort_by, placed
         )
 
     def asked_only(self, stored: list[DataFrame], terms: DataFrame) -> list[DataFrame]:
@@ -59,11 +66,25 @@ class IndexTables:
 
 # -- index ----------------------------------------------------------------
 
+def buckets_for(passages: DataFrame) -> int:
+    """Buckets of an index over ``passages``: by the bytes of the texts, not by the session."""
+    size = passages.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+
+
+def tokenizer_key(tokenizer: Tokenizer) -> str:
+    """What tells tokenizers apart in the key of a stored index: name and expression."""
+    name = f"{getattr(tokenizer, '__module__', '')}.{getattr(tokenizer, '__qualname__', repr(tokenizer))}"
+    return f"{name} {tokenizer(F.col('text'))}"
+
+
 def passage_terms(
-    passages: DataFrame, tokenizer: Tokenizer = whitespace_tokens, with_bigrams: bool = False
+    passages: DataFrame, tokenizer: Tokenizer = whitespace_tokens, with_bigrams: bool = False, partitions: int | None = None
 ) -> DataFrame:
     """(pid, dl, term, tf), partitioned by pid. ``dl`` counts single tokens."""
-    tokens = spread(passages.select("pid", "text"), "pid").select("pid", tokenizer(F.col("text")).alias("tokens"))
+    own = passages.select("pid", "text")
+    placed = own.repartition(partitions, "pid") if partitions else spread(own, "pid")
+    tokens = placed.select("pid", tokenizer(F.col("text")).alias("tokens"))
     terms: Column = unigrams_and_bigrams(F.col("tokens")) if with_bigrams else F.col("tokens")
     return (
         # outer: for an inner explode the optimizer adds a size check below it,
@@ -103,7 +124,7 @@ def capped_vocabulary(postings: DataFrame, n_passages: Column, max_features: int
     """(term, cf, df, idf) of the most frequent terms; ties go to the smaller
     term. Never more than ``max_features`` rows."""
     counts = postings.groupBy("term").agg(F.sum("tf").alias("cf"), F.count("*").alias("df"))
-    kept = global_top_k(counts, "term", [F.col("cf").desc(), F.col("term").asc()], max_features)
+    kept = first_rows(counts, -F.col("cf"), [F.col("term").asc()], max_features)
     return kept.withColumn("idf", F.log((n_passages + 1) / (F.col("df") + 1)) + 1.0)
 
 
@@ -140,14 +161,18 @@ class TfidfIndex:
         self.passages = passages
         self.tokenizer = tokenizer
         self.with_bigrams = with_bigrams
-        self.tables = keep = tables or IndexTables()
+        self.tables = keep = (tables or IndexTables()).of_index(
+            tokenizer=tokenizer_key(tokenizer), with_bigrams=with_bigrams, max_features=max_features
+        )
         self.small = max_features <= BROADCAST_ROWS
         postings = keep.by_passage(
-            "tfidf_postings", lambda: passage_terms(passages, tokenizer, with_bigrams), sort_by=None
+            "tfidf_postings", passages, lambda n: passage_terms(passages, tokenizer, with_bigrams, n), sort_by=None
         )
         n = passages.agg(F.count("*")).scalar()
         self.vocabulary = keep.plain("tfidf_vocabulary", lambda: capped_vocabulary(postings, n, max_features))
-        self.weights = keep.by_passage("tfidf_weights", lambda: unit_weights(postings, self.vocabulary, "pid", "tf", self.small))
+        self.weights = keep.by_passage(
+            "tfidf_weights", passages, lambda _: unit_weights(postings, self.vocabulary, "pid", "tf", self.small), placed=self.small
+        )
 
     def question_weights(self, questions: DataFrame) -> DataFrame:
         terms = question_terms(questions, self.tokenizer, self.with_bigrams)
@@ -211,8 +236,10 @@ class Bm25Index:
         self.passages = passages
         self.tokenizer = tokenizer
         self.k1, self.b = k1, b
-        self.tables = keep = tables or IndexTables()
-        self.postings = keep.by_passage("bm25_postings", lambda: passage_terms(passages, tokenizer))
+        self.tables = keep = (tables or IndexTables()).of_index(tokenizer=tokenizer_key(tokenizer))
+        self.postings = keep.by_passage(
+            "bm25_postings", passages, lambda n: passage_terms(passages, tokenizer, partitions=n)
+        )
         self.stats = keep.plain("bm25_stats", lambda: corpus_stats(passages, tokenizer))
         n = self.stats.select("n").scalar()
         self.vocabulary = keep.plain("bm25_vocabulary", lambda: bm25_vocabulary(self.postings, n), sort_by="term")

@@ -30,12 +30,13 @@ def window_starts(n: Column, capacity: Column, overlap: int) -> Column:
 def features(examples: DataFrame, max_length: int = MAX_LENGTH, stride: int = DOC_STRIDE) -> DataFrame:
     """Windows of ``examples`` (id, question, context, ...).
 
-    Adds window_no, feature_id, tokens (markers and question included) and
+    A question that leaves no more room than two neighbours share is cut to the tokens that
+    leave one more, so that windows still go forward. Adds window_no, feature_id, tokens (markers and question included) and
     offsets, null outside the context. Other columns are carried along."""
     carried = [c for c in examples.columns if c not in ("question", "context")]
     read = examples.select(
         *carried,
-        cased_tokens(F.col("question")).alias("_q"),
+        F.slice(cased_tokens(F.col("question")), 1, max(max_length - MARKERS - stride - 1, 0)).alias("_q"),
         cased_tokens(F.col("context")).alias("_t"),
         token_spans(F.col("context")).alias("_o"),
     ).withColumn("_cap", F.lit(max_length) - F.size("_q") - MARKERS)

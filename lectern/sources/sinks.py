@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 NBEST_SCHEMA = (
     "id bigint, nbest array<struct<text:string,start_logit:double,end_logit:double,probability:double>>"
 )
-EXPORT_LIMIT = 100_000
 
 
 def prediction_lines(predictions: DataFrame) -> DataFrame:
@@ -24,10 +23,8 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def prediction_object(predictions: DataFrame) -> DataFrame:
-    """(json): all answers as one id -> text object in id order. One row holds
-    them all, so it is for exports of at most ``EXPORT_LIMIT`` answers."""
-    if predictions.limit(EXPORT_LIMIT + 1).count() > EXPORT_LIMIT:
-        raise ValueError("too many answers for one object: use write_predictions")
+    """(json): all answers as one id -> text object in id order. One object is one row in one
+    task: this is the small export, and ``write_predictions`` the one that scales."""
     entries = F.array_sort(F.collect_list(F.struct(F.col("id").cast("string").alias("id"), F.col("prediction_text"))))
     return predictions.agg(F.to_json(F.map_from_entries(entries)).alias("json"))
 

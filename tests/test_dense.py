@@ -86,6 +86,23 @@ def test_scalar_codes(spark):
     assert decoded[2] == [0.375, 5.0]
 
 
+def test_a_task_keeps_k_per_question(spark, data):
+    queries, passages = data
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    hits = dense._broadcast_search(table(spark, queries, "qid"), table(spark, passages, "pid").coalesce(1), 2, "ip")
+    counts = {r.qid: r["count"] for r in hits.groupBy("qid").count().collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert counts == {i: 2 for i in range(len(queries))}
+
+
+def test_uneven_product_codes(spark):
+    df = spark.createDataFrame([(i, [float(i % 3 + d) for d in range(10)]) for i in range(12)], "pid long, vec array<double>")
+    books = dense.product_codebooks(df, parts=4, codes=3)
+    decoded = {r.pid: r.vec for r in dense.product_decode(dense.product_encode(df, books), books).collect()}
+    assert all(decoded[r.pid] == pytest.approx(r.vec) for r in df.collect())
+
+
 def test_product_codes(spark, data):
     _, passages = data
     df = table(spark, passages, "pid")
@@ -104,7 +121,7 @@ def test_product_codes(spark, data):
 def test_clustered_text(spark):
     texts = ["red cat", "red dog", "red cat cat", "blue sky", "blue sea", "blue blue sky", "green", ""]
     passages = spark.createDataFrame(list(enumerate(texts)), "pid long, text string")
-    questions = spark.createDataFrame([(0, "red cat"), (1, "blue sea sky"), (2, "green")], "qid long, question string")
+    questions = spark.createDataFrame([(0, "red cat"), (1, "blue sea sky"), (2, "green"), (3, "zebra")], "qid long, question string")
     index = sparse.TfidfIndex(passages, with_bigrams=False)
     cells = clustered_text.fit_cells(index, cells=3)
     got = rows(clustered_text.clustered_tfidf_topk(index, cells, questions, 3))
@@ -116,7 +133,7 @@ def test_clustered_text(spark):
         asked.setdefault(r.qid, {})[r.term] = r.w
     vectors = clustered_text._vectors(questions, index, cells.vectorizer, cells.weights, "question")
     for r in cells.model.transform(vectors).collect():
-        q = asked[r.qid]
+        q = asked.get(r.qid, {})  # none of its terms is known
         distance = {}
         for pid, cell in cell_of.items():
             if cell == r.cell:

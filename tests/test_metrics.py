@@ -56,3 +56,11 @@ def test_missing_prediction_counts(given):
     best = metrics.evaluate(*given, all_golds=True).first()
     assert best.f1 >= row.f1
     assert [r.id for r in metrics.unanswered(*given).collect()] == [4]
+
+
+def test_references_without_golds_count(spark):
+    references = spark.createDataFrame([(1, ["a b"]), (2, []), (3, None)], "id long, golds array<string>")
+    predictions = spark.createDataFrame([(1, "a b"), (2, "c")], "id long, prediction_text string")
+    for every in (False, True):
+        got = metrics.evaluate(references, predictions, every).first()
+        assert (got.total, got.exact_match, got.f1) == (3, pytest.approx(100 / 3, abs=1e-6), pytest.approx(100 / 3, abs=1e-6))

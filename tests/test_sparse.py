@@ -71,6 +71,16 @@ def test_stored_index_gives_the_same_without_shuffling_postings(spark, given, tm
     assert "Exchange hashpartitioning(pid" not in head
 
 
+def test_parameters_have_their_own_tables(spark, given, tmp_path):
+    passages, questions = given
+    tables = sparse.IndexTables(TableStore(spark, str(tmp_path)), {"corpus": "test"})
+    for size, bigrams in ((50_000, True), (5, False)):
+        stored = sparse.TfidfIndex(passages, max_features=size, with_bigrams=bigrams, tables=tables)
+        fresh = sparse.TfidfIndex(passages, max_features=size, with_bigrams=bigrams)
+        assert sorted(stored.vocabulary.collect()) == sorted(fresh.vocabulary.collect())
+        assert rows(sparse.retrieve(stored, questions, 3)) == rows(sparse.retrieve(fresh, questions, 3))
+
+
 def test_nested_topk(given):
     passages, questions = given
     index = sparse.TfidfIndex(passages)

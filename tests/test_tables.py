@@ -17,10 +17,18 @@ def test_positions(spark, shifts):
     assert got == {k: n for n, k in enumerate(sorted(ids))}
 
 
-def test_global_top_k(spark):
+@pytest.mark.parametrize("k", [1, 71, 72, 90, 500, 2000])
+def test_first_rows(spark, k):
     df = spark.range(500).select("id", (F.col("id") % 7).alias("x"))
-    got = [r.id for r in sizing.global_top_k(df, "id", [F.col("x").desc(), F.col("id")], 90, salts=8).collect()]
-    assert got == sorted(range(500), key=lambda i: (-(i % 7), i))[:90]
+    got = {r.id for r in sizing.first_rows(df, -F.col("x"), [F.col("id")], k).collect()}
+    assert got == set(sorted(range(500), key=lambda i: (-(i % 7), i))[:k])
+
+
+def test_first_rows_filters_in_place(spark):
+    """A large k sorts only the rows at the cut: no sort of the whole table, one count."""
+    df = spark.range(500).select("id", (F.col("id") % 7).alias("x"))
+    plan = sizing.first_rows(df, -F.col("x"), [F.col("id")], 400)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
 
 
 def test_dedup_is_idempotent_and_ordered(spark):
@@ -50,18 +58,22 @@ def test_store(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     builds = []
 
-    def build():
+    def build(_=None):
         builds.append(1)
         return spark.range(10).select(F.col("id").alias("pid"), F.col("id").cast("string").alias("term"))
 
     key = {"corpus": corpus_fingerprint(spark.range(3), ["id"])}
     for _ in range(2):
         assert store.load_or_build("plain", key, build).count() == 10
-        assert store.load_or_build_bucketed("buckets", key, build, "pid", 3, "term").count() == 10
+        assert store.load_or_build_bucketed("buckets", key, build, "pid", lambda: 3, "term").count() == 10
     assert len(builds) == 2
-    table = store.path("buckets", key | {"buckets": 3, "by": "pid"}).rsplit("/", 1)[1]
-    spark.sql(f"DROP TABLE {table}")  # another session knows the files, not the table
-    again = store.load_or_build_bucketed("buckets", key, build, "pid", 3, "term")
+    for table in spark.catalog.listTables():  # another session knows the files, not the table
+        if table.name.startswith("buckets_"):
+            spark.sql(f"DROP TABLE {table.name}")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    again = store.load_or_build_bucketed("buckets", key, build, "pid", lambda: 9, "term")
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     assert again.count() == 10 and len(builds) == 2
     plan = again.groupBy("pid").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from lectern.operators import windows
 
 
@@ -80,3 +82,11 @@ def test_recursive_chunks_by_own_length(spark):
     df = spark.createDataFrame([(0, "a b c d e f g")], "pid long, text string")
     out = windows.recursive_chunks(df, size=3, overlap=1, length=lambda s: len(s.split())).orderBy("chunk_no").collect()
     assert [r.text for r in out] == ["a b c", "c d e", "e f g"]
+
+
+def test_a_long_question_does_not_end_the_job(spark):
+    examples = spark.createDataFrame(
+        [(1, " ".join(["q"] * 300), " ".join(map(str, range(200)))), (2, "short one", "a b c")], "id long, question string, context string"
+    )
+    got = windows.features(examples).groupBy("id").agg(F.max(F.size("tokens")).alias("n"), F.count("*").alias("w")).collect()
+    assert {r.id: (r.n <= 384, r.w >= 1) for r in got} == {1: (True, True), 2: (True, True)}
