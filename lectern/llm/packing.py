@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.kernels import chunks, mix
+from lectern.llm.tables import written
 
 BUCKETS, DIMENSIONS, BITS = 256, 4, 12
 FLUSH_BYTES = 8 << 20
@@ -157,6 +158,7 @@ def pack(
     tokens = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         _tokenise(ranks_path, pattern, end_id), "doc_id long, key long, n long, ids binary"
     )
-    keyed = tokens.withColumn("h", F.xxhash64("ids"))
+    # finding the ranges reads all keys once more, which should not tokenise all texts again
+    keyed = written(tokens, "tokens").withColumn("h", F.xxhash64("ids"))
     ordered = keyed.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id", "n", "h")
     return ordered.select("doc_id", "ids").mapInArrow(_cut(length), PIECE)
