@@ -102,6 +102,22 @@ def d5(spark: SparkSession, sf: str) -> DataFrame:
     return dense.cosine_topk(_queries(vectors), _passages(vectors), 10).select("qid", _rank(), "pid", "score")
 
 
+@query(
+    "d6_given_centres",
+    """SELECT vec_id AS pid, cell, d2 FROM (
+         SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, cell) AS n FROM (
+           SELECT vec_id, cell, round(list_sum([(v[i] - c[i]) * (v[i] - c[i]) for i in range(1, len(v) + 1)]), 6) AS d2
+           FROM vecs, (SELECT cell, list(round(m, 6) ORDER BY d) AS c FROM (
+             SELECT cell, d, avg(x) AS m FROM cells JOIN dims USING (vec_id) GROUP BY cell, d) GROUP BY cell))) WHERE n = 1""",
+    uses="cells dims vecs",
+)
+def d6_given(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells after a round of k-means from given centres."""
+    vectors = fx.vectors(spark, sf)
+    moved = dense.moved_centroids(_passages(vectors), dense.label_centroids(vectors), rounds=1)
+    return dense.nearest_cells(_passages(vectors), moved, "pid").select("pid", "cell", "d2")
+
+
 @query("d6_kmeans_cells")
 def d6(spark: SparkSession, sf: str) -> DataFrame:
     passages = _passages(fx.vectors(spark, sf))
@@ -115,16 +131,24 @@ def d7(spark: SparkSession, sf: str) -> DataFrame:
     return dense.nearest_cells(_passages(vectors), dense.label_centroids(vectors), "pid").select("pid", "cell", "d2")
 
 
-@query(
-    "d8_clustered_topk",
-    """SELECT qid, rank, pid, score FROM (
+_IN_CELLS = """SELECT qid, rank, pid, score FROM (
          SELECT qid, pid, score, row_number() OVER (PARTITION BY qid ORDER BY score, pid) AS rank FROM (
            SELECT a.vec_id AS qid, b.vec_id AS pid,
                   round(list_sum([(x.v[i] - y.v[i]) * (x.v[i] - y.v[i]) for i in range(1, len(x.v) + 1)]), 6) AS score
            FROM cells a JOIN cells b USING (cell) JOIN vecs x ON x.vec_id = a.vec_id JOIN vecs y ON y.vec_id = b.vec_id))
-       WHERE rank <= 10""",
-    uses="cells vecs",
-)
+       WHERE rank <= 10"""
+
+
+@query("d8_stored_cells", _IN_CELLS, uses="cells vecs")
+def d8_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from vectors stored by cell, which is built once and then loaded."""
+    vectors = fx.vectors(spark, sf)
+    centroids = dense.label_centroids(vectors)
+    stored = fx.vectors_by_cell(spark, sf, lambda: dense.nearest_cells(_passages(vectors), centroids, "pid"))
+    return dense.clustered_topk(_queries(vectors), stored, centroids, 10).select("qid", _rank(), "pid", "score")
+
+
+@query("d8_clustered_topk", _IN_CELLS, uses="cells vecs")
 def d8(spark: SparkSession, sf: str) -> DataFrame:
     vectors = fx.vectors(spark, sf)
     centroids = dense.label_centroids(vectors)

@@ -106,6 +106,10 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"), "label")
 
 
+def vectors_by_cell(spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return TableStore(spark).load_or_build_cells(_key(spark, sf_dir), build)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new folder for a sink, in the folder all executors share."""
     return f"{shared_dir(spark)}/out/{name}-{uuid.uuid4().hex}"

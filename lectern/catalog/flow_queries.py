@@ -13,12 +13,14 @@ from lectern.plans.retrieval import retrieve_for_dataset
 
 @query(
     "flow_extractive",
-    r"""SELECT round(100 * avg(CASE WHEN p = g THEN 1.0 ELSE 0.0 END), 6) AS exact_match, count(*) AS total FROM (
+    r"""SELECT round(100 * avg(CASE WHEN p = g THEN 1.0 ELSE 0.0 END), 6) AS exact_match,
+               round(100 * avg(CASE WHEN same > 0 THEN 2.0 * same / (len(p) + len(g)) ELSE 0.0 END), 6) AS f1, count(*) AS total FROM (
+          SELECT p, g, list_sum([least(len([x for x in p if x = t]), len([x for x in g if x = t])) for t in list_distinct(p)]) AS same FROM (
           SELECT [x for x in string_split_regex(regexp_replace(lower(text), '[!-/:-@\[-`{-~]', '', 'g'), '\s+')
                   if x not in ('', 'a', 'an', 'the')] AS p,
                  [x for x in string_split_regex(regexp_replace(lower(answer), '[!-/:-@\[-`{-~]', '', 'g'), '\s+')
                   if x not in ('', 'a', 'an', 'the')] AS g
-          FROM examples JOIN nbest ON example_id = id AND rank = 1)""",
+          FROM examples JOIN nbest ON example_id = id AND rank = 1))""",
     uses="examples nbest",
 )
 def flow_extractive(spark: SparkSession, sf: str) -> DataFrame:
@@ -26,7 +28,22 @@ def flow_extractive(spark: SparkSession, sf: str) -> DataFrame:
     examples, scored = fx.qa_examples(spark, sf), fx.scored_features(spark, sf)
     logits = scored.select("feature_id", "start_logits", "end_logits")
     predictions, _ = reading.extractive_answers(reading.extractive_features(examples), logits, examples)
-    return reading.score(predictions, examples).select("exact_match", "total")
+    return reading.score(predictions, examples).select("exact_match", "f1", "total")
+
+
+@query(
+    "flow_independent",
+    """SELECT x.id, x.question, rank, text AS context, round(score / (SELECT max(score) FROM bm25_ranked WHERE rank <= 10), 6) AS score,
+              x.context AS original_context, x.answer AS answers
+       FROM examples x JOIN bm25_ranked ON qid = x.id JOIN passages USING (pid) WHERE rank <= 10""",
+    uses="examples bm25_ranked passages",
+)
+def flow_independent(spark: SparkSession, sf: str) -> DataFrame:
+    """Every retrieved passage as a context of its own."""
+    results = retrieve_for_dataset(
+        fx.index(spark, sf, "bm25"), fx.qa_examples(spark, sf), fx.passages(spark, sf), k=10, first_only=True, independent=True
+    )
+    return results.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query(

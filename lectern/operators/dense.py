@@ -115,24 +115,25 @@ def _broadcast_search(queries: DataFrame, passages: DataFrame, k: int, metric: s
     return passages.select("pid", "vec").mapInArrow(search, HITS)
 
 
-def _grid_search(queries: DataFrame, passages: DataFrame, k: int, metric: str, n_queries: int) -> DataFrame:
+def _grid_search(queries: DataFrame, passages: DataFrame, k: int, metric: str) -> DataFrame:
     """Meet blocks of questions and blocks of passages in a shuffle.
 
     ``passages`` has (pid, vec, cell), ``queries`` has (qid, vec, cell). A cell is
-    cut into blocks by a hash of the id, so a cell of any size is many tasks."""
-    per_cell = passages.groupBy("cell").agg(
-        F.ceil(F.count("*") / PASSAGE_BLOCK).cast("int").alias("blocks")
-    )
-    query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
+    cut into blocks by a hash of the id, so a cell of any size is many tasks. Blocks are
+    counted per cell on both sides: passages of a cell nobody asks stay where they
+    are, and others are copied once for each block of the questions of their cell."""
+    per_cell = passages.groupBy("cell").agg(F.ceil(F.count("*") / PASSAGE_BLOCK).cast("int").alias("blocks"))
+    asking = queries.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("qblocks"))
+    sizes = per_cell.join(asking, "cell")
     placed = (
-        passages.join(F.broadcast(per_cell), "cell")
+        passages.join(sizes, "cell")
         .withColumn("block", F.pmod(F.xxhash64("pid"), F.col("blocks")).cast("int"))
-        .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+        .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)))
         .select("cell", "block", "qblock", "pid", "vec")
     )
     asked = (
-        queries.join(F.broadcast(per_cell), "cell")
-        .withColumn("qblock", F.pmod(F.xxhash64("qid"), F.lit(query_blocks)).cast("int"))
+        queries.join(sizes, "cell")
+        .withColumn("qblock", F.pmod(F.xxhash64("qid"), F.col("qblocks")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("cell", "block", "qblock", "qid", "vec")
     )
@@ -160,7 +161,7 @@ def vector_topk(queries: DataFrame, passages: DataFrame, k: int, metric: str = "
     else:
         one_cell = F.lit(0).alias("cell")
         hits = _grid_search(
-            queries.select("qid", "vec", one_cell), passages.select("pid", "vec", one_cell), k, metric, queries.count()
+            queries.select("qid", "vec", one_cell), passages.select("pid", "vec", one_cell), k, metric
         )
     return _final(hits, k, metric)
 
@@ -240,13 +241,22 @@ def clustered_topk(
     queries: DataFrame, assigned: DataFrame, centroids: DataFrame, k: int, nprobe: int = 1
 ) -> DataFrame:
     """k nearest passages by L2 among those of a question's nearest cells,
-    ascending. ``assigned`` has (pid, vec, cell), for instance a table written
-    partitioned by cell."""
+    ascending. ``assigned`` has (pid, vec, cell); of a table stored by cell only the
+    cells that are asked are read."""
     asked = nearest_cells(queries, centroids, "qid", nprobe).select("qid", "vec", "cell")
-    hits = _grid_search(asked, assigned.select("pid", "vec", F.col("cell").cast("long").alias("cell")), k, "l2", queries.count())
+    hits = _grid_search(asked, assigned.select("pid", "vec", F.col("cell").cast("long").alias("cell")), k, "l2")
     return _final(hits, k, "l2")
 
 
+def moved_centroids(passages: DataFrame, start: DataFrame, rounds: int = 10) -> DataFrame:
+    """(cell, vec): ``rounds`` rounds of k-means from given centres, each the rounded mean
+    of the vectors nearest to it. A centre without vectors goes."""
+    centroids = start
+    for _ in range(rounds):
+        centroids = label_centroids(nearest_cells(passages, centroids, "pid"), "cell")
+    return centroids
+
+
 # -- quantisation ---------------------------------------------------------
 
 def scalar_ranges(passages: DataFrame) -> DataFrame:

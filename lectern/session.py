@@ -18,13 +18,18 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(app: str = "lectern", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "lectern", master: str | None = None, shared: str | None = None, **conf: str
+) -> SparkSession:
     """Session with the library's defaults. Cluster settings win over them
-    when they are passed in ``conf`` (dots written as double underscores)."""
+    when they are passed in ``conf`` (dots written as double underscores). ``shared`` is
+    the folder for stored tables, which all executors have to see."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = DEFAULT_CONF | {k.replace("__", "."): v for k, v in conf.items()}
+    if shared:
+        settings["spark.checkpoint.dir"] = shared
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.session import shared_dir
 
+CELL_FILES = 8  # tasks that write a cell, so that a large cell is not one task
 PASSAGE_BLOCK_BITS = 20  # ids per directory
 PASSAGE_FILE_BITS = 10  # ids that stay together in a file
 
@@ -101,6 +102,20 @@ class TableStore:
             entry = self._publish(path, {"path": data})
         return self.spark.read.schema("pid long, text string, block long").parquet(entry["path"])
 
+    def load_or_build_cells(self, key: dict, build: Callable[[], DataFrame]) -> DataFrame:
+        """(pid, vec, cell): vectors in a directory per cell, so that a search reads only
+        the cells that are asked."""
+        path = self.path("cells", key)
+        entry = self._published(path)
+        if entry is None:
+            data = self._fresh(path)
+            build().select("pid", "vec", "cell").repartition("cell", F.pmod(F.xxhash64("pid"), F.lit(CELL_FILES))).write.partitionBy(
+                "cell"
+            ).parquet(data)
+            entry = self._publish(path, {"path": data})
+        stored = self.spark.read.parquet(entry["path"])
+        return stored.withColumn("cell", F.col("cell").cast("long"))
+
     def load_or_build_bucketed(
         self,
         name: str,

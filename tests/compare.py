@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -73,7 +74,7 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(
-        "compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        "compare", "local[8]", tempfile.mkdtemp(prefix="run-", dir="/tmp"), spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -15,7 +16,7 @@ def spark():
     from lectern.session import build_session
 
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+        "tests", "local[8]", tempfile.mkdtemp(prefix="run-", dir="/tmp"), spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="6g",
     )
     session.sparkContext.setLogLevel("ERROR")
