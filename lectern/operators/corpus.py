@@ -13,10 +13,19 @@ SCORE_DIGITS = 6
 
 
 def dedup_in_order(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(pid, text): distinct texts, numbered by their first occurrence. Copies
-    collapse before the shuffle, so a text held by many rows is no hot key."""
-    first_seen = docs.groupBy(F.col(text).alias("text")).agg(F.min(doc_id).alias("_first"))
-    return positions(first_seen, "_first", "pid").select("pid", "text")
+    """(pid, text): distinct texts, numbered by their first occurrence.
+
+    Texts are told apart by a 256-bit digest, so only digests and ids are grouped and
+    numbered. Copies collapse before the shuffle, so a text held by many rows is
+    no hot key. The texts move once, to meet their number by id."""
+    rows = docs.select(F.col(doc_id).alias("_first"), F.col(text).alias("text"))
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("_digest")
+    first_seen = rows.select("_first", digest).groupBy("_digest").agg(F.min("_first").alias("_first"))
+    numbered = positions(first_seen, "_first", "pid")
+    texts = rows.select("_first", digest, "text").withColumnRenamed("_digest", "_d")
+    met = texts.join(numbered, "_first").filter(F.col("_d").eqNullSafe(F.col("_digest")))
+    # an id that occurs twice with one text brings it twice
+    return met.dropDuplicates(["_first", "pid"]).select("pid", "text")
 
 
 def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -12,7 +12,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # batches are bounded by rows and by bytes, as texts may be long
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     # a question's terms reach sorted index files as a list, not as a range
     "spark.sql.parquet.pushdown.inFilterThreshold": "500",
 }
