@@ -60,8 +60,11 @@ def test_awkward_documents(spark, awkward):
         after = written(stage(spark, docs, SF_DIR), "test")
         assert after.columns == docs.columns
         docs = after
-    # of three equal texts the smallest id stays, once; a row without an id belongs to no group
-    assert sorted((r.doc_id or 0) for r in docs.collect()) == [0, 1]
+    # the line of three documents stays in the largest id; texts left empty belong to no group
+    assert sorted(((r.doc_id or 0, bool(r.text)) for r in docs.collect())) == [(0, False), (1, False), (1, False), (8, True)]
+    # of three equal texts the smallest id stays, once; rows without an id are left alone
+    near = corpus_pipeline.near_duplicates_stage(spark, awkward, SF_DIR)
+    assert sorted((r.doc_id or 0) for r in near.collect()) == [0, 0, 1, 2, 3, 4, 5, 6, 7, 9]
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() >= 2
     empty = awkward.limit(0)
     for name, stage in corpus_pipeline.STAGES:
