@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, functions as F
 from lectern.llm.components import components
 from lectern.llm.kernels import WordHasher, chunks, digest, mix, windows
 from lectern.llm.tables import written
+from lectern.operators.sizing import fits_broadcast
 
 _SIGNED = "doc_id long, d1 long, d2 long, n_shingles long, bands array<long>"
 _SETS = "doc_id long, shingles array<long>"
 # coordinates are computed over this many shingles at a time, so that they stay in cache
 _BLOCK = 1 << 16
-# rounds of pivots: how many times more in each
-_GROWTH = 4
+# rounds over the bands, one pivot each; after them, how many times more pivots in each round
+_BAND_ROUNDS, _GROWTH = 2, 64
 
 
 def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -114,28 +115,41 @@ def _sets(k: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (p, x) whose full sets overlap enough. A pivot that is in very many
-    pairs is a skewed join key, which adaptive execution splits."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (p, x) with ``linked`` and ``far`` from their full sets. A pivot that is in very
+    many pairs is a skewed join key, which adaptive execution splits."""
     of_p = sets.join(pairs.select(F.col("p").alias("doc_id")).distinct(), "doc_id", "left_semi")
     with_x = pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx")), "x")
     both = with_x.join(of_p.select(F.col("doc_id").alias("p"), F.col("shingles").alias("sp")), "p")
     shared = F.size(F.array_intersect("sx", "sp"))
-    return (
-        both.withColumn("shared", shared)
-        .filter(F.col("shared") * 100 >= (F.size("sx") + F.size("sp") - F.col("shared")) * percent)
-        .select("p", "x")
-        .distinct()
+    sized = both.select("p", "x", shared.alias("shared"), (F.size("sx") + F.size("sp") - shared).alias("union"))
+    return sized.groupBy("p", "x").agg(
+        F.bool_or(F.col("shared") * 100 >= F.col("union") * percent).alias("linked"),
+        F.bool_and(F.col("shared") * 100 < F.col("union") * (2 * percent - 100)).alias("far"),
     )
 
 
-def _classed(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Rows with the class that their document is known to be in."""
-    rows = rows.drop("class")
-    if labels is None:
-        return rows.withColumn("class", F.col("doc_id"))
-    named = rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return named.withColumn("class", F.coalesce("label", "doc_id")).drop("label")
+def _state(labels: DataFrame, met: DataFrame) -> DataFrame:
+    """(doc_id, class, star, away) of the documents that have met others: the class, a
+    pivot that it is linked to, and the pivots that it is so far from that, by the triangle
+    inequality of the Jaccard distance, it cannot be linked to what is linked to them."""
+    stars = met.filter("linked").select("p", F.explode(F.array("p", "x")).alias("doc_id"))
+    star = stars.groupBy("doc_id").agg(F.min("p").alias("star"))
+    away = met.filter("far").groupBy(F.col("x").alias("doc_id")).agg(F.collect_set("p").alias("away"))
+    classes = labels.select(F.col("node").alias("doc_id"), F.col("label").alias("class"))
+    return written(classes.join(star, "doc_id", "full").join(away, "doc_id", "full"), "state")
+
+
+def _known(rows: DataFrame, state: DataFrame | None) -> DataFrame:
+    """Rows (band, doc_id, n, place, degree) with what is known of their documents."""
+    rows = rows.select("band", "doc_id", "n", "place", *(["degree"] if "degree" in rows.columns else []))
+    if state is None:
+        nowhere = F.array().cast("array<bigint>")
+        return rows.withColumns({"class": F.col("doc_id"), "star": F.lit(None).cast("long"), "away": nowhere})
+    named = rows.join(state, "doc_id", "left")
+    return named.withColumns(
+        {"class": F.coalesce("class", "doc_id"), "away": F.coalesce("away", F.array().cast("array<bigint>"))}
+    )
 
 
 def _undone(rows: DataFrame) -> DataFrame:
@@ -154,65 +168,82 @@ def _ranked(rows: DataFrame) -> DataFrame:
 
 def _meet(rows: DataFrame, salts: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(pairs p, x; rows that were no pivot): in every bucket, all members meet one pivot per
-    salt. Members of the pivot's class, and those too large or small for the overlap, need not."""
+    salt, unless they are of one class, too far apart by what is known, or cannot share enough:
+    of the shingles up to the places where they meet, they share that one at most."""
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(salts)), F.lit(salts)))
-    pivots = salted.groupBy("band", "salt").agg(F.max(F.struct("degree", "doc_id", "class", "n")).alias("top"))
-    pivots = pivots.select("band", *[F.col(f"top.{c}").alias(a) for c, a in (("doc_id", "p"), ("class", "cp"), ("n", "np"))])
-    sized = (F.least("n", "np") * 100 >= F.greatest("n", "np") * percent)
-    met = rows.join(pivots, (rows["band"] == pivots["band"]) & (F.col("class") != F.col("cp")) & sized)
-    pairs = met.select(F.least("p", "doc_id").alias("p"), F.greatest("p", "doc_id").alias("x")).distinct()
-    rest = rows.join(pivots.select("band", F.col("p").alias("doc_id")), ["band", "doc_id"], "left_anti")
+    own = ("doc_id", "class", "n", "place", "star", "away")
+    pivots = salted.groupBy("band", "salt").agg(F.max_by(F.struct(*own), F.struct("degree", "doc_id")).alias("top"))
+    pivots = pivots.select("band", *[F.col(f"top.{c}").alias(f"p_{c}") for c in own])
+    most = F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place")) + 1
+    apart = F.array_contains("away", F.col("p_star")) | F.array_contains("p_away", F.col("star"))
+    met = rows.join(
+        pivots,
+        (rows["band"] == pivots["band"])
+        & (F.col("class") != F.col("p_class"))
+        & (most * (100 + percent) >= (F.col("n") + F.col("p_n")) * percent)
+        & ~F.coalesce(apart, F.lit(False)),
+    )
+    pairs = met.select(F.col("p_doc_id").alias("p"), F.col("doc_id").alias("x")).distinct()
+    rest = rows.join(pivots.select("band", F.col("p_doc_id").alias("doc_id")), ["band", "doc_id"], "left_anti")
     return pairs, rest
 
 
 def _prefixes(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(band, doc_id, n) with a bucket for each shingle that two of ``docs`` may have to
-    share: in one order of all shingles, rarest first, sets that overlap enough
+    """(band, doc_id, n, place) with a bucket for each shingle that two of ``docs`` may have
+    to share: in one order of all shingles, rarest first, sets that overlap enough
     have a shingle in common among the first of each (Chaudhuri et al., prefix filter)."""
     own = sets.join(docs, "doc_id", "left_semi").withColumn("n", F.size("shingles"))
     each = own.select("doc_id", "n", F.explode("shingles").alias("s"))
     shared = each.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1")
     listed = each.join(shared, "s").groupBy("doc_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("list"))
     # shingles of one document come first and use up places
-    places = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("list"))
+    alone = F.col("n") - F.size("list")
+    places = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone
     first = F.slice("list", F.lit(1), F.greatest(places, F.lit(0)).cast("int"))
-    return listed.select("doc_id", F.col("n").cast("long").alias("n"), F.explode(first).alias("v")).select(
-        F.col("v.s").alias("band"), "doc_id", "n"
+    return listed.select("doc_id", F.col("n").cast("long").alias("n"), alone.alias("alone"), F.posexplode(first).alias("i", "v")).select(
+        F.col("v.s").alias("band"), "doc_id", "n", (F.col("alone") + F.col("i") + 1).cast("long").alias("place")
     )
 
 
 def _links(buckets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """Confirmed links (a, b) that connect all that can be linked inside the buckets.
+    """Links (a, b) that connect all that can be linked inside the buckets.
 
-    First all members of a bucket meet its pivot. Where the others do not turn out to
-    belong together, prefix-filter buckets replace the bands: they keep every pair that can be
-    linked and part documents that only share a common passage. Pivots then meet
-    the members of other classes, more pivots in each round, until every bucket is of one
-    class, or to its last pair."""
+    In the first rounds all members of a bucket meet a pivot, another in each round. Where the others
+    do not turn out to belong together, prefix-filter buckets replace the bands: they
+    keep every pair that can be linked and part documents that only share a common
+    passage. Pivots then meet the members of other classes, more of them in each round,
+    until every bucket is of one class, or to its last pair."""
     sizes = buckets.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
-    several = buckets.join(sizes.select("band"), "band", "left_semi")
-    rows = written(_ranked(_classed(several, None)), "buckets")
+    several = buckets.join(sizes.select("band"), "band", "left_semi").withColumn("place", F.lit(1).cast("long"))
+    rows = written(_known(_ranked(several), None), "buckets")
     if rows.isEmpty():
         return None
-    asked = rows.select("doc_id").distinct()
+    asked = written(rows.select("doc_id").distinct(), "asked")
+    # few ids go to the texts, which then do not move
+    asked = F.broadcast(asked) if fits_broadcast(asked) else asked
     sets = written(docs.join(asked, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(k), _SETS), "shingles")
-    links, labels, salts = None, None, 1
+    links, met, labels, state, salts, round_no = None, None, None, None, 1, 0
     while True:
         pairs, rest = _meet(rows, salts, percent)
-        found = written(_confirmed(pairs, sets, percent), "links").select(F.col("p").alias("a"), F.col("x").alias("b"))
-        known = found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        found = written(_compared(pairs, sets, percent), "met")
+        linked = found.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
+        links = linked if links is None else links.unionByName(linked)
+        known = linked if labels is None else linked.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
         labels = components(known)
-        links = found if links is None else links.unionByName(found)
-        rest = _undone(_classed(rest, labels))
-        if salts == 1:
-            open_docs = written(rest.select("doc_id").distinct(), "open")
-            rest = _undone(_ranked(_classed(_prefixes(open_docs, sets, percent), labels)))
-        else:
-            salts *= _GROWTH
-        rows = written(rest, "buckets")
+        if round_no < _BAND_ROUNDS:  # these have few pivots, so that a document is away from few
+            met = found if met is None else met.unionByName(found)
+        state = _state(labels, met)
+        rows = written(_undone(_known(rest, state)), "buckets")
+        round_no += 1
         if rows.isEmpty():
             return links
-        salts = max(salts, 2)
+        if round_no == _BAND_ROUNDS:
+            open_docs = written(rows.select("doc_id").distinct(), "open")
+            rows = written(_undone(_known(_ranked(_prefixes(open_docs, sets, percent)), state)), "buckets")
+            if rows.isEmpty():
+                return links
+        if round_no >= _BAND_ROUNDS:
+            salts = 2 if salts == 1 else salts * _GROWTH
 
 
 def near_duplicates(
