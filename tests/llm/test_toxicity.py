@@ -59,4 +59,4 @@ def test_bytes_are_counted_per_text():
     got = toxicity._byte_counts(pa.array(["Ab! c?", "", None, "s@d 1d10t x2"]))
     assert got[0].tolist() == [1, 1, 1, 2, 0, 0, 3]
     assert got[1].tolist() == got[2].tolist() == [0] * 7
-    assert got[3].tolist()[4:] == [4, 2, 5]
+    assert got[3].tolist()[4:] == [4, 1, 5]  # one sign between letters, as in s@d
