@@ -170,7 +170,7 @@ def best_answers(candidates: DataFrame, null: DataFrame | None = None, threshold
         .groupBy("example_id")
         .agg(F.min(F.struct("rank", "text", "start_logit", "end_logit")).alias("b"))
     )
-    judged = null.join(best, "example_id", "left").withColumn(
+    judged = null.join(best, "example_id", "full").withColumn(  # an example without windows has no null score
         "score_diff", F.round(F.col("score") - F.col("b.start_logit") - F.col("b.end_logit"), SCORE_DIGITS)
     )
     answer = F.when(F.col("b").isNull() | (F.col("score_diff") > threshold), F.lit("")).otherwise(F.col("b.text"))

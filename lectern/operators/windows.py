@@ -20,7 +20,7 @@ MARKERS = 3  # [CLS] question [SEP] context [SEP]
 SEPARATORS = ("\n\n", "\n", " ", "")
 
 
-def window_starts(n: Column, capacity: Column, overlap: int) -> Column:
+def window_starts(n: Column, capacity: Column, overlap: Column | int) -> Column:
     """First token of each window. Neighbours share ``overlap`` tokens."""
     step = capacity - overlap
     last = F.when(n <= capacity, F.lit(0)).otherwise(F.ceil((n - capacity) / step).cast("int") * step)
@@ -30,19 +30,21 @@ def window_starts(n: Column, capacity: Column, overlap: int) -> Column:
 def features(examples: DataFrame, max_length: int = MAX_LENGTH, stride: int = DOC_STRIDE) -> DataFrame:
     """Windows of ``examples`` (id, question, context, ...).
 
-    A question that leaves no more room than two neighbours share is cut to the tokens that
-    leave one more, so that windows still go forward. Adds window_no, feature_id, tokens (markers and question included) and
-    offsets, null outside the context. Other columns are carried along."""
+    Every window holds the whole question. Where it leaves no more room than two neighbours share,
+    they share one token less than there is room, so that windows still go forward. Questions that
+    leave no room have no window; ``rejected_questions`` lists them. Adds window_no, feature_id, tokens
+    (markers and question included) and offsets, null outside the context. Other columns are carried along."""
     carried = [c for c in examples.columns if c not in ("question", "context")]
     read = examples.select(
         *carried,
-        F.slice(cased_tokens(F.col("question")), 1, max(max_length - MARKERS - stride - 1, 0)).alias("_q"),
+        cased_tokens(F.col("question")).alias("_q"),
         cased_tokens(F.col("context")).alias("_t"),
         token_spans(F.col("context")).alias("_o"),
     ).withColumn("_cap", F.lit(max_length) - F.size("_q") - MARKERS)
+    overlap = F.least(F.lit(stride), F.col("_cap") - 1)
+    starts = F.when(F.col("_cap") >= 1, window_starts(F.size("_t"), F.col("_cap"), overlap))
     placed = read.select(
-        *carried, "_q", "_t", "_o", "_cap",
-        F.posexplode(window_starts(F.size("_t"), F.col("_cap"), stride)).alias("window_no", "_first"),
+        *carried, "_q", "_t", "_o", "_cap", F.posexplode(starts).alias("window_no", "_first")
     )
     begin = F.col("_first") + 1
     tokens = F.concat(
@@ -62,6 +64,14 @@ def features(examples: DataFrame, max_length: int = MAX_LENGTH, stride: int = DO
     )
 
 
+def rejected_questions(examples: DataFrame, max_length: int = MAX_LENGTH) -> DataFrame:
+    """(id, question_tokens, most_tokens) of the examples that ``features`` makes no window of, as
+    their question leaves no room for a token of the context."""
+    most = max_length - MARKERS - 1
+    counted = examples.select("id", F.size(cased_tokens(F.col("question"))).alias("question_tokens"))
+    return counted.filter(F.col("question_tokens") > most).withColumn("most_tokens", F.lit(most))
+
+
 def with_padding(features: DataFrame, width: Column | int = MAX_LENGTH) -> DataFrame:
     return features.select(
         *[c for c in features.columns if c != "tokens"],

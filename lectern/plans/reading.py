@@ -25,6 +25,7 @@ def extractive_train_features(examples: DataFrame, **limits) -> DataFrame:
 
 
 def extractive_features(examples: DataFrame, **limits) -> DataFrame:
+    """Windows to predict from. Examples of ``windows.rejected_questions`` have none and get the stand-in answer."""
     return windows.features(examples.select("id", "question", "context"), **limits).withColumnRenamed("id", "example_id")
 
 

@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from lectern.operators import windows
+from lectern.plans import reading
 
 
 def examples(spark, rows):
@@ -90,3 +91,28 @@ def test_a_long_question_does_not_end_the_job(spark):
     )
     got = windows.features(examples).groupBy("id").agg(F.max(F.size("tokens")).alias("n"), F.count("*").alias("w")).collect()
     assert {r.id: (r.n <= 384, r.w >= 1) for r in got} == {1: (True, True), 2: (True, True)}
+
+
+def test_long_questions_stay_whole(spark):
+    """Room for many tokens, for one and for none."""
+    long = {1: 10, 2: 15, 3: 16, 4: 17, 5: 40}
+    rows = [(i, " ".join(f"q{j}" for j in range(n)), " ".join(f"w{j}" for j in range(30)), ([], [])) for i, n in long.items()]
+    found = {}
+    for r in windows.features(examples(spark, rows), max_length=20, stride=5).collect():
+        at = long[r.id]
+        assert r.tokens[: at + 2] == ["[CLS]", *(f"q{j}" for j in range(at)), "[SEP]"] and len(r.tokens) == len(r.offsets) <= 20
+        found.setdefault(r.id, set()).update(r.tokens[at + 2 : -1])
+    assert found == {i: {f"w{j}" for j in range(30)} for i in (1, 2, 3)}
+    out = windows.rejected_questions(examples(spark, rows), max_length=20).collect()
+    assert sorted(map(tuple, out)) == [(4, 17, 16), (5, 40, 16)]
+
+
+def test_rejected_questions_keep_their_prediction(spark):
+    rows = [(1, "q", "w0 w1", ([], [])), (2, " ".join(["q"] * 40), "w0 w1", ([], []))]
+    own = examples(spark, rows)
+    features = reading.extractive_features(own, max_length=20, stride=5)
+    flat = F.transform("tokens", lambda t, i: F.when(i == 3, 5.0).otherwise(0.0))
+    logits = features.select("feature_id", flat.alias("start_logits"), flat.alias("end_logits"))
+    for with_null in (False, True):
+        got = reading.extractive_answers(features, logits, own, with_null=with_null)[0].collect()
+        assert {r.id: r.prediction_text for r in got} == {1: "w0", 2: "empty"}
