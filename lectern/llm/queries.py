@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.llm import sql
 from lectern.llm.decontaminate import contaminated
+from lectern.llm.divergence import audit
 from lectern.llm.lines import drop_repeated_lines
 from lectern.llm.minhash import near_duplicates
 from lectern.llm.ngram_lm import fit, fold, score
@@ -104,6 +105,10 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_divergence_skyband(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_ledger": op1_quality_ledger,
     "op2_string_tiling": op2_string_tiling,
@@ -115,10 +120,12 @@ QUERIES: dict[str, Query] = {
     "op8_wrapper_text": op8_wrapper_text,
     "op9_circulant_minhash": op9_circulant_minhash,
     "op10_hilbert_packing": op10_hilbert_packing,
+    "op13_divergence_skyband": op13_divergence_skyband,
 }
 ORACLES: dict[str, str] = {
     "op1_quality_ledger": sql.QUALITY,
     "op3_interleaved_shards": sql.SHARDS,
     "op6_line_dedup": sql.LINES,
     "op9_circulant_minhash": sql.NEAR_DUPLICATES,
+    "op13_divergence_skyband": sql.DIVERGENCE,
 }

@@ -133,3 +133,39 @@ WITH RECURSIVE split AS (
 )
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM classes
 """
+
+DIVERGENCE = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_lower("coalesce(text, '')")} AS text
+  FROM documents
+), words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs
+), cells AS (
+  SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL
+), kept AS (
+  SELECT lang, term, count(*) AS cl FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 30
+), langs AS (
+  SELECT lang, count(*) AS v, sum(cl) AS total FROM kept GROUP BY lang
+), counts AS (
+  SELECT g.lang, g.source, term, coalesce(n, 0) AS n, cl, v, total, sum(coalesce(n, 0)) OVER (PARTITION BY g.lang, g.source) AS own
+  FROM (SELECT DISTINCT lang, source FROM docs) g JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN cells USING (lang, source, term)
+), shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (own + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (cl + 5)) // (total + 5 * v) AS q
+  FROM counts
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM (SELECT DISTINCT lang, source FROM docs) a JOIN (SELECT DISTINCT lang, source FROM docs) b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+), parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+) WHERE part = 'pair' OR rank <= 50
+"""
