@@ -18,6 +18,7 @@ from lectern.llm.quality import judged, ledger
 from lectern.llm.shards import interleave
 from lectern.llm.toxicity import fit as fit_toxicity, production_part
 from lectern.llm.urls import judge, mine
+from lectern.llm.whitening import whiten
 from lectern.llm.wrappers import extract
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +106,10 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_divergence_skyband(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"))
 
@@ -120,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op8_wrapper_text": op8_wrapper_text,
     "op9_circulant_minhash": op9_circulant_minhash,
     "op10_hilbert_packing": op10_hilbert_packing,
+    "op11_incremental_whitening": op11_incremental_whitening,
     "op13_divergence_skyband": op13_divergence_skyband,
 }
 ORACLES: dict[str, str] = {
