@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.llm import sql
+from lectern.llm.byte_cnn import fit as fit_quality, production_rows
 from lectern.llm.decontaminate import contaminated
 from lectern.llm.divergence import audit
 from lectern.llm.lines import drop_repeated_lines
@@ -110,6 +111,14 @@ def op11_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = fit_quality(docs, table(spark, sf_dir, "labels"), production_rows()).score(docs)
+    return scored.select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op13_divergence_skyband(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"))
 
@@ -126,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op9_circulant_minhash": op9_circulant_minhash,
     "op10_hilbert_packing": op10_hilbert_packing,
     "op11_incremental_whitening": op11_incremental_whitening,
+    "op12_byte_cnn": op12_byte_cnn,
     "op13_divergence_skyband": op13_divergence_skyband,
 }
 ORACLES: dict[str, str] = {

@@ -17,5 +17,5 @@ def test_query(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert (Path(__file__).parents[2] / "corpus_pipeline.py").exists()
