@@ -21,7 +21,7 @@ from lectern.llm.tables import fresh_folder, written
 
 END = mix(np.array([0x656E64], np.uint64))[0]
 BEGIN = mix(np.array([0x626567696E], np.uint64))[0]
-FLUSH_TOKENS = 4 << 20
+FLUSH_TOKENS = 1 << 20
 PART_TOKENS = 2 << 20
 SCORED_BYTES = 4 << 20
 
@@ -75,9 +75,22 @@ def _held(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[np.nd
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for words, _ in _held(batches, FLUSH_TOKENS):
-        keys, counts, _ = _summed(words)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["h", "n"])
+    hasher, held, n = WordHasher(), [], 0
+
+    def summed() -> pa.RecordBatch:
+        keys, counts, _ = _summed(np.concatenate(held))
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["h", "n"])
+
+    for batch in batches:
+        for _, part in chunks(batch.column(0)):
+            hashes, at = hasher.chunk(part)
+            held += [hashes, np.full(len(at) - 1, END)]
+            n += len(hashes) + len(at) - 1
+            if n >= FLUSH_TOKENS:
+                yield summed()
+                held, n = [], 0
+    if n:
+        yield summed()
 
 
 def _part(contexts: np.ndarray, pairs: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
