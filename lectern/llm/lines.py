@@ -17,7 +17,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.kernels import chunks
-from lectern.llm.tables import written
+from lectern.llm.tables import drop, settled, written
+from lectern.operators.sizing import fits_broadcast
 
 STRIPPED = " \t\n\x0b\x0c\r"
 
@@ -158,8 +159,11 @@ def keep_bitmaps(
         F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.col(text).alias("text"), body_key(text).alias("body")
     ).mapInArrow(_line_rows(min_chars), _LINE)
     order = [F.col("h1"), F.col("h2"), F.col("doc").desc()]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # finding the ranges reads all hashes once more, which should not split all texts again
+    hashed = written(rows, "line-hashes")
+    ordered = hashed.repartitionByRange(*order).sortWithinPartitions(*order)
     streamed = written(ordered.mapInArrow(_stream_runs(min_docs), _STREAMED), "line-runs")
+    drop(hashed)
     line = ["doc", "body", "n_lines", "places"]
     known = (
         streamed.filter(F.col("kind") == _SUMMARY)
@@ -167,13 +171,16 @@ def keep_bitmaps(
         .agg(F.sum("holders").alias("holders"), F.max("largest").alias("largest"))
         .filter(F.col("holders") >= min_docs)
     )
-    settled = (
+    known = written(known, "open-lines")
+    # two rows a batch at most: where they are few they go to the open rows, of which a frequent line has many
+    known = F.broadcast(known) if fits_broadcast(known) else known
+    closed = (
         streamed.filter(F.col("kind") == _OPEN)
         .drop("holders", "largest")
         .join(known, ["h1", "h2"])
         .filter(F.col("doc") != F.col("largest"))
     )
-    lost = streamed.filter(F.col("kind") == _LOSES).select(*line).unionByName(settled.select(*line))
+    lost = streamed.filter(F.col("kind") == _LOSES).select(*line).unionByName(closed.select(*line))
     by_doc = lost.groupBy("doc", "body").agg(
         F.max("n_lines").alias("n_lines"), F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")
     )
@@ -211,8 +218,9 @@ def drop_repeated_lines(
 ) -> DataFrame:
     """``docs`` without the lines that :func:`keep_bitmaps` marks, all columns as they
     were. A text that loses no line stays as it is, null too; one that loses all
-    becomes empty. ``totals`` names two columns to add: lines before, lines dropped."""
-    maps = keep_bitmaps(docs, min_docs, min_chars, key, text).select(
+    becomes empty, and an empty table stays empty. A text is read whole, however long; a task holds
+    an Arrow batch. ``totals`` names two columns to add: lines before, lines dropped."""
+    maps = settled(lambda: keep_bitmaps(docs, min_docs, min_chars, key, text), "bitmaps").select(
         F.col("doc").alias("_doc"), F.col("body").alias("_body"), F.col("keep").alias("_keep")
     )
     plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("_row"), F.col(text).alias("_text"))

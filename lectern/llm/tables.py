@@ -1,14 +1,19 @@
 """Tables in the folder that driver and executors share: they cut lineage, and a
-lost executor costs only the tasks it was running."""
+lost executor costs only the tasks it was running. What is superseded is deleted."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.session import shared_dir
 
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_scopes: list[set[str]] = []
+
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new path in ``spark.checkpoint.dir``; only a local session without that
@@ -21,4 +26,40 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table: computed once, read by all that follows."""
     path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    if _scopes:
+        _scopes[-1].add(path)
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Delete tables of :func:`written` from which everything that was made of them is written; others are left alone."""
+    for table in tables:
+        path = _paths.pop(table, None) if table is not None else None
+        if path:
+            _delete(table.sparkSession, path)
+            for scope in _scopes:
+                scope.discard(path)
+
+
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns as a written table. All tables that were written on the way are deleted."""
+    _scopes.append(set())
+    result = None
+    try:
+        result = written(make(), name)
+        return result
+    finally:
+        made = _scopes.pop()
+        kept = _paths.get(result) if result is not None else None
+        spark = SparkSession.getActiveSession() if result is None else result.sparkSession
+        for path in made - {kept}:
+            _delete(spark, path)
+        if kept and _scopes:
+            _scopes[-1].add(kept)
