@@ -12,17 +12,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.components import components
+from lectern.llm.components import components, rough_classes
 from lectern.llm.kernels import WordHasher, chunks, digest, mix, windows
-from lectern.llm.tables import written
+from lectern.llm.lines import body_key
+from lectern.llm.tables import drop, settled, written
 from lectern.operators.sizing import fits_broadcast
 
 _SIGNED = "doc_id long, d1 long, d2 long, n_shingles long, bands array<long>"
 _SETS = "doc_id long, shingles array<long>"
 # coordinates are computed over this many shingles at a time, so that they stay in cache
 _BLOCK = 1 << 16
-# rounds over the bands, one pivot each; after them, how many times more pivots in each round
-_BAND_ROUNDS, _GROWTH = 2, 64
+# pivots that the members of a bucket meet, of a band and of a prefix; then all that is left meets
+_BAND_PIVOTS, _PREFIX_PIVOTS = 2, 8
 
 
 def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -140,6 +141,10 @@ def _state(labels: DataFrame, met: DataFrame) -> DataFrame:
     return written(classes.join(star, "doc_id", "full").join(away, "doc_id", "full"), "state")
 
 
+def _ends() -> tuple:
+    return F.least("p", "x").alias("lo"), F.greatest("p", "x").alias("hi")
+
+
 def _known(rows: DataFrame, state: DataFrame | None) -> DataFrame:
     """Rows (band, doc_id, n, place, degree) with what is known of their documents."""
     rows = rows.select("band", "doc_id", "n", "place", *(["degree"] if "degree" in rows.columns else []))
@@ -152,40 +157,50 @@ def _known(rows: DataFrame, state: DataFrame | None) -> DataFrame:
     )
 
 
-def _undone(rows: DataFrame) -> DataFrame:
-    """Rows of the buckets whose members are not all known to belong together."""
-    mixed = rows.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi")
-    return rows.join(mixed.select("band"), "band", "left_semi")
+def _undone(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of the buckets whose members are not all known to belong together, without those
+    that nobody of the sizes there can be linked to from their place on."""
+    spans = rows.groupBy("band").agg(
+        F.min("class").alias("lo"), F.max("class").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most")
+    )
+    # shared * (100 + percent) >= (n + m) * percent, and no more is shared than what is left, or than the other has
+    large = (F.col("n") - F.col("place") + 1) * (100 + percent) >= (F.col("n") + F.col("least")) * percent
+    small = F.col("most") * 100 >= F.col("n") * percent
+    return rows.join(spans.filter("lo < hi"), "band").filter(large & small).drop("lo", "hi", "least", "most")
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
     """Rows with ``degree``: how often a document meets others. Who meets most is most
     likely in the middle of its group."""
-    sizes = rows.groupBy("band").agg(F.count("*").alias("size"))
-    degree = rows.join(sizes, "band").groupBy("doc_id").agg(F.sum("size").alias("degree"))
-    return rows.drop("degree").join(degree, "doc_id")
+    if "size" not in rows.columns:
+        rows = rows.join(rows.groupBy("band").agg(F.count("*").alias("size")), "band")
+    degree = rows.groupBy("doc_id").agg(F.sum("size").alias("degree"))
+    return rows.drop("size").join(degree, "doc_id")
 
 
-def _meet(rows: DataFrame, salts: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs p, x; rows that were no pivot): in every bucket, all members meet one pivot per
-    salt, unless they are of one class, too far apart by what is known, or cannot share enough:
-    of the shingles up to the places where they meet, they share that one at most."""
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(salts)), F.lit(salts)))
+def _meet(rows: DataFrame, salts: int | None, percent: int) -> DataFrame:
+    """Pairs (p, x), each once: in every bucket, all members meet one pivot per salt, or without
+    ``salts`` one another, unless they are of one class, too far apart by what is known, or cannot share
+    enough: of the shingles up to the places where they meet, they share that one at most."""
     own = ("doc_id", "class", "n", "place", "star", "away")
-    pivots = salted.groupBy("band", "salt").agg(F.max_by(F.struct(*own), F.struct("degree", "doc_id")).alias("top"))
-    pivots = pivots.select("band", *[F.col(f"top.{c}").alias(f"p_{c}") for c in own])
+    if salts:
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(salts)), F.lit(salts)))
+        pivots = salted.groupBy("band", "salt").agg(F.max_by(F.struct(*own), F.struct("degree", "doc_id")).alias("top"))
+        pivots = pivots.select("band", *[F.col(f"top.{c}").alias(f"p_{c}") for c in own])
+    else:
+        pivots = rows.select("band", *[F.col(c).alias(f"p_{c}") for c in own])
     most = F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place")) + 1
     apart = F.array_contains("away", F.col("p_star")) | F.array_contains("p_away", F.col("star"))
     met = rows.join(
         pivots,
         (rows["band"] == pivots["band"])
         & (F.col("class") != F.col("p_class"))
+        & (F.lit(True) if salts else F.col("p_doc_id") < F.col("doc_id"))
         & (most * (100 + percent) >= (F.col("n") + F.col("p_n")) * percent)
         & ~F.coalesce(apart, F.lit(False)),
     )
-    pairs = met.select(F.col("p_doc_id").alias("p"), F.col("doc_id").alias("x")).distinct()
-    rest = rows.join(pivots.select("band", F.col("p_doc_id").alias("doc_id")), ["band", "doc_id"], "left_anti")
-    return pairs, rest
+    pairs = met.select(F.col("p_doc_id").alias("p"), F.col("doc_id").alias("x"), *_ends())
+    return pairs.dropDuplicates(["lo", "hi"])
 
 
 def _prefixes(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -208,42 +223,45 @@ def _prefixes(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _links(buckets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
     """Links (a, b) that connect all that can be linked inside the buckets.
 
-    In the first rounds all members of a bucket meet a pivot, another in each round. Where the others
-    do not turn out to belong together, prefix-filter buckets replace the bands: they
-    keep every pair that can be linked and part documents that only share a common
-    passage. Pivots then meet the members of other classes, more of them in each round,
-    until every bucket is of one class, or to its last pair."""
+    Members of a bucket first meet few pivots. Where the others do not turn out to belong
+    together, prefix-filter buckets replace the bands: they keep every pair that can be linked and part
+    documents that only share a common passage. There the members meet more pivots, and at last all
+    of other classes that may still be linked. No pair is compared twice."""
     sizes = buckets.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
-    several = buckets.join(sizes.select("band"), "band", "left_semi").withColumn("place", F.lit(1).cast("long"))
-    rows = written(_known(_ranked(several), None), "buckets")
+    rows = written(_known(_ranked(buckets.join(sizes, "band").withColumn("place", F.lit(1).cast("long"))), None), "buckets")
     if rows.isEmpty():
         return None
     asked = written(rows.select("doc_id").distinct(), "asked")
     # few ids go to the texts, which then do not move
     asked = F.broadcast(asked) if fits_broadcast(asked) else asked
     sets = written(docs.join(asked, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(k), _SETS), "shingles")
-    links, met, labels, state, salts, round_no = None, None, None, None, 1, 0
-    while True:
-        pairs, rest = _meet(rows, salts, percent)
-        found = written(_compared(pairs, sets, percent), "met")
-        linked = found.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
-        links = linked if links is None else links.unionByName(linked)
-        known = linked if labels is None else linked.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = components(known)
-        if round_no < _BAND_ROUNDS:  # these have few pivots, so that a document is away from few
-            met = found if met is None else met.unionByName(found)
-        state = _state(labels, met)
-        rows = written(_undone(_known(rest, state)), "buckets")
-        round_no += 1
-        if rows.isEmpty():
-            return links
-        if round_no == _BAND_ROUNDS:
+    met: DataFrame | None = None
+    for salts in (_BAND_PIVOTS, _PREFIX_PIVOTS, None):
+        pairs = _meet(rows, salts, percent)
+        if met is not None:
+            pairs = pairs.join(met.select("lo", "hi"), ["lo", "hi"], "left_anti")
+        found = written(_compared(pairs, sets, percent).select("*", *_ends()), "met")
+        met = found if met is None else met.unionByName(found)
+        links = met.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
+        if salts is None:
+            break
+        if salts == _BAND_PIVOTS:  # these are few, so that a document is away from few
+            away = found
+        state = written(_state(rough_classes(links), away), "state")
+        left = written(_undone(_known(rows, state), percent), "buckets")
+        drop(rows)
+        rows = left
+        if salts == _BAND_PIVOTS and not rows.isEmpty():
             open_docs = written(rows.select("doc_id").distinct(), "open")
-            rows = written(_undone(_known(_ranked(_prefixes(open_docs, sets, percent)), state)), "buckets")
-            if rows.isEmpty():
-                return links
-        if round_no >= _BAND_ROUNDS:
-            salts = 2 if salts == 1 else salts * _GROWTH
+            prefixes = written(_prefixes(open_docs, sets, percent), "prefixes")
+            left = written(_undone(_known(_ranked(prefixes), state), percent), "buckets")
+            drop(rows, open_docs, prefixes)
+            rows = left
+        drop(state)
+        if rows.isEmpty():
+            break
+    drop(sets)
+    return links
 
 
 def near_duplicates(
@@ -264,27 +282,77 @@ def near_duplicates(
     empty result."""
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = written(own.mapInArrow(_sign(k, bands, rows), _SIGNED), "signatures")
-    full = signed.filter("n_shingles > 0 and doc_id is not null")
+    classes = settled(lambda: _classes(signed.filter("n_shingles > 0 and doc_id is not null"), own, k, percent), "classes")
+    out = signed.select("doc_id", "n_shingles").join(classes, "doc_id", "left")
+    component = F.coalesce("component_id", "doc_id")
+    return out.select(
+        "doc_id", "n_shingles", component.alias("component_id"),
+        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def _classes(full: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, component_id) of the documents with words."""
     groups = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    members = written(full.drop("bands").join(groups, ["d1", "d2"]).select("doc_id", "rep").distinct(), "members")
-    reps = full.join(groups, ["d1", "d2"]).filter("doc_id = rep")
+    copies = written(full.join(groups, ["d1", "d2"]), "copies")
+    members = copies.select("doc_id", "rep").distinct()
+    reps = copies.filter("doc_id = rep")
     buckets = reps.select(F.explode("bands").alias("band"), "doc_id", F.col("n_shingles").alias("n")).distinct()
-    near = _links(buckets, own, k, percent)
+    near = _links(buckets, docs, k, percent)
     # an id with several texts ties their groups together
     several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")
     ties = several.select("a", "b").unionByName(
         members.join(several.select("doc_id", "a"), "doc_id").filter("rep > a").select("a", F.col("rep").alias("b"))
     )
-    links = ties if near is None else near.unionByName(ties)
-    labels = components(links)
-    classes = (
-        members.join(labels, F.col("rep") == F.col("node"), "left")
-        .groupBy("doc_id")
-        .agg(F.min(F.coalesce("label", "rep")).alias("component_id"))
+    labels = components(ties if near is None else near.unionByName(ties))
+    named = members.join(labels, F.col("rep") == F.col("node"), "left")
+    return named.groupBy("doc_id").agg(F.min(F.coalesce("label", "rep")).alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each class of :func:`near_duplicates`, all columns as they were.
+
+    Rows are told apart by id and text: those that share only an id are documents of their own, and so are
+    rows without an id. The first of a class stays by id, null last, and then by a hash of the text;
+    of rows equal in both, any one. Texts without words belong to no class and stay, repeated
+    or not. Only the ids of what goes meet the texts."""
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).cast("long").alias("id"), body_key(text).alias("body"),
+        F.col(text).alias("text"),
     )
-    out = signed.select("doc_id", "n_shingles").join(classes, "doc_id", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
+    shared = settled(lambda: _shared_ids(rows), "shared-ids")
+    if shared.isEmpty():
+        near = settled(lambda: near_duplicates(rows, key="id", **options).filter("not kept").select(F.col("doc_id").alias("id")), "lost")
+        return rows.join(near, "id", "left_anti").select("row.*")
+    near = settled(lambda: near_duplicates(_keyed(rows, shared).withColumn("key", F.coalesce("number", "id")), key="key", **options), "classes")
+    named = near.join(shared, F.col("number") == F.col("doc_id"), "left")
+    named = named.withColumn("id", F.when(F.col("number").isNull(), F.col("doc_id")).otherwise(F.col("id")))
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "body", "doc_id")
+    first = named.groupBy("component_id").agg(F.min(place).alias("first"))
+    judged = settled(
+        lambda: named.join(first, "component_id").select(
+            "number", "id", "n_shingles", "n", (F.col("first.doc_id") == F.col("doc_id")).alias("stays")
+        ), "judged",
     )
+    of_one = judged.filter("number is null and not stays").select("id")
+    alone = _keyed(rows, shared).filter("number is null").join(of_one, "id", "left_anti")
+    stay = judged.filter("number is not null and stays").select("number", "n_shingles", "n").distinct()
+    met = _keyed(rows, shared).filter("number is not null").join(stay, "number")
+    once = met.filter("n = 1 or n_shingles = 0").select("row")
+    repeated = met.filter("n > 1 and n_shingles > 0").dropDuplicates(["number"]).select("row")
+    return alone.select("row").unionByName(once).unionByName(repeated).select("row.*")
+
+
+def _shared_ids(rows: DataFrame) -> DataFrame:
+    """(id, body, n, number) of the rows that their id does not name, with a number below all ids instead."""
+    counted = rows.groupBy("id", "body").agg(F.count("*").alias("n"))
+    several = counted.groupBy("id").agg(F.sum("n").alias("rows")).filter("rows > 1 or id is null").select(F.col("id").alias("of"))
+    least = rows.agg(F.least(F.lit(0).cast("long"), F.min("id"))).scalar()
+    shared = written(counted.join(several, F.col("id").eqNullSafe(F.col("of")), "left_semi"), "shared")
+    return shared.withColumn("number", least - 1 - F.monotonically_increasing_id())
+
+
+def _keyed(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """Rows with the number of those that their id does not name."""
+    own = shared.select(F.col("id").alias("of"), F.col("body").alias("digest"), "number")
+    return rows.join(own, F.col("id").eqNullSafe(F.col("of")) & (F.col("body") == F.col("digest")), "left").drop("of", "digest")

@@ -1,13 +1,16 @@
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
+from lectern.llm import minhash
 from lectern.llm.components import components
 from lectern.llm.kernels import WordHasher
 from lectern.llm.minhash import band_keys, near_duplicates, shingle_set, signatures
+from lectern.session import shared_dir
 
 import pyarrow as pa
 
@@ -62,6 +65,27 @@ def test_against_brute_force(spark, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("own, linked", [(10, False), (6, False), (5, True)])
+def test_no_pair_is_compared_twice(spark, monkeypatch, own, linked):
+    """Documents of shared paragraphs: with 30 of 40 or 34 of 40 they are too far apart, with 35 of 40 linked."""
+    seen = []
+    compared = minhash._compared
+    monkeypatch.setattr(minhash, "_compared", lambda p, *a: seen.extend((min(r.p, r.x), max(r.p, r.x)) for r in p.collect()) or compared(p, *a))
+    shared = [" ".join(f"s{i}_{j}" for j in range(12)) for i in range(40 - own)]
+    docs = [(d, "\n".join(shared + [" ".join(f"o{d}_{i}_{j}" for j in range(12)) for i in range(own)])) for d in range(400)]
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == ({0} if linked else set(range(400)))
+    assert len(seen) == len(set(seen)) and len(seen) < 400 * 60
+
+
+def test_only_the_result_is_left(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    folder = Path(shared_dir(spark)) / "llm"
+    before = {p.name for p in folder.glob("*")}
+    assert near_duplicates(docs).count() == docs.count()
+    assert sorted(p.name.split("-")[0] for p in folder.iterdir() if p.name not in before) == ["classes", "signatures"]
+
+
 def test_awkward_rows(awkward, nothing):
     got = near_duplicates(awkward).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute([(r.doc_id, r.text) for r in awkward.collect()])
