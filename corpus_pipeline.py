@@ -1,7 +1,8 @@
 """From raw documents to packed sequences: five stages, each a whole operator.
 
 Every stage works on all rows that the one before kept. Its result is written as Parquet
-and read again, so a lost executor never goes back beyond the stage it was in."""
+and read again, so a lost executor never goes back beyond the stage it was in; the tables that it
+made on the way are then deleted."""
 
 from __future__ import annotations
 
@@ -12,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.llm.decontaminate import contaminated
 from lectern.llm.lines import body_key, drop_repeated_lines
-from lectern.llm.minhash import near_duplicates
+from lectern.llm.minhash import one_of_each_group
 from lectern.llm.packing import pack
 from lectern.llm.quality import kept_documents
 from lectern.llm.queries import QUALITY_POLICY, RANKS
-from lectern.llm.tables import written
+from lectern.llm.tables import settled
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -35,27 +36,25 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; of rows that repeat
-    its id, one. Rows without an id, and documents without words, belong to no group."""
-    rows = near_duplicates(docs).filter("doc_id is not null")
-    kept = written(rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_and("kept").alias("kept"), F.max("n_shingles").alias("size")).filter("kept"), "kept")
-    once = docs.join(kept.filter("n = 1 or size = 0").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(kept.filter("n > 1 and size > 0").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    both = once.unionByName(repeated).unionByName(docs.filter("doc_id is null"))
-    return both.select(*docs.columns)
+    """One document of each group stays, the first by id and text. Rows that share only an id, and
+    rows without one, are documents of their own; documents without words belong to no group."""
+    return one_of_each_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold half of a benchmark item go. The text decides, so rows are found
-    again by their text and an id is not needed."""
+    again by their text and an id is not needed. A null or empty text holds nothing and stays, repeated rows stay or
+    go together, and an empty table stays empty."""
     bodies = docs.select(body_key("text").alias("body"), "text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = contaminated(bodies, benchmark, key="body").select(F.col("doc_id").alias("_body")).distinct()
+    found = settled(lambda: contaminated(bodies, benchmark, key="body").select(F.col("doc_id").alias("_body")).distinct(), "found")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), body_key("text").alias("_body"))
     return whole.join(found, "_body", "left_anti").select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 2048 tokens; every row is packed, repeated ones as often as they occur, one without
+    an id or a text too, and no row gives no piece."""
     pieces = pack(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, length=2048)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
@@ -77,5 +76,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = settled(lambda: stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
