@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, predict_batch_udf
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,6 +24,8 @@ QUERY_BLOCK = 4096
 PASSAGE_BLOCK = 65_536
 SCORE_CELLS = 1 << 24  # scores held at a time inside a task
 HITS = "qid long, pid long, score double"
+_MERGED = 64  # tasks whose sums are merged at a time
+_HELD_CELLS = 1 << 22  # sums held by a task
 
 
 # -- block scoring (inside tasks) -----------------------------------------
@@ -192,11 +194,67 @@ def centroid_table(model: KMeansModel, spark) -> DataFrame:
 
 
 def label_centroids(passages: DataFrame, label: str = "label") -> DataFrame:
-    """(cell, vec): mean vector per label, rounded. A vector is summed where it is, one
-    sum per dimension, so a label with most of the rows is no hot key."""
-    vectors = passages.select(F.col(label).alias("cell"), as_doubles(F.col("vec")).alias("v"))
-    means = [F.round(F.avg(F.get("v", F.lit(d))), SCORE_DIGITS) for d in range(_width(passages))]
-    return vectors.groupBy("cell").agg(F.array(*means).alias("vec"))
+    """(cell, vec): mean vector per label, rounded; null vectors and entries are not counted. Tasks sum up
+    their vectors by label, so a label with most of the rows is a row per task."""
+    sums = _vector_sums(passages.select(F.col(label).alias("cell"), "vec"))
+    mean = F.zip_with("sums", "n", lambda s, n: F.round(F.try_divide(s, n), SCORE_DIGITS))
+    return sums.select("cell", mean.alias("vec"))
+
+
+def _rows_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows with a vector, their values with 0 for a null entry, 1 where an entry is not null)."""
+    rows = np.flatnonzero(np.asarray(column.is_valid()))
+    flat = column.flatten()
+    known = np.asarray(flat.is_valid()).reshape(len(rows), -1) if len(rows) else np.zeros((0, 0), bool)
+    values = flat.fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(known.shape)
+    return rows, values, known
+
+
+def _sum_by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict = {}
+
+    def table(schema: pa.Schema) -> pa.RecordBatch:
+        arrays = [pa.array(list(held), schema.field("cell").type)]
+        arrays += [pa.array([x[i] for x in held.values()], pa.list_(t)) for i, t in ((0, pa.int64()), (1, pa.float64()))]
+        slot = TaskContext.get().partitionId() // _MERGED
+        return pa.RecordBatch.from_arrays([*arrays, pa.array([slot] * len(held), pa.int32())], names=["cell", "n", "sums", "slot"])
+
+    schema, width = None, 0
+    for batch in batches:
+        schema = batch.schema
+        rows, values, known = _rows_of(batch.column(1))
+        if not len(rows):
+            continue
+        width = values.shape[1]
+        cells = batch.column(0).take(pa.array(rows)).dictionary_encode(null_encoding="encode")
+        codes = np.asarray(cells.indices)
+        order = np.argsort(codes, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(codes[order]) != 0]))
+        n, sums = np.add.reduceat(known[order].astype(np.int64), starts), np.add.reduceat(values[order], starts)
+        for code, own in zip(codes[order][starts], zip(n, sums)):
+            cell = cells.dictionary[int(code)].as_py()
+            before = held.get(cell)
+            held[cell] = own if before is None else (before[0] + own[0], before[1] + own[1])
+        if len(held) * width > _HELD_CELLS:
+            yield table(schema)
+            held.clear()
+    if held:
+        yield table(schema)
+
+
+def _add_up(rows: pa.Table) -> pa.Table:
+    """One row from those of a group."""
+    n, sums = (np.sum([np.asarray(v.values) for v in rows[c]], axis=0) for c in ("n", "sums"))
+    arrays = {"cell": rows["cell"][:1], "n": pa.array([n], pa.list_(pa.int64())), "sums": pa.array([sums], pa.list_(pa.float64()))}
+    return pa.table(arrays | {"slot": rows["slot"][:1]})
+
+
+def _vector_sums(vectors: DataFrame) -> DataFrame:
+    """(cell, n, sums, slot) per cell of ``vectors`` (cell, vec): entries and their sums, by dimension. Tasks are
+    merged some at a time, so that no task holds a row of every other one."""
+    schema = f"cell {vectors.schema['cell'].dataType.simpleString()}, n array<bigint>, sums array<double>, slot int"
+    some = vectors.mapInArrow(_sum_by_cell, schema).groupBy("cell", "slot").applyInArrow(_add_up, schema)
+    return some.groupBy("cell").applyInArrow(_add_up, schema)
 
 
 def _width(vectors: DataFrame) -> int:
@@ -259,13 +317,31 @@ def moved_centroids(passages: DataFrame, start: DataFrame, rounds: int = 10) ->
 
 # -- quantisation ---------------------------------------------------------
 
+def _task_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    lo = hi = None
+    for batch in batches:
+        rows, values, known = _rows_of(batch.column(0))
+        if len(rows):
+            least = np.fmin.reduce(np.where(known, values, np.inf), axis=0)  # NaN is above all numbers
+            most = np.maximum.reduce(np.where(known, values, -np.inf), axis=0)
+            lo, hi = (least, most) if lo is None else (np.fmin(lo, least), np.maximum(hi, most))
+    if lo is not None:
+        slot = pa.array([TaskContext.get().partitionId() // _MERGED], pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array([lo], pa.list_(pa.float64())), pa.array([hi], pa.list_(pa.float64())), slot], names=["lo", "hi", "slot"])
+
+
+def _widest(rows: pa.Table) -> pa.Table:
+    lo = np.fmin.reduce([np.asarray(v.values) for v in rows["lo"]])
+    hi = np.maximum.reduce([np.asarray(v.values) for v in rows["hi"]])
+    return pa.table({"lo": pa.array([lo], pa.list_(pa.float64())), "hi": pa.array([hi], pa.list_(pa.float64())), "slot": pa.array([0], pa.int32())})
+
+
 def scalar_ranges(passages: DataFrame) -> DataFrame:
-    """(d, lo, hi) per dimension."""
-    x = [F.get(F.col("v"), F.lit(d)) for d in range(_width(passages))]
-    ranges = [F.struct(F.lit(d).alias("d"), F.min(c).alias("lo"), F.max(c).alias("hi")) for d, c in enumerate(x)]
-    if not ranges:
-        return passages.sparkSession.createDataFrame([], "d int, lo double, hi double")
-    return passages.select(as_doubles(F.col("vec")).alias("v")).agg(F.array(*ranges).alias("r")).select(F.inline("r"))
+    """(d, lo, hi) per dimension. Tasks keep the least and largest entries of their vectors; null entries do not count."""
+    schema = "lo array<double>, hi array<double>, slot int"
+    some = passages.select("vec").mapInArrow(_task_ranges, schema).groupBy("slot").applyInArrow(_widest, schema)
+    whole = some.groupBy("slot").applyInArrow(_widest, schema)
+    return whole.select(F.posexplode(F.arrays_zip("lo", "hi")).alias("d", "r")).select("d", "r.lo", "r.hi")
 
 
 def _ranges_as_array(ranges: DataFrame) -> Column:

@@ -3,8 +3,8 @@
 Postings stay partitioned by passage from the moment they are built: term
 counts, passage norms and scores are all sums within a passage, so none of them
 shuffles again, and a term found in most passages is no hot key. The questions
-travel to the postings instead. Each task keeps k passages per question before
-anything moves to the final ranking."""
+travel to the postings instead; retrieval goes through posting blocks (``blocks.py``),
+and only k passages per question and shard move to the final ranking."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions.text import Tokenizer, unigrams_and_bigrams, whitespace_tokens
+from lectern.operators.blocks import posting_blocks, search_blocks
 from lectern.operators.corpus import rank_hits
 from lectern.operators.sizing import BROADCAST_ROWS, first_rows, fits_broadcast, sized_join, spread, top_k
 from lectern.sources.index_store import TableStore
@@ -23,6 +24,7 @@ BM25_B = 0.75
 BM25_EPSILON = 0.25
 PUSHED_TERMS = 500
 BUCKET_BYTES = 16 << 20  # of passage text
+SHARD_BYTES = 64 << 20
 LEAST_BUCKETS = 8
 
 
@@ -52,6 +54,14 @@ class IndexTables:
             name, self.key, build, "pid", lambda: self.buckets or buckets_for(passages), sort_by, placed
         )
 
+    def by_shard(self, name: str, passages: DataFrame, build: Callable[[int], DataFrame]) -> DataFrame:
+        """Posting blocks. ``build`` gets the number of shards, which are the buckets of a stored table."""
+        if not self.store:
+            return build(int(passages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return self.store.load_or_build_bucketed(
+            name, self.key, build, "shard", lambda: self.buckets or buckets_for(passages, SHARD_BYTES), "term", placed=True
+        )
+
     def asked_only(self, stored: list[DataFrame], terms: DataFrame) -> list[DataFrame]:
         """Rows of stored tables for a short list of question terms. The filter
         reaches the files, which are sorted by term: one question reads the pages
@@ -66,10 +76,10 @@ class IndexTables:
 
 # -- index ----------------------------------------------------------------
 
-def buckets_for(passages: DataFrame) -> int:
+def buckets_for(passages: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     """Buckets of an index over ``passages``: by the bytes of the texts, not by the session."""
     size = passages.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+    return max(LEAST_BUCKETS, -(-size // bucket_bytes))
 
 
 def tokenizer_key(tokenizer: Tokenizer) -> str:
@@ -179,10 +189,23 @@ class TfidfIndex:
         return unit_weights(terms, self.vocabulary, "qid", "qtf", self.small)
 
     def scores(self, questions: DataFrame) -> DataFrame:
+        """(qid, pid, score) of every pair that shares a term."""
         terms = question_terms(questions, self.tokenizer, self.with_bigrams)
         (weights,) = self.tables.asked_only([self.weights], terms)
         return tfidf_scores(weights, self.question_weights(questions), fits_broadcast(terms))
 
+    def blocks(self) -> DataFrame:
+        """Posting blocks of the unit weights."""
+        return self.tables.by_shard(
+            "tfidf_blocks", self.passages, lambda n: posting_blocks(self.weights.withColumnRenamed("w", "impact"), n)
+        )
+
+    def search(self, questions: DataFrame, k: int) -> DataFrame:
+        """(qid, pid, score): the k best of every shard, of passages that share a term."""
+        terms = question_terms(questions, self.tokenizer, self.with_bigrams)
+        (blocks,) = self.tables.asked_only([self.blocks()], terms)
+        return search_blocks(blocks, self.question_weights(questions).withColumnRenamed("w", "wq"), k, fits_broadcast(terms))
+
     def unknown_questions(self, questions: DataFrame) -> DataFrame:
         """Questions without a single vocabulary term."""
         terms = question_terms(questions, self.tokenizer, self.with_bigrams)
@@ -216,8 +239,12 @@ def bm25_scores(
     """(qid, pid, score) of every pair that shares a term. ``weighted_terms`` is
     (qid, term, wq) with wq = repeats in the question times idf."""
     shared = sized_join(postings, weighted_terms, ["term"], salt_by="pid", fits=fits)
-    saturated = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avgdl))
-    return shared.groupBy("pid", "qid").agg(F.sum(F.col("wq") * saturated).alias("score"))
+    return shared.groupBy("pid", "qid").agg(F.sum(F.col("wq") * bm25_saturation(avgdl, k1, b)).alias("score"))
+
+
+def bm25_saturation(avgdl: Column, k1: float = BM25_K1, b: float = BM25_B) -> Column:
+    """What a term adds to a passage, before its weight in the question."""
+    return F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avgdl))
 
 
 class Bm25Index:
@@ -244,14 +271,31 @@ class Bm25Index:
         n = self.stats.select("n").scalar()
         self.vocabulary = keep.plain("bm25_vocabulary", lambda: bm25_vocabulary(self.postings, n), sort_by="term")
 
+    def _weighted(self, terms: DataFrame, fits: bool) -> DataFrame:
+        (vocabulary,) = self.tables.asked_only([self.vocabulary], terms)
+        found = sized_join(vocabulary.select("term", "idf"), terms, ["term"], salt_by="term", fits=fits)
+        return found.select("qid", "term", (F.col("qtf") * F.col("idf")).alias("wq"))
+
     def scores(self, questions: DataFrame) -> DataFrame:
+        """(qid, pid, score) of every pair that shares a term."""
         terms = question_terms(questions, self.tokenizer)
         fits = fits_broadcast(terms)
-        vocabulary, postings = self.tables.asked_only([self.vocabulary, self.postings], terms)
-        found = sized_join(vocabulary.select("term", "idf"), terms, ["term"], salt_by="term", fits=fits)
-        weighted = found.select("qid", "term", (F.col("qtf") * F.col("idf")).alias("wq"))
+        (postings,) = self.tables.asked_only([self.postings], terms)
         avgdl = self.stats.select("avgdl").scalar()
-        return bm25_scores(postings, weighted, avgdl, fits, self.k1, self.b)
+        return bm25_scores(postings, self._weighted(terms, fits), avgdl, fits, self.k1, self.b)
+
+    def blocks(self) -> DataFrame:
+        """Posting blocks of the saturated counts."""
+        impact = bm25_saturation(self.stats.select("avgdl").scalar(), self.k1, self.b).alias("impact")
+        tables = self.tables.of_index(k1=self.k1, b=self.b)
+        return tables.by_shard("bm25_blocks", self.passages, lambda n: posting_blocks(self.postings.select("pid", "term", impact), n))
+
+    def search(self, questions: DataFrame, k: int) -> DataFrame:
+        """(qid, pid, score): the k best of every shard, of passages that share a term."""
+        terms = question_terms(questions, self.tokenizer)
+        fits = fits_broadcast(terms)
+        (blocks,) = self.tables.asked_only([self.blocks()], terms)
+        return search_blocks(blocks, self._weighted(terms, fits), k, fits)
 
 
 INDEXES = {TfidfIndex.name: TfidfIndex, Bm25Index.name: Bm25Index}
@@ -269,8 +313,8 @@ def retrieve(index: TfidfIndex | Bm25Index, questions: DataFrame, k: int, fill:
     """(qid, rank, pid, score): the k best passages of every question.
 
     A passage that shares no term scores 0 and is left out, unless ``fill`` asks
-    for k rows whenever the corpus has them."""
-    hits = rank_hits(index.scores(questions), k)
+    for k rows whenever the corpus has them. Tasks send k passages a question to the last ranking."""
+    hits = rank_hits(index.search(questions, k), k)
     return fill_with_zeros(hits, questions, index.passages, k) if fill else hits.select("qid", "rank", "pid", "score")
 
 

@@ -142,3 +142,32 @@ def test_clustered_text(spark):
         expected = sorted(distance.items(), key=lambda e: (round(e[1], 6), e[0]))[:3]
         assert [p for p, _ in got.get(r.qid, [])] == [p for p, _ in expected]
         assert [s for _, s in got.get(r.qid, [])] == pytest.approx([s for _, s in expected], abs=2e-6)
+
+
+def test_sums_and_ranges_of_many_tasks_and_nulls(spark, monkeypatch):
+    """More tasks than are merged at a time, null labels, vectors and entries, wide vectors."""
+    monkeypatch.setattr(dense, "_MERGED", 2)
+    rng = np.random.default_rng(6)
+    table = [(int(i % 3) if i % 7 else None, None if i % 11 == 0 else [None if rng.random() < 0.1 else float(x) for x in rng.normal(size=40)]) for i in range(200)]
+    df = spark.createDataFrame(table, "label int, vec array<double>").repartition(9)
+    want = {}
+    for label, vec in table:
+        for d, x in enumerate(vec or []):
+            if x is not None:
+                want.setdefault((label, d), []).append(x)
+    got = {(r.cell, d): x for r in dense.label_centroids(df).collect() for d, x in enumerate(r.vec)}
+    assert got == pytest.approx({k: round(sum(v) / len(v), 6) for k, v in want.items()}, abs=1e-6)
+    ranges = {r.d: (r.lo, r.hi) for r in dense.scalar_ranges(df).collect()}
+    columns = [[vec[d] for _, vec in table if vec and vec[d] is not None] for d in range(40)]
+    assert ranges == {d: (min(c), max(c)) for d, c in enumerate(columns)}
+    assert dense.label_centroids(df.limit(0)).collect() == dense.scalar_ranges(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("width", [64, 768])
+def test_no_expression_per_dimension(spark, width):
+    """The plan does not grow with the width."""
+    df = spark.createDataFrame([(0, [1.0] * width), (1, [3.0] * width), (1, [5.0] * width)], "label int, vec array<float>")
+    for made in (dense.label_centroids(df), dense.scalar_ranges(df)):
+        assert len(made._jdf.queryExecution().optimizedPlan().toString()) < 6000
+    assert {r.cell: r.vec for r in dense.label_centroids(df).collect()} == {0: [1.0] * width, 1: [4.0] * width}
+    assert [(r.d, r.lo, r.hi) for r in dense.scalar_ranges(df).orderBy("d").collect()] == [(d, 1.0, 5.0) for d in range(width)]

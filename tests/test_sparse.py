@@ -1,9 +1,12 @@
 import math
+import random
+import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from lectern.operators import sparse
+from lectern.operators import blocks, sparse
 from lectern.sources.index_store import TableStore
 
 TEXTS = ["the cat sat", "the dog sat on the cat", "a bird", "", "the the the", "cat bird dog bird"]
@@ -108,3 +111,64 @@ def test_unknown_method(given):
 def test_vocabulary_cap(given):
     vocabulary = sparse.TfidfIndex(given[0], max_features=2).vocabulary
     assert sorted((r.term, r.cf) for r in vocabulary.collect()) == [("bird", 3), ("the", 6)]  # bird before cat: equal counts go by term
+
+
+def lists_of(rng, n, terms, weights):
+    """Posting lists over ``n`` places in blocks of four, and the plain sums of a question."""
+    lists, sums, held = [], np.zeros(n), np.zeros(n, bool)
+    for _ in range(terms):
+        places = np.flatnonzero(rng.random(n) < rng.choice([0.02, 0.3, 0.9]))
+        if not len(places):
+            continue
+        impacts = np.round(rng.random(len(places)) ** 3, 2) + (0.01 if weights else 0)
+        starts = np.append(np.arange(0, len(places), 4), len(places))
+        bounds = np.array([impacts[a:b].max() for a, b in zip(starts, starts[1:])])
+        weight = rng.choice([0.1, 1.0, 5.0]) if weights else rng.choice([-1.0, 1.0])
+        lists.append((weight, blocks.PostingList(places, impacts, starts, places[starts[1:] - 1], bounds)))
+        sums[places] += weight * impacts
+        held[places] = True
+    return lists, sums, held
+
+
+@pytest.mark.parametrize("weights", [True, False])
+def test_pruned_search_equals_all_sums(weights):
+    rng = np.random.default_rng(4)
+    visited, postings = [0], 0
+    for _ in range(300):
+        n, k = int(rng.integers(1, 400)), int(rng.integers(1, 12))
+        lists, sums, held = lists_of(rng, n, int(rng.integers(1, 9)), weights)
+        if not lists:
+            continue
+        places, scores = blocks.best_passages(lists, n, k, visited)
+        postings += sum(len(x.places) for _, x in lists)
+        want = sorted(((-round(s, 6), p) for p, s in enumerate(sums) if held[p]))[:k]
+        assert sorted((-round(s, 6), p) for p, s in zip(places, scores))[:k] == want
+    assert visited[0] < (0.8 if weights else 1.01) * postings
+
+
+def test_search_sends_k_passages_a_question_and_shard(spark):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(80)]
+    texts = [(i, " ".join(rng.choices(words, [1 / (j + 1) for j in range(80)], k=rng.randrange(1, 60)))) for i in range(600)]
+    passages = spark.createDataFrame(texts, "pid long, text string")
+    questions = spark.createDataFrame([(i, " ".join(rng.sample(words, 6))) for i in range(40)], "qid long, question string")
+    for method in ("bm25", "tfidf"):
+        index = sparse.build_index(method, passages)
+        hits = index.search(questions, 5)
+        per_shard = hits.groupBy("qid").count().agg({"count": "max"}).first()[0]
+        assert per_shard <= 5 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        plan = sparse.retrieve(index, questions, 5)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"HashAggregate\(keys=\[pid#\d+L?, qid", plan) and "FlatMapGroupsInArrow" in plan
+        plain = sparse.rank_hits(index.scores(questions), 5).select("qid", "rank", "pid", "score")
+        assert rows(sparse.retrieve(index, questions, 5)) == rows(plain)
+
+
+def test_stored_blocks_stay_where_they_are(spark, given, tmp_path):
+    passages, questions = given
+    tables = sparse.IndexTables(TableStore(spark, str(tmp_path)), {"corpus": "blocks"}, buckets=3)
+    for method in ("bm25", "tfidf"):
+        index = sparse.build_index(method, passages, tables=tables)
+        fresh = rows(sparse.retrieve(sparse.build_index(method, passages), questions, 3))
+        assert rows(sparse.retrieve(index, questions, 3)) == fresh
+        plan = index.search(questions, 3)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(shard" not in plan and "Bucketed: true" in plan
