@@ -12,6 +12,7 @@ from lectern.operators.sizing import top_k
 from lectern.operators.sparse import IndexTables, TfidfIndex, passage_terms, retrieve
 from lectern.plans.retrieval import contexts_for, with_texts
 from lectern.sources import readers, sinks
+from lectern.sources.json_entries import write_json_value
 from lectern.sources.index_store import TableStore, corpus_fingerprint
 
 K = 10
@@ -45,6 +46,44 @@ def s3(spark: SparkSession, sf: str) -> DataFrame:
     return readers.flatten_articles(articles).select("id", F.col("answers").alias("answer"))
 
 
+@query("s1_corpus_object", "SELECT doc_id, text FROM documents")
+def s1_object(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as one JSON object, written and read by many tasks."""
+    path = fx.fresh_path(spark, "corpus-object")
+    docs = fx.table(spark, sf, "documents")
+    pair = F.create_map(F.col("doc_id").cast("string"), F.struct("text", "lang"))
+    line = F.regexp_replace(F.to_json(pair), r"^\{|\}$", "")
+    write_json_value(docs.select(F.col("doc_id").alias("at"), line.alias("line")), path, "{", "}")
+    return readers.read_corpus_object(spark, path, parts=True)
+
+
+@query(
+    "s3_nested_file",
+    "SELECT CAST(conv_id AS VARCHAR) AS title, role AS context, CAST(conv_id * 100 + turn AS VARCHAR) AS id, text AS question FROM conversations",
+)
+def s3_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations as the articles of one ``{version, data[]}`` file, a paragraph per role and a question per turn."""
+    path = fx.fresh_path(spark, "articles")
+    turns = fx.table(spark, sf, "conversations")
+    qa = F.struct((F.col("conv_id") * 100 + F.col("turn")).cast("string").alias("id"), F.col("text").alias("question"))
+    paragraphs = turns.groupBy("conv_id", F.col("role").alias("context")).agg(F.collect_list(qa).alias("qas"))
+    articles = paragraphs.groupBy("conv_id").agg(F.collect_list(F.struct("context", "qas")).alias("paragraphs"))
+    sinks.write_articles(articles.withColumn("title", F.col("conv_id").cast("string")), path, "conv_id")
+    return readers.read_questions(spark, path, parts=True).select("title", "context", "id", "question")
+
+
+@query(
+    "s5_predictions_object",
+    "SELECT CAST(id AS VARCHAR) AS id, prediction AS prediction_text FROM pairs",
+    uses="pairs",
+)
+def s5_object(spark: SparkSession, sf: str) -> DataFrame:
+    """All answers, missing ones too, as one object of many parts."""
+    path = fx.fresh_path(spark, "predictions-object")
+    sinks.write_predictions_object(fx.qa_pairs(spark, sf).select("id", "prediction_text"), path)
+    return readers.read_predictions_object(spark, path, parts=True)
+
+
 ALL_TERMS = 1 << 30
 
 

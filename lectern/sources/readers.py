@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lectern.sources.json_entries import json_entries
+
 CORPUS_OBJECT = "map<string,struct<text:string>>"
+ARTICLE = (
+    "struct<title:string,paragraphs:array<struct<context:string,"
+    "qas:array<struct<id:string,question:string,answers:array<struct<text:string,answer_start:int>>>>>>>"
+)
 ANSWERS = "struct<text:array<string>,answer_start:array<int>>"
 
 
@@ -13,14 +19,30 @@ def read_corpus(spark: SparkSession, path: str, doc_id: str = "doc_id", text: st
     return spark.read.parquet(path).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
 
-def read_corpus_object(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, text) of files that hold one JSON object id -> {text, ...}.
+def read_corpus_object(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+    """(doc_id, text) of files that hold one JSON object id -> {text, ...}; a large file is
+    read by many tasks. With ``parts`` the files of a folder are one object."""
+    entries = json_entries(spark, path, parts=parts)
+    members = entries.select(F.explode(F.from_json(F.concat(F.lit("{"), "entry", F.lit("}")), CORPUS_OBJECT)).alias("key", "doc"))
+    return members.select(F.col("key").cast("bigint").alias("doc_id"), F.col("doc.text").alias("text"))
+
+
+def read_predictions_object(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+    """(id, prediction_text) of files that hold one JSON object id -> answer."""
+    entries = json_entries(spark, path, parts=parts)
+    pairs = F.explode(F.from_json(F.concat(F.lit("{"), "entry", F.lit("}")), "map<string,string>"))
+    return entries.select(pairs.alias("id", "prediction_text"))
+
+
+def read_articles(spark: SparkSession, path: str, article: str = ARTICLE, parts: bool = False) -> DataFrame:
+    """Articles of files ``{"version": ..., "data": [article, ...]}``, one row each."""
+    entries = json_entries(spark, path, level=2, parts=parts)
+    return entries.select(F.from_json("entry", article).alias("a")).select("a.*").filter(F.col("paragraphs").isNotNull())
+
 
-    Such a file cannot be split, so this is the import step of a corpus: write
-    the result as Parquet and read that. Many files are read side by side."""
-    raw = spark.read.text(path, wholetext=True)
-    entries = raw.select(F.explode(F.from_json("value", CORPUS_OBJECT)).alias("key", "doc"))
-    return entries.select(F.col("key").cast("bigint").alias("doc_id"), F.col("doc.text").alias("text"))
+def read_questions(spark: SparkSession, path: str, article: str = ARTICLE, parts: bool = False) -> DataFrame:
+    """One row per question of such files, with the title and the context it is about."""
+    return flatten_articles(read_articles(spark, path, article, parts))
 
 
 def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
@@ -30,6 +52,9 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 
 def flatten_articles(articles: DataFrame) -> DataFrame:
-    """One row per question of nested articles -> paragraphs -> qas."""
-    paragraphs = articles.select(F.inline("paragraphs"))
-    return paragraphs.select("context", F.inline("qas")) if "context" in paragraphs.columns else paragraphs.select(F.inline("qas"))
+    """One row per question of nested articles -> paragraphs -> qas; of ``data``, an array of articles, as well. Other
+    columns of articles and paragraphs, as title and context, are carried along."""
+    if "data" in articles.columns:
+        articles = articles.select(F.inline("data"))
+    paragraphs = articles.select(*[c for c in articles.columns if c != "paragraphs"], F.inline("paragraphs"))
+    return paragraphs.select(*[c for c in paragraphs.columns if c != "qas"], F.inline("qas"))

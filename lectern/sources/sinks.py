@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lectern.sources.json_entries import write_json_value
+
 NBEST_SCHEMA = (
     "id bigint, nbest array<struct<text:string,start_logit:double,end_logit:double,probability:double>>"
 )
@@ -24,11 +26,25 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 def prediction_object(predictions: DataFrame) -> DataFrame:
     """(json): all answers as one id -> text object in id order. One object is one row in one
-    task: this is the small export, and ``write_predictions`` the one that scales."""
+    task: this is the small export, and ``write_predictions_object`` the one that scales."""
     entries = F.array_sort(F.collect_list(F.struct(F.col("id").cast("string").alias("id"), F.col("prediction_text"))))
     return predictions.agg(F.to_json(F.map_from_entries(entries)).alias("json"))
 
 
+def write_predictions_object(predictions: DataFrame, path: str) -> None:
+    """One id -> text object in the order of the ids, in ordered parts that many tasks write. A missing answer is null."""
+    pair = F.create_map(F.col("id").cast("string"), F.col("prediction_text"))
+    line = F.regexp_replace(F.to_json(pair, {"ignoreNullFields": "false"}), r"^\{|\}$", "")
+    write_json_value(predictions.select(F.col("id").alias("at"), line.alias("line")), path, "{", "}")
+
+
+def write_articles(articles: DataFrame, path: str, key: str, version: str = "1.1") -> None:
+    """``{"version": ..., "data": [...]}`` with an entry per row, in the order of ``key``, which is not written."""
+    row = F.struct(*[c for c in articles.columns if c != key])
+    lines = articles.select(F.col(key).alias("at"), F.to_json(row).alias("line"))
+    write_json_value(lines, path, f'{{"version": "{version}", "data": [', "]}")
+
+
 def write_nbest(report: DataFrame, path: str) -> None:
     report.write.mode("errorifexists").json(path)
 
