@@ -11,7 +11,7 @@ from collections.abc import Iterable
 CTES: dict[str, tuple[str, str]] = {
     "passages": (
         "",
-        """SELECT row_number() OVER (ORDER BY first_id) - 1 AS pid, text
+        """SELECT row_number() OVER (ORDER BY first_id NULLS LAST, sha256(text) NULLS FIRST) - 1 AS pid, text
            FROM (SELECT text, min(doc_id) AS first_id FROM documents GROUP BY text)""",
     ),
     "questions": ("", "SELECT item_id AS qid, text AS question FROM benchmark"),

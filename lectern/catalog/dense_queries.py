@@ -118,11 +118,30 @@ def d6_given(spark: SparkSession, sf: str) -> DataFrame:
     return dense.nearest_cells(_passages(vectors), moved, "pid").select("pid", "cell", "d2")
 
 
-@query("d6_kmeans_cells")
+KMEANS_CELLS, KMEANS_ROUNDS = 16, 3
+
+
+def _kmeans_sql() -> str:
+    """Rounds of k-means, one after the other."""
+    steps = [
+        f"""c0 AS (SELECT row_number() OVER (ORDER BY md5(vec_id || ':2024'), vec_id) - 1 AS cell, v AS c FROM vecs
+                   ORDER BY md5(vec_id || ':2024'), vec_id LIMIT {KMEANS_CELLS})"""
+    ]
+    for n in range(KMEANS_ROUNDS + 1):
+        steps.append(f"""a{n} AS (SELECT vec_id, cell, d2 FROM (
+            SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, cell) AS n FROM (
+              SELECT vec_id, cell, round(list_sum([(v[i] - c[i]) * (v[i] - c[i]) for i in range(1, len(v) + 1)]), 6) AS d2
+              FROM vecs, c{n})) WHERE n = 1)""")
+        steps.append(f"""c{n + 1} AS (SELECT cell, list(round(m, 6) ORDER BY d) AS c FROM (
+            SELECT cell, d, avg(x) AS m FROM a{n} JOIN dims USING (vec_id) GROUP BY cell, d) GROUP BY cell)""")
+    return f"SELECT * FROM (WITH {', '.join(steps)} SELECT vec_id AS pid, cell, d2 FROM a{KMEANS_ROUNDS})"
+
+
+@query("d6_kmeans_cells", _kmeans_sql(), uses="vecs dims")
 def d6(spark: SparkSession, sf: str) -> DataFrame:
     passages = _passages(fx.vectors(spark, sf))
-    model = dense.kmeans_cells(passages, cells=16)
-    return dense.nearest_cells(passages, dense.centroid_table(model, spark), "pid").select("pid", "cell", "d2")
+    centres = dense.seeded_kmeans(passages, cells=KMEANS_CELLS, rounds=KMEANS_ROUNDS)
+    return dense.nearest_cells(passages, centres, "pid").select("pid", "cell", "d2")
 
 
 @query("d7_cell_assignment", "SELECT vec_id AS pid, cell, d2 FROM cells", uses="cells")
@@ -313,6 +332,30 @@ def a12(spark: SparkSession, sf: str) -> DataFrame:
     return mixture.greedy_decode(_mixed(spark, sf)).select("id", *_ids("pos", "vocab_id"))
 
 
+def _blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same logits as one array of a passage."""
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "vocab_id", "logit")))
+    long = fx.sequence_logits(_hits(spark, sf)).groupBy("id", "rank").agg(ordered.alias("all"), F.countDistinct("pos").alias("n"))
+    return long.select("id", "rank", F.col("n").cast("int").alias("positions"), F.transform("all", lambda x: x["logit"].cast("float")).alias("logits"))
+
+
+@query("a11_block_mixture", f"SELECT id, pos, vocab_id, round(logit, 6) AS logit FROM {_MIXED}", uses="bm25_ranked")
+def a11_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixture.mix_blocks(_blocks(spark, sf), mixture.retrieval_weights(_hits(spark, sf)))
+    width = (F.size("logits") / F.col("positions")).cast("int")
+    each = mixed.select("id", width.alias("width"), F.posexplode("logits").alias("at", "logit"))
+    return each.select(
+        "id", F.expr("at div width").cast("bigint").alias("pos"), (F.col("at") % F.col("width")).cast("bigint").alias("vocab_id"),
+        F.round("logit", 6).alias("logit"),
+    )
+
+
+@query("a12_block_decode", f"SELECT id, pos, vocab_id FROM {_DECODED}", uses="bm25_ranked")
+def a12_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    decoded = mixture.decode_blocks(_blocks(spark, sf), mixture.retrieval_weights(_hits(spark, sf)))
+    return decoded.select("id", F.posexplode("ids").alias("pos", "vocab_id")).select("id", *_ids("pos", "vocab_id"))
+
+
 @query(
     "a13_pair_vectors",
     """SELECT qid, rank, pid, len(a.v) + len(b.v) AS width, round(list_sum(a.v), 6) AS head, round(list_sum(b.v), 6) AS tail

@@ -98,6 +98,35 @@ def c4(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _subwords():
+    """The pieces of a public vocabulary; the file is not part of this library."""
+    import public_tokenizers
+
+    return tx.subwords(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("c4_subword_chunks", "SELECT pid, md5(text) AS digest FROM passages", uses="passages")
+def c4_subwords(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks of 300 pieces that do not overlap: one after the other, what they cover is the passage."""
+    chunks = windows.fixed_chunks(fx.passages(spark, sf), 300, 0, _subwords())
+    ordered = F.array_sort(F.collect_list(F.struct("chunk_no", "text")))
+    whole = chunks.groupBy("pid").agg(F.array_join(F.transform(ordered, lambda c: c["text"]), "").alias("text"))
+    return whole.select("pid", F.md5("text").alias("digest"))
+
+
+@query("c3_subword_labels", "SELECT id AS example_id, answer, TRUE AS held FROM examples", uses="examples")
+def c3_subwords(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows over pieces: neighbours share more than an answer, so some window holds it, and the labelled pieces cover it."""
+    examples = fx.qa_examples(spark, sf)
+    labelled = windows.label_answers(windows.features(examples.withColumn("read", F.col("context")), reader=_subwords()))
+    first = F.get("offsets", F.col("start_position"))["s"]
+    span = F.substring("read", first + 1, F.get("offsets", F.col("end_position"))["e"] - first)
+    answer = F.get("answers.text", 0)
+    return labelled.groupBy(F.col("id").alias("example_id"), answer.alias("answer")).agg(
+        F.max((F.col("start_position") > 0) & F.contains(span, answer)).alias("held")
+    )
+
+
 @query("c5_recursive_chunks")
 def c5(spark: SparkSession, sf: str) -> DataFrame:
     return windows.recursive_chunks(fx.passages(spark, sf)).select("pid", *_long("chunk_no"), "text")

@@ -4,8 +4,10 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from collections.abc import Callable
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
@@ -99,16 +101,80 @@ def token_spans(text: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)
 
 
+PIECE = ArrayType(StructType([StructField("t", StringType()), StructField("id", IntegerType()), *SPAN.fields]))
+SpannedTokenizer = Callable[[Column], Column]
+_tokenizers: dict = {}
+
+
+def subwords(path: str) -> SpannedTokenizer:
+    """Pieces (t, id, s, e) by the tokenizer of a JSON file that all executors see: text and id of every piece and the
+    code points it covers. Pieces inside one character cover it together. Markers of the file are ordinary text."""
+
+    @F.arrow_udf(PIECE)
+    def pieces(text: pa.Array) -> pa.Array:
+        if path not in _tokenizers:  # once per Python worker
+            from tokenizers import Tokenizer
+
+            _tokenizers[path] = Tokenizer.from_file(path)
+            _tokenizers[path].encode_special_tokens = True
+        tokenizer = _tokenizers[path]
+        out = []
+        for value in text.to_pylist():
+            if value is None:
+                out.append(None)
+                continue
+            read = tokenizer.encode(value, add_special_tokens=False)
+            out.append([{"t": t, "id": i, "s": a, "e": b} for t, i, (a, b) in zip(read.tokens, read.ids, read.offsets)])
+        return pa.array(out, pa.list_(pa.struct([("t", pa.string()), ("id", pa.int32()), ("s", pa.int32()), ("e", pa.int32())])))
+
+    return pieces
+
+
 # -- cleaning -------------------------------------------------------------
 
+STABLE_RUNS = 24
+
+
+@lru_cache(maxsize=None)
+def unstable_class() -> str:
+    """A regular expression class of all characters but the longest runs of those that NFKC never changes,
+    wherever they stand: normal by themselves, not combining, and never the second half of a composed one."""
+    seconds = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}  # Hangul vowels and finals, composed by rule
+    for c in range(sys.maxunicode + 1):
+        parts = unicodedata.decomposition(chr(c)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            seconds.add(chr(int(parts[1], 16)))
+
+    def stable(c: int) -> bool:
+        x = chr(c)
+        return not 0xD800 <= c < 0xE000 and not unicodedata.combining(x) and x not in seconds and unicodedata.is_normalized("NFKC", x)
+
+    runs, start = [], None
+    for c in range(sys.maxunicode + 2):
+        if c <= sys.maxunicode and stable(c):
+            start = c if start is None else start
+        elif start is not None:
+            runs.append((start, c - 1))
+            start = None
+    longest = sorted(sorted(runs, key=lambda r: r[0] - r[1])[:STABLE_RUNS] + [r for r in runs if r[0] < 0x180])
+    return "[^" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in dict.fromkeys(longest)) + "]"
+
+
 @F.arrow_udf(StringType())
-def nfkc(text: pa.Array) -> pa.Array:
+def _nfkc(text: pa.Array) -> pa.Array:
     return pa.array(
         [None if v is None else unicodedata.normalize("NFKC", v) for v in text.to_pylist()],
         pa.string(),
     )
 
 
+def nfkc(text: Column | str) -> Column:
+    """NFKC of a string. A check in the JVM keeps texts that it cannot change; the others go through Python."""
+    text = F.col(text) if isinstance(text, str) else text
+    asked = F.regexp_like(text, F.lit(unstable_class()))
+    return F.when(asked, _nfkc(F.when(asked, text))).otherwise(text)
+
+
 @F.arrow_udf(ArrayType(StringType()))
 def nfkc_all(texts: pa.Array) -> pa.Array:
     """NFKC of every string of an array column."""

@@ -8,7 +8,6 @@ block. What leaves a task are k passages a question."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +19,6 @@ SCORE_DIGITS = 6
 # scores are rounded before they are ranked, so one that is this much smaller may still tie
 _TIE = 2 * 10.0**-SCORE_DIGITS
 _QUESTION_ROWS = 200_000  # question terms of a block of questions
-HITS = "qid long, pid long, score double"
 
 
 def posting_blocks(impacts: DataFrame, shards: int) -> DataFrame:
@@ -116,29 +114,24 @@ def _lists(shard: pa.Table) -> tuple[np.ndarray, dict[str, PostingList]]:
     return pids, out
 
 
-def _questions(asked: pa.Table) -> Iterator[tuple[int, list[str], np.ndarray]]:
-    asked = asked.sort_by("qid")
-    qids, weights, terms = np.asarray(asked["qid"]), np.asarray(asked["wq"]), asked["term"].to_pylist()
-    edges = np.flatnonzero(np.concatenate([[True], qids[1:] != qids[:-1]])) if len(qids) else np.empty(0, int)
-    for a, b in zip(edges, np.append(edges[1:], len(qids))):
-        yield int(qids[a]), terms[a:b], weights[a:b]
-
-
 def _search(shard: pa.Table, asked: pa.Table, k: int) -> pa.Table:
+    asked = asked.sort_by("qid")
+    qids, weights, terms = asked["qid"].combine_chunks(), np.asarray(asked["wq"]), asked["term"].to_pylist()
+    codes = np.asarray(qids.dictionary_encode().indices)
+    edges = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.empty(0, int)
+    pids, lists = _lists(shard) if shard.num_rows else (np.empty(0, np.int64), {})
     columns: tuple[list, list, list] = ([], [], [])
-    if shard.num_rows and asked.num_rows:
-        pids, lists = _lists(shard)
-        for qid, terms, weights in _questions(asked):
-            own = [(w, lists[t]) for t, w in zip(terms, weights) if t in lists]
-            if not own:
-                continue
-            places, scores = best_passages(own, len(pids), k)
-            scores = np.round(scores, SCORE_DIGITS) + 0.0
-            order = np.lexsort((pids[places], -scores))[:k]
-            for column, values in zip(columns, (np.full(len(order), qid), pids[places[order]], scores[order])):
-                column.append(values)
-    arrays = [np.concatenate(c) if c else np.empty(0) for c in columns]
-    return pa.table({"qid": pa.array(arrays[0].astype(np.int64)), "pid": pa.array(arrays[1].astype(np.int64)), "score": pa.array(arrays[2].astype(np.float64))})
+    for a, b in zip(edges, np.append(edges[1:], len(codes))):
+        own = [(w, lists[t]) for t, w in zip(terms[a:b], weights[a:b]) if t in lists]
+        if not own:
+            continue
+        places, scores = best_passages(own, len(pids), k)
+        scores = np.round(scores, SCORE_DIGITS) + 0.0
+        order = np.lexsort((pids[places], -scores))[:k]
+        for column, values in zip(columns, (np.full(len(order), a), pids[places[order]], scores[order])):
+            column.append(values)
+    rows, found, scores = (np.concatenate(c) if c else np.empty(0) for c in columns)
+    return pa.table({"qid": qids.take(pa.array(rows.astype(np.int64))), "pid": pa.array(found.astype(np.int64)), "score": pa.array(scores.astype(np.float64))})
 
 
 def search_blocks(blocks: DataFrame, asked: DataFrame, k: int, fits: bool) -> DataFrame:
@@ -148,12 +141,13 @@ def search_blocks(blocks: DataFrame, asked: DataFrame, k: int, fits: bool) -> Da
     ``fits`` says that the questions were measured to fit on every executor: they travel to the
     shards, which stay where they are. Otherwise questions are dealt into blocks by a hash, and blocks
     of questions meet the shards, a shard's part being what those questions ask."""
+    hits = f"qid {asked.schema['qid'].dataType.simpleString()}, pid long, score double"
     if fits:
         table = asked.select("qid", "term", "wq").toArrow()
         shared = blocks.sparkSession.sparkContext.broadcast(table)
         terms = blocks.sparkSession.createDataFrame(pa.table({"term": table["term"].unique()})) if table.num_rows else asked.select("term").distinct()
         found = blocks.join(F.broadcast(terms), "term", "left_semi")
-        return found.groupBy("shard").applyInArrow(lambda shard: _search(shard, shared.value, k), HITS)
+        return found.groupBy("shard").applyInArrow(lambda shard: _search(shard, shared.value, k), hits)
     many = F.ceil(asked.agg(F.count("*")).scalar() / _QUESTION_ROWS)
     dealt = asked.select("qid", "term", "wq", F.pmod(F.xxhash64("qid"), many).cast("int").alias("part"))
     parts = dealt.select(F.col("term").alias("term"), F.col("part").alias("part")).distinct()
@@ -163,4 +157,4 @@ def search_blocks(blocks: DataFrame, asked: DataFrame, k: int, fits: bool) -> Da
     # both come from one table of terms, so their columns get names of their own
     sides = (df.select(*[F.col(c).alias(c) for c in df.columns]).groupBy("shard", "part") for df in (everywhere, wanted))
     pairs = next(sides).cogroup(next(sides))
-    return pairs.applyInArrow(lambda questions, shard: _search(shard, questions, k), HITS)
+    return pairs.applyInArrow(lambda questions, shard: _search(shard, questions, k), hits)

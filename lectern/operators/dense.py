@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark import StorageLevel, TaskContext
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, predict_batch_udf
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from lectern.functions.vectors import as_doubles, l2_normalize
@@ -306,15 +306,38 @@ def clustered_topk(
     return _final(hits, k, "l2")
 
 
-def moved_centroids(passages: DataFrame, start: DataFrame, rounds: int = 10) -> DataFrame:
-    """(cell, vec): ``rounds`` rounds of k-means from given centres, each the rounded mean
-    of the vectors nearest to it. A centre without vectors goes."""
-    centroids = start
+def moved_centroids(passages: DataFrame, start: DataFrame, rounds: int = 10, least_move: float = 0.0) -> DataFrame:
+    """(cell, vec): rounds of k-means from given centres, each the rounded mean
+    of the vectors nearest to it. A centre without vectors goes. It stops when no centre moves by more
+    than ``least_move`` in a dimension, or after ``rounds``. The centres, which are few, are kept between the rounds."""
+    spark = passages.sparkSession
+
+    def kept(centroids: DataFrame) -> tuple[dict, DataFrame]:
+        rows = {r["cell"]: [float(x) for x in r["vec"]] for r in centroids.collect()}
+        return rows, spark.createDataFrame(sorted(rows.items()), "cell long, vec array<double>")
+
+    before, centroids = kept(start)
     for _ in range(rounds):
-        centroids = label_centroids(nearest_cells(passages, centroids, "pid"), "cell")
+        now, centroids = kept(label_centroids(nearest_cells(passages, centroids, "pid"), "cell"))
+        still = now.keys() == before.keys() and all(abs(a - b) <= least_move for c in now for a, b in zip(now[c], before[c]))
+        if still:
+            break
+        before = now
     return centroids
 
 
+def seeded_centres(passages: DataFrame, cells: int, seed: int = 2024) -> DataFrame:
+    """(cell, vec): the vectors of ``cells`` passages drawn by a hash of id and seed."""
+    draw = F.md5(F.concat_ws(":", F.col("pid").cast("string"), F.lit(str(seed))))
+    drawn = passages.withColumn("_draw", draw).orderBy("_draw", "pid").limit(cells)
+    return drawn.select((F.row_number().over(Window.orderBy("_draw", "pid")) - 1).cast("long").alias("cell"), as_doubles(F.col("vec")).alias("vec"))
+
+
+def seeded_kmeans(passages: DataFrame, cells: int = 64, seed: int = 2024, rounds: int = 10) -> DataFrame:
+    """(cell, vec): k-means from a seeded start, equal on every run and cluster."""
+    return moved_centroids(passages, seeded_centres(passages, cells, seed), rounds)
+
+
 # -- quantisation ---------------------------------------------------------
 
 def _task_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,11 @@
-"""Score-weighted mixing, decoding and loss over sequence logits in long form:
-(id, rank, pos, vocab_id, logit)."""
+"""Score-weighted mixing, decoding and loss over sequence logits in long form,
+(id, rank, pos, vocab_id, logit), or in blocks, (id, rank, positions, logits): all logits of a
+passage in one array, position after position."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.operators.reader import softmax_over
@@ -33,6 +36,39 @@ def mixed_logits(logits: DataFrame, weights: DataFrame, max_hits: int | None = N
     )
 
 
+def _mixed_block(rows: pa.Table) -> tuple[int, np.ndarray]:
+    """(id, positions times vocabulary): the weighted sum of the passages of a question, in the order of their ranks."""
+    rows = rows.sort_by("rank")
+    total = None
+    for p, logits in zip(rows["p"].to_pylist(), rows["logits"]):
+        own = p * np.asarray(logits.values, np.float64)
+        total = own if total is None else total + own
+    return rows["id"][0].as_py(), total.reshape(rows["positions"][0].as_py(), -1)
+
+
+def mix_blocks(blocks: DataFrame, weights: DataFrame) -> DataFrame:
+    """(id, positions, logits): the mixture of a question's passages as one block. A task holds the block of a passage
+    and the sum; the passages of a question are k rows."""
+
+    def mix(rows: pa.Table) -> pa.Table:
+        of, total = _mixed_block(rows)
+        return pa.table({"id": [of], "positions": pa.array([len(total)], pa.int32()), "logits": pa.array([total.reshape(-1)], pa.list_(pa.float64()))})
+
+    weighted = blocks.join(weights.select(F.col("qid").alias("id"), "rank", "p"), ["id", "rank"])
+    return weighted.groupBy("id").applyInArrow(mix, "id long, positions int, logits array<double>")
+
+
+def decode_blocks(blocks: DataFrame, weights: DataFrame) -> DataFrame:
+    """(id, ids): at every position of the mixture the likeliest entry; equal ones go to the smaller id."""
+
+    def decode(rows: pa.Table) -> pa.Table:
+        of, total = _mixed_block(rows)
+        return pa.table({"id": [of], "ids": pa.array([np.round(total, DIGITS).argmax(axis=1)], pa.list_(pa.int64()))})
+
+    weighted = blocks.join(weights.select(F.col("qid").alias("id"), "rank", "p"), ["id", "rank"])
+    return weighted.groupBy("id").applyInArrow(decode, "id long, ids array<long>")
+
+
 def greedy_decode(mixed: DataFrame) -> DataFrame:
     """(id, pos, vocab_id): the likeliest entry; equal ones go to the smaller id."""
     best = F.max(F.struct(F.round("logit", DIGITS).alias("x"), (-F.col("vocab_id")).alias("v")))

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lectern.functions.text import attention_mask, cased_tokens, pad, token_spans
+from lectern.functions.text import SpannedTokenizer, attention_mask, cased_tokens, pad, token_spans
 from lectern.operators.sizing import spread
 
 MAX_LENGTH = 384
@@ -27,19 +27,33 @@ def window_starts(n: Column, capacity: Column, overlap: Column | int) -> Column:
     return F.sequence(F.lit(0), last.cast("int"), step.cast("int"))
 
 
-def features(examples: DataFrame, max_length: int = MAX_LENGTH, stride: int = DOC_STRIDE) -> DataFrame:
+def _tokens(text: str, reader: SpannedTokenizer | None) -> Column:
+    """Tokens of a column, or of a column of the pieces that ``reader`` made."""
+    return cased_tokens(F.col(text)) if reader is None else F.transform(text, lambda p: p["t"])
+
+
+def _read(df: DataFrame, reader: SpannedTokenizer | None, *texts: str) -> DataFrame:
+    """``df`` with texts replaced by the pieces of ``reader``, so that a text is read once."""
+    return df if reader is None else df.withColumns({c: reader(F.col(c)) for c in texts})
+
+
+def features(
+    examples: DataFrame, max_length: int = MAX_LENGTH, stride: int = DOC_STRIDE, reader: SpannedTokenizer | None = None
+) -> DataFrame:
     """Windows of ``examples`` (id, question, context, ...).
 
     Every window holds the whole question. Where it leaves no more room than two neighbours share,
     they share one token less than there is room, so that windows still go forward. Questions that
     leave no room have no window; ``rejected_questions`` lists them. Adds window_no, feature_id, tokens
-    (markers and question included) and offsets, null outside the context. Other columns are carried along."""
+    (markers and question included) and offsets, null outside the context. Other columns are carried along.
+    Tokens are words, or the pieces of a ``reader`` as :func:`lectern.functions.text.subwords` makes."""
     carried = [c for c in examples.columns if c not in ("question", "context")]
-    read = examples.select(
+    spans = token_spans(F.col("context")) if reader is None else F.transform("context", lambda p: F.struct(p["s"].alias("s"), p["e"].alias("e")))
+    read = _read(examples, reader, "question", "context").select(
         *carried,
-        cased_tokens(F.col("question")).alias("_q"),
-        cased_tokens(F.col("context")).alias("_t"),
-        token_spans(F.col("context")).alias("_o"),
+        _tokens("question", reader).alias("_q"),
+        _tokens("context", reader).alias("_t"),
+        spans.alias("_o"),
     ).withColumn("_cap", F.lit(max_length) - F.size("_q") - MARKERS)
     overlap = F.least(F.lit(stride), F.col("_cap") - 1)
     starts = F.when(F.col("_cap") >= 1, window_starts(F.size("_t"), F.col("_cap"), overlap))
@@ -64,11 +78,11 @@ def features(examples: DataFrame, max_length: int = MAX_LENGTH, stride: int = DO
     )
 
 
-def rejected_questions(examples: DataFrame, max_length: int = MAX_LENGTH) -> DataFrame:
+def rejected_questions(examples: DataFrame, max_length: int = MAX_LENGTH, reader: SpannedTokenizer | None = None) -> DataFrame:
     """(id, question_tokens, most_tokens) of the examples that ``features`` makes no window of, as
     their question leaves no room for a token of the context."""
     most = max_length - MARKERS - 1
-    counted = examples.select("id", F.size(cased_tokens(F.col("question"))).alias("question_tokens"))
+    counted = _read(examples, reader, "question").select("id", F.size(_tokens("question", reader)).alias("question_tokens"))
     return counted.filter(F.col("question_tokens") > most).withColumn("most_tokens", F.lit(most))
 
 
@@ -104,12 +118,24 @@ def label_answers(features: DataFrame, answers: str = "answers") -> DataFrame:
     )
 
 
-def fixed_chunks(passages: DataFrame, size: int = 300, overlap: int = 50) -> DataFrame:
-    """(pid, chunk_no, tokens)"""
-    read = passages.select("pid", cased_tokens(F.col("text")).alias("_t"))
-    return read.select(
-        "pid", "_t", F.posexplode(window_starts(F.size("_t"), F.lit(size), overlap)).alias("chunk_no", "_first")
-    ).select("pid", "chunk_no", F.slice("_t", F.col("_first") + 1, size).alias("tokens"))
+def fixed_chunks(passages: DataFrame, size: int = 300, overlap: int = 50, reader: SpannedTokenizer | None = None) -> DataFrame:
+    """(pid, chunk_no, tokens), with a ``reader`` of pieces (pid, chunk_no, tokens, text). ``text`` is what the pieces
+    cover; a character that its first piece shares with the piece before is that one's."""
+    if reader is None:
+        read = passages.select("pid", cased_tokens(F.col("text")).alias("_t"))
+        return read.select(
+            "pid", "_t", F.posexplode(window_starts(F.size("_t"), F.lit(size), overlap)).alias("chunk_no", "_first")
+        ).select("pid", "chunk_no", F.slice("_t", F.col("_first") + 1, size).alias("tokens"))
+    read = passages.select("pid", "text", F.col("text").alias("_t")).withColumn("_t", reader(F.col("_t")))
+    starts = window_starts(F.size("_t"), F.lit(size), overlap)
+    placed = read.select("pid", "text", "_t", F.posexplode(starts).alias("chunk_no", "_first"))
+    own = placed.withColumns(
+        {"_own": F.slice("_t", F.col("_first") + 1, size), "_before": F.coalesce(F.get("_t", F.col("_first") - 1)["e"], F.lit(0))}
+    )
+    begin = F.greatest(F.get("_own", 0)["s"], F.col("_before"))
+    end = F.get("_own", F.size("_own") - 1)["e"]
+    covered = F.coalesce(F.substring("text", begin + 1, end - begin), F.lit(""))
+    return own.select("pid", "chunk_no", F.transform("_own", lambda p: p["t"]).alias("tokens"), covered.alias("text"))
 
 
 # -- recursive chunks -----------------------------------------------------

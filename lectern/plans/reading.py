@@ -5,13 +5,14 @@ which are tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.functions.text import attention_mask, cased_tokens, clean_prompt, pad, prompt, target, truncate
 from lectern.operators import metrics, mixture, reader, sequences, windows
 from lectern.operators.corpus import first_answer
 from lectern.operators.dense import cosine_topk
 from lectern.plans.retrieval import with_texts
+from lectern.sources import readers
 
 INPUT_LIMIT = 384
 ANSWER_LIMIT = 30
@@ -93,3 +94,10 @@ def score(predictions: DataFrame, examples: DataFrame, all_golds: bool = False)
     """(exact_match, f1, total) of ``predictions`` (id, prediction_text)."""
     golds = examples.select("id", F.col("answers.text").alias("golds"))
     return metrics.evaluate(golds, predictions, all_golds)
+
+
+def score_files(spark: SparkSession, references: str, predictions: str, all_golds: bool = False, parts: bool = False) -> DataFrame:
+    """(exact_match, f1, total) of an object of answers by id against the questions of a ``{version, data[]}`` file."""
+    questions = readers.read_questions(spark, references, parts=parts)
+    golds = questions.select("id", F.col("answers.text").alias("golds"))
+    return metrics.evaluate(golds, readers.read_predictions_object(spark, predictions, parts), all_golds)
