@@ -202,11 +202,59 @@ def d10(spark: SparkSession, sf: str) -> DataFrame:
     return dense.vector_topk(passages.withColumnRenamed("pid", "qid"), decoded, 10, "l2")
 
 
-@query("d11_clustered_tfidf")
+TEXT_CELLS, TEXT_ROUNDS = 16, 2
+
+
+def _text_cells_sql(body: str) -> str:
+    """Rounds of k-means over the weights, one after the other: ``a`` (pid, cell, d2) and the centres ``c`` of the last."""
+
+    def nearest(vectors: str, ids: str, n: int, by: str, weight: str) -> str:
+        return f"""SELECT {by}, cell, d2 FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY d2, cell) AS n FROM (
+            SELECT i.{by}, m.cell, round(CASE WHEN i.{by} IN (SELECT {by} FROM {vectors}) THEN 1 ELSE 0 END + c2 - 2 * coalesce(dot, 0), 6) AS d2
+            FROM {ids} i CROSS JOIN (SELECT cell, sum(w * w) AS c2 FROM c{n} GROUP BY cell) m
+            LEFT JOIN (SELECT v.{by}, c.cell, sum(v.{weight} * c.w) AS dot FROM {vectors} v JOIN c{n} c USING (term) GROUP BY v.{by}, c.cell) d
+            ON d.{by} = i.{by} AND d.cell = m.cell)) WHERE n = 1"""
+
+    steps = [
+        f"""c0 AS (SELECT cell, term, w FROM pweights JOIN (
+              SELECT pid, row_number() OVER (ORDER BY md5(pid || ':2024'), pid) - 1 AS cell FROM (SELECT DISTINCT pid FROM pweights)
+              ORDER BY md5(pid || ':2024'), pid LIMIT {TEXT_CELLS}) USING (pid))"""
+    ]
+    for n in range(TEXT_ROUNDS + 1):
+        steps.append(f"a{n} AS ({nearest('pweights', 'passages', n, 'pid', 'w')})")
+        steps.append(f"""c{n + 1} AS (SELECT cell, term, w FROM (SELECT cell, term, round(sum(w) / any_value(n), 9) AS w
+            FROM pweights JOIN a{n} USING (pid) JOIN (SELECT cell, count(*) AS n FROM a{n} GROUP BY cell) USING (cell)
+            GROUP BY cell, term) WHERE w <> 0)""")
+    steps.append(f"a AS (SELECT * FROM a{TEXT_ROUNDS}), q AS ({nearest('qweights', 'questions', TEXT_ROUNDS, 'qid', 'wq')})")
+    return f"SELECT * FROM (WITH {', '.join(steps)} {body})"
+
+
+@query(
+    "d11_clustered_tfidf",
+    _text_cells_sql(
+        """SELECT qid, rank, pid, score FROM (
+             SELECT qid, pid, score, row_number() OVER (PARTITION BY qid ORDER BY score, pid) AS rank FROM (
+               SELECT q.qid, a.pid, round(CASE WHEN a.pid IN (SELECT pid FROM pweights) THEN 2 ELSE 1 END
+                        - CASE WHEN q.qid IN (SELECT qid FROM qweights) THEN 0 ELSE 1 END - 2 * coalesce(dot, 0), 6) AS score
+               FROM q JOIN a USING (cell) LEFT JOIN (
+                 SELECT qid, pid, sum(w * wq) AS dot FROM qweights JOIN pweights USING (term) GROUP BY qid, pid) s
+               ON s.qid = q.qid AND s.pid = a.pid)) WHERE rank <= 10"""
+    ),
+    uses="pweights qweights passages questions",
+)
 def d11(spark: SparkSession, sf: str) -> DataFrame:
     index = fx.index(spark, sf, "tfidf")
-    clusters = clustered_text.fit_cells(index, cells=16)
-    return clustered_text.clustered_tfidf_topk(index, clusters, fx.questions(spark, sf), 10)
+    clusters = clustered_text.fit_cells(index, cells=TEXT_CELLS, rounds=TEXT_ROUNDS)
+    return clustered_text.clustered_tfidf_topk(index, clusters, fx.questions(spark, sf), 10).select("qid", _rank(), "pid", "score")
+
+
+@query("d11_text_cells", _text_cells_sql("SELECT pid, cell, d2 FROM a"), uses="pweights qweights passages questions")
+def d11_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The cell of every passage."""
+    index = fx.index(spark, sf, "tfidf")
+    clusters = clustered_text.fit_cells(index, cells=TEXT_CELLS, rounds=TEXT_ROUNDS)
+    found = clustered_text.nearest_centres(index.weights, index.passages, clusters.centres, "pid")
+    return found.select("pid", F.col("cell").cast("bigint").alias("cell"), "d2")
 
 
 # -- sampling -------------------------------------------------------------

@@ -1,73 +1,81 @@
 """Clustered retrieval over TF-IDF vectors.
 
-The unit rows stay sparse for clustering, and distances inside a cell come from
-the shared terms alone: for unit vectors L2 squared is 2 - 2 cos."""
+Centres are postings like passages: assigning a passage is a join on its terms and a sum,
+moving a centre is a sum over the postings of its passages. Neither vocabulary nor vectors visit
+the driver. Distances come from the shared terms alone: for unit vectors L2 squared is 2 - 2 cos."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from lectern.functions.text import unigrams_and_bigrams
-from lectern.operators.sizing import fits_broadcast, sized_join, spread, top_k
+from lectern.operators.sizing import fits_broadcast, sized_join, top_k
 from lectern.operators.sparse import TfidfIndex, question_terms
+from lectern.session import shared_dir
 
 SCORE_DIGITS = 6
+CENTRE_DIGITS = 9
 
 
 @dataclass
 class TextCells:
-    """Fitted cells and the cell of every passage (pid, cell)."""
+    """Centres (cell, term, w) and the cell of every passage (pid, cell)."""
 
-    vectorizer: CountVectorizerModel
-    weights: ElementwiseProduct
-    model: KMeansModel
+    centres: DataFrame
     assigned: DataFrame
 
 
-def _vectors(df: DataFrame, index: TfidfIndex, vectorizer: CountVectorizerModel, weights: ElementwiseProduct, text: str) -> DataFrame:
-    tokens = index.tokenizer(F.col(text))
-    terms = df.withColumn("terms", tokens)
-    if index.with_bigrams:
-        terms = terms.withColumn("terms", unigrams_and_bigrams(F.col("terms")))
-    weighted = weights.transform(vectorizer.transform(terms))
-    return Normalizer(inputCol="weighted", outputCol="features").transform(weighted)
-
-
-def _by_pid(df: DataFrame, buckets: int | None) -> DataFrame:
-    return df.repartition(buckets, "pid") if buckets else spread(df, "pid")
-
-
-def fit_cells(index: TfidfIndex, cells: int = 64, seed: int = 2024, max_iter: int = 10) -> TextCells:
-    """The vocabulary is capped, so its terms and weights may visit the driver."""
-    spark = index.passages.sparkSession
-    vocabulary = index.vocabulary.select("term", "idf").orderBy("term").toArrow()
-    vectorizer = CountVectorizerModel.from_vocabulary(
-        vocabulary["term"].to_pylist(), inputCol="terms", outputCol="counts"
-    )
-    weights = ElementwiseProduct(
-        scalingVec=Vectors.dense(vocabulary["idf"].to_pylist()), inputCol="counts", outputCol="weighted"
-    )
-    # every iteration reads the vectors again: keep them as a table, or cached
-    vectors = index.tables.plain(
-        "tfidf_vectors",
-        lambda: _vectors(index.passages.select("pid", "text"), index, vectorizer, weights, "text").select("pid", "features"),
-    )
-    if index.tables.store is None:
-        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    model = KMeans(k=cells, seed=seed, maxIter=max_iter, predictionCol="cell").fit(vectors)
+def seeded_centres(weights: DataFrame, cells: int, seed: int = 2024) -> DataFrame:
+    """(cell, term, w): the weights of ``cells`` passages with a known term, drawn by a hash of id and seed."""
+    draw = F.md5(F.concat_ws(":", F.col("pid").cast("string"), F.lit(str(seed))))
+    drawn = weights.select("pid").distinct().orderBy(draw, "pid").limit(cells)
+    numbered = drawn.select("pid", (F.row_number().over(Window.orderBy(draw, "pid")) - 1).cast("int").alias("cell"))
+    return weights.join(F.broadcast(numbered), "pid").select("cell", "term", "w")
+
+
+def nearest_centres(weights: DataFrame, ids: DataFrame, centres: DataFrame, by: str) -> DataFrame:
+    """(by, cell, d2) of every one of ``ids``: the centre at the smallest squared distance, equal ones by number.
+    ``weights`` (by, term, w) are of unit length; an id without any is the zero vector.
+
+    A row meets the centres that share a term with it. Beside these only the one nearest to
+    the origin counts, as no shared term brings a centre nearer than its own length says."""
+    norms = centres.groupBy("cell").agg(F.sum(F.col("w") * F.col("w")).alias("c2"))
+    columns = centres.select("cell", "term", F.col("w").alias("wc"))
+    shared = sized_join(weights.select(by, "term", "w"), columns, ["term"], salt_by=by, fits=fits_broadcast(columns))
+    dots = shared.groupBy(by, "cell").agg(F.sum(F.col("w") * F.col("wc")).alias("dot"))
+    # one row per cell, a parameter of the fit
+    met = dots.join(F.broadcast(norms), "cell")
+    distance = F.round(1 + F.col("c2") - 2 * F.col("dot"), SCORE_DIGITS).alias("d2")
+    touched = met.groupBy(by).agg(F.min(F.struct(distance, "cell")).alias("met"))
+    apart = norms.agg(F.min(F.struct(F.round(1 + F.col("c2"), SCORE_DIGITS).alias("d2"), "cell"))).scalar()
+    empty = norms.agg(F.min(F.struct(F.round("c2", SCORE_DIGITS).alias("d2"), "cell"))).scalar()
+    known = weights.select(by).distinct().withColumn("_known", F.lit(True))
+    every = ids.select(by).join(known, by, "left").join(touched, by, "left")
+    best = F.when(F.col("_known"), F.least(F.coalesce("met", apart), apart)).otherwise(empty)
+    return every.select(by, best.alias("best")).select(by, F.col("best.cell").alias("cell"), F.col("best.d2").alias("d2"))
+
+
+def moved_centres(weights: DataFrame, assigned: DataFrame) -> DataFrame:
+    """(cell, term, w): the rounded mean of the passages of each cell; one without passages or terms goes."""
+    sizes = assigned.groupBy("cell").agg(F.count("*").alias("n"))
+    sums = weights.join(assigned.select("pid", "cell"), "pid").groupBy("cell", "term").agg(F.sum("w").alias("w"))
+    mean = F.round(F.col("w") / F.col("n"), CENTRE_DIGITS).alias("w")
+    return sums.join(F.broadcast(sizes), "cell").select("cell", "term", mean).filter("w <> 0")
+
+
+def fit_cells(index: TfidfIndex, cells: int = 64, seed: int = 2024, rounds: int = 10) -> TextCells:
+    """Cells after ``rounds`` of k-means from a seeded start. The centres, at most cells times vocabulary
+    rows, are written between the rounds, so that no round is computed twice."""
+    shared_dir(index.passages.sparkSession)  # where checkpoints go
+    centres = seeded_centres(index.weights, cells, seed).checkpoint()
+    for _ in range(rounds):
+        centres = moved_centres(index.weights, nearest_centres(index.weights, index.passages, centres, "pid")).checkpoint()
     assigned = index.tables.by_passage(
-        f"tfidf_cells_{cells}_{seed}_{max_iter}",
-        index.passages,
-        lambda n: _by_pid(model.transform(vectors).select("pid", "cell"), n),
-        sort_by="pid",
+        f"tfidf_cells_{cells}_{seed}_{rounds}", index.passages,
+        lambda n: nearest_centres(index.weights, index.passages, centres, "pid").select("pid", "cell"), sort_by="pid", placed=False,
     )
-    return TextCells(vectorizer, weights, model, assigned)
+    return TextCells(centres, assigned)
 
 
 def clustered_tfidf_topk(index: TfidfIndex, cells: TextCells, questions: DataFrame, k: int) -> DataFrame:
@@ -78,13 +86,11 @@ def clustered_tfidf_topk(index: TfidfIndex, cells: TextCells, questions: DataFra
     no known term at all; a question without a known term is at distance 1 of the former and
     0 of the latter. The first k of each kind complete a short list."""
     lost = index.unknown_questions(questions).select("qid", F.lit(1.0).alias("_lost"))
-    asked = _vectors(questions, index, cells.vectorizer, cells.weights, "question").select("qid", "features")
-    question_cells = cells.model.transform(asked).select("qid", F.col("cell").alias("qcell"))
+    weights = index.question_weights(questions)
+    question_cells = nearest_centres(weights, questions, cells.centres, "qid").select("qid", F.col("cell").alias("qcell"))
     fits = fits_broadcast(question_terms(questions, index.tokenizer, index.with_bigrams))
     # the cell is part of the key, so a question meets only postings of its cell
-    asked_terms = index.question_weights(questions).join(question_cells, "qid").select(
-        "qid", "term", F.col("w").alias("wq"), F.col("qcell").alias("cell")
-    )
+    asked_terms = weights.join(question_cells, "qid").select("qid", "term", F.col("w").alias("wq"), F.col("qcell").alias("cell"))
     placed = index.weights.join(cells.assigned, "pid")
     shared = (
         sized_join(placed, asked_terms, ["term", "cell"], salt_by="pid", fits=fits)

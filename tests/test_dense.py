@@ -123,7 +123,7 @@ def test_clustered_text(spark):
     passages = spark.createDataFrame(list(enumerate(texts)), "pid long, text string")
     questions = spark.createDataFrame([(0, "red cat"), (1, "blue sea sky"), (2, "green"), (3, "zebra")], "qid long, question string")
     index = sparse.TfidfIndex(passages, with_bigrams=False)
-    cells = clustered_text.fit_cells(index, cells=3)
+    cells = clustered_text.fit_cells(index, cells=3, rounds=4)
     got = rows(clustered_text.clustered_tfidf_topk(index, cells, questions, 3))
     cell_of = {r.pid: r.cell for r in cells.assigned.collect()}
     weights, asked = {}, {}
@@ -131,8 +131,16 @@ def test_clustered_text(spark):
         weights.setdefault(r.pid, {})[r.term] = r.w
     for r in index.question_weights(questions).collect():
         asked.setdefault(r.qid, {})[r.term] = r.w
-    vectors = clustered_text._vectors(questions, index, cells.vectorizer, cells.weights, "question")
-    for r in cells.model.transform(vectors).collect():
+    centres = {}
+    for r in cells.centres.collect():
+        centres.setdefault(r.cell, {})[r.term] = r.w
+
+    def apart(a, b):
+        return sum((a.get(t, 0) - b.get(t, 0)) ** 2 for t in a.keys() | b.keys())
+
+    assert cell_of == {p: min(centres, key=lambda c: (round(apart(weights.get(p, {}), centres[c]), 6), c)) for p in range(len(texts))}
+    for r in clustered_text.nearest_centres(index.question_weights(questions), questions, cells.centres, "qid").collect():
+        assert r.d2 == pytest.approx(apart(asked.get(r.qid, {}), centres[r.cell]), abs=2e-6)
         q = asked.get(r.qid, {})  # none of its terms is known
         distance = {}
         for pid, cell in cell_of.items():
