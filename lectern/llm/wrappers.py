@@ -12,6 +12,7 @@ import json
 import re
 import sys
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,15 +45,20 @@ NOT_CONTENT = frozenset(
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "disclaimer footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup "
-    "promo promoted related reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe "
+    "disclaimer discussion disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup "
+    "promo promoted related remarks reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe "
     "toolbar topbar widget".split()
 )
+# of these one word of a class is enough inside an article as well, where the element is no heading and no paragraph
+CLEAR = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments cookie cookies disqus footer gdpr nav navbar "
+    "navigation newsletter popup promo promoted remarks sidebar signup sponsor sponsored".split()
+)
 WHOLE = frozenset(("article", "main"))
 TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^>]*>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*>", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _MARK = re.compile(r"[a-z]+")
@@ -81,6 +87,8 @@ def _described(tag: str, attributes: str, inside_article: bool) -> tuple[str, bo
     off = tag in NOT_CONTENT or "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true"
     off = off or found.get("role", "").lower() in ROLES
     off = off or (tag not in WHOLE and tag not in ("html", "body") and not marks.isdisjoint(MARKS))
+    clear = inside_article and tag not in TEXTUAL and tag not in WHOLE
+    off = off or (clear and not CLEAR.isdisjoint(_MARK.findall(" ".join(tokens))))
     off = off or (tag == "header" and not inside_article)
     return f"{tag}.{kind}" if kind else tag, off
 
@@ -90,6 +98,7 @@ def parse(page: str) -> Node:
     and cells end where the next one starts, stray end tags are passed over."""
     root = Node("", "", False)
     stack = [root]  # blocks, and other elements that are left out with all they hold
+    opened: Counter[str] = Counter()  # tags on the stack, so that asking for one does not walk it
     inline: list[str] = []
     at = 0
 
@@ -99,16 +108,22 @@ def parse(page: str) -> Node:
         if text:
             stack[-1].parts.append(text)
 
+    def cut(depth: int) -> None:
+        end_text()
+        opened.subtract(n.tag for n in stack[depth:])
+        del stack[depth:]
+
     def close(names: str, walls: frozenset = CONTAINERS) -> None:
+        if not any(opened[name] for name in names.split()):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag in names.split():
-                end_text()
-                del stack[depth:]
+                cut(depth)
                 return
             if stack[depth].tag in walls:
                 return
 
-    for match in _TAG.finditer(page):
+    for match in _TAG.finditer(page, 0, page.rfind(">") + 1):  # beyond the last end of a tag there is none
         if match.start() < at:
             continue
         inline.append(page[at : match.start()])
@@ -117,11 +132,11 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         if match[1]:
-            if tag in BLOCKS or tag in NOT_CONTENT:
-                if any(n.tag == tag for n in stack):
-                    end_text()
-                    while stack.pop().tag != tag:
-                        pass
+            if opened[tag] and (tag in BLOCKS or tag in NOT_CONTENT):
+                depth = len(stack) - 1
+                while stack[depth].tag != tag:
+                    depth -= 1
+                cut(depth)
             continue
         if tag == "br":
             inline.append(" ")
@@ -134,32 +149,39 @@ def parse(page: str) -> Node:
                 close("p", frozenset())
                 end_text()
             continue
+        inside_article = any(opened[name] for name in WHOLE)
         if tag not in BLOCKS and tag not in NOT_CONTENT:
-            label, off = _described(tag, match[3], any(n.tag in WHOLE for n in stack)) if match[3].strip() else (tag, False)
-            if not off:
-                continue
-            # an inline advert or notice: left out only if it ends, as blocks are
-        elif tag in BLOCKS:
+            label, off = _described(tag, match[3], inside_article) if match[3].strip() else (tag, False)
+            if off:  # an inline advert or notice goes up to its own end, if it has one
+                at = _end_of(page, at, tag)
+            continue
+        if tag in BLOCKS:
             close("p", frozenset(("td", "th", "li", "article", "body", "div", "section", "aside", "nav", "footer", "header", "form")))
         if tag in SIBLINGS:
             close(SIBLINGS[tag], CONTAINERS - {"div"})
-        if tag in BLOCKS or tag in NOT_CONTENT:
-            label, off = _described(tag, match[3], any(n.tag in WHOLE for n in stack))
-        if match[3].rstrip().endswith("/") and tag in NOT_CONTENT and tag not in BLOCKS:
+        label, off = _described(tag, match[3], inside_article)
+        if match[3].rstrip().endswith("/") and tag not in BLOCKS:
             continue
-        if tag in BLOCKS or tag in NOT_CONTENT:
-            end_text()
-            node = Node(label, tag, off)
-            stack[-1].parts.append(node)
-            stack.append(node)
-        else:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else at
+        end_text()
+        node = Node(label, tag, off)
+        stack[-1].parts.append(node)
+        stack.append(node)
+        opened[tag] += 1
     inline.append(page[at:])
     end_text()
     return root
 
 
+def _end_of(page: str, at: int, tag: str) -> int:
+    """After the end tag of an element whose start tag ended at ``at``, past equal elements inside; ``at`` if there is none."""
+    depth = 1
+    for match in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(page, at):
+        depth += -1 if match[1] else 1
+        if not depth:
+            return match.end()
+    return at
+
+
 def _below(path: int, label: str) -> int:
     """Paths are chained hashes of labels, as deep nesting makes names long."""
     return xxhash.xxh3_64_intdigest(label, path)
@@ -388,7 +410,8 @@ def extract(
     Where a page has an ``article`` or ``main``, only what is inside counts. Left out are
     menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
     comments, by element, role or class, and the texts of the host's template. A null or
-    empty page, and one that is all template, has an empty text. Templates that are measured to
+    empty page, and one that is all template, has an empty text; repeated rows are pages of their own, and a long page is read
+    whole, once. Templates that are measured to
     be small travel to the pages, which then do not move. ``templates`` may be stored and given again; by default they are induced from ``pages``."""
     templates = induce(pages, url=url, page=page, **how) if templates is None else templates
     own = pages.select(

@@ -121,3 +121,25 @@ def test_the_share_is_that_of_pages(spark):
     got = {r.page_id: r.text for r in w.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"story {i}" + "\n\nin half" * (i % 2) for i in range(200))
     assert all(got[1000 + i] == f"tale {i}" + "\n\nrare" * (i < 6) for i in range(20))
+
+
+def test_roles_inside_an_article_and_outside():
+    for name in ("comment-list", "ad-box", "site-footer", "newsletter-signup"):
+        assert text(f'<article><p>a</p><div class="{name}"><p>b</p></div></article>') == "a", name
+    for mark in ('class="remarks"', 'id="disqus_thread"', 'class="discussion"'):
+        assert text(f"<body><p>a</p><div {mark}><p>b</p></div></body>") == "a", mark
+    assert text('<article><p class="ad-hoc">a</p><h2 class="footer-notes">b</h2></article>') == "a\n\nb"
+
+
+def test_nested_inline_adverts():
+    assert text('<article><p>a <span class="ad"><span>Buy</span> now</span> b</p></article>') == "a b"
+    assert text('<p>a <span class="ad">buy</span> b <b class="ad">c') == "a b c"
+
+
+def test_long_pages_are_read_once():
+    import time
+
+    for page in ("<div>" * 60_000, '<a "' * 60_000, "<p>" * 60_000, '<a "' * 60_000 + ">", "<!" * 60_000, "<b class=ad>" * 2_000):
+        start = time.time()
+        w.parse(page)
+        assert time.time() - start < 10
