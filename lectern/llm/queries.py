@@ -18,7 +18,7 @@ from lectern.llm.packing import pack
 from lectern.llm.quality import judged, ledger
 from lectern.llm.shards import interleave
 from lectern.llm.toxicity import fit as fit_toxicity, production_part
-from lectern.llm.urls import judge, mine
+from lectern.llm.urls import judge, mine, taught
 from lectern.llm.whitening import whiten
 from lectern.llm.wrappers import extract
 
@@ -60,7 +60,7 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
-    return judge(pages, URL_RULES, mine(pages.join(labels, "page_id")))
+    return judge(pages, URL_RULES, mine(taught(pages, URL_RULES, labels)))
 
 
 def op5_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,15 +44,16 @@ def tokens(url: Column) -> Column:
 
 
 def mine(
-    labelled: DataFrame, url: str = "url", bad: str = "bad", min_rows: int = 30, min_support: float = 0.0005, min_confidence: float = 0.6
+    labelled: DataFrame, url: str = "url", bad: str = "bad", min_rows: int = 30, min_support: float = 0.0005, min_confidence: float = 0.6,
+    min_lift: float = 1.5,
 ) -> DataFrame:
     """(antecedent, confidence, lift, support): rules from URL tokens to the label, from
     rows of ``url`` and a boolean ``bad``; a null label teaches nothing.
 
     A rule holds in ``min_support`` of the rows and in ``min_rows`` of them at least,
     which also bounds how many there are, and of the rows that match,
-    ``min_confidence`` are bad. A rule goes if another with part of its tokens is as
-    confident. Too few rows, or one class, give no rules."""
+    ``min_confidence`` are bad, ``min_lift`` times the share of all rows. A rule goes if another with part of its tokens is as
+    confident. Too few rows, an empty table or one class give no rules; other columns are not read."""
     rows = labelled.filter(F.col(bad).isNotNull()).select(tokens(F.col(url)).alias("t"), F.col(bad).alias("bad"))
     rows = written(rows.select(F.when(F.col("bad"), F.concat("t", F.array(F.lit(BAD)))).otherwise(F.col("t")).alias("items")), "url-tokens")
     total = rows.count()
@@ -63,7 +64,7 @@ def mine(
         itemsCol="items", minSupport=max(min_support, min_rows / total), minConfidence=min_confidence,
         numPartitions=max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))),
     ).fit(rows)
-    found = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
+    found = model.associationRules.filter((F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") >= min_lift))
     rules = written(found.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "lift", "support"), "url-rules")
     shorter = rules.select(
         F.col("antecedent").alias("part"), F.col("confidence").alias("sure"), F.col("antecedent")[0].alias("token")
@@ -79,7 +80,7 @@ def matches(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """(url tokens ``t``, mined, confidence): the surest rule of every different set of
     tokens that has one, ties by the rule's text.
 
-    Token sets are few beside URLs. Each rule is indexed under its rarest token,
+    Token sets are few beside URLs. An empty table or no rules give no rows, and other columns are not read. Each rule is indexed under its rarest token,
     so that a token that is in every URL leads to few rules."""
     sets = urls.select(tokens(F.col(url)).alias("t")).distinct()
     often = sets.select(F.explode("t").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
@@ -106,14 +107,28 @@ def judge(
     path and fits no rule; repeated rows are judged as often."""
     own = pages.select(
         F.col(key).cast("long").alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"),
-        tokens(F.col(url)).alias("t"),
+        tokens(F.col(url)).alias("t"), given(rules, F.col(url)).alias("given"),
     )
-    name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for says, host, path in sorted(rules, key=lambda r: len(r[1] + r[2])):
-        fits = (F.concat(F.lit("."), F.col("host")).endswith(f".{host}")) & F.col("path").startswith(path)
-        name, verdict = F.when(fits, host + path).otherwise(name), F.when(fits, says).otherwise(verdict)
     joined = own.join(matches(pages, mined, url), "t", "left")
     method = F.when(F.col("mined").isNotNull(), "block").otherwise("allow")
     return joined.select(
-        "page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "mined", "confidence"
+        "page_id", "host", "path", F.col("given.rule").alias("rule"), F.coalesce("given.verdict", method).alias("verdict"), "mined", "confidence"
     )
+
+
+def given(rules: Sequence[Rule], url: Column) -> Column:
+    """(rule, verdict) of the longest of the given rules that fits a URL; null fields where none does."""
+    name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for says, host, path in sorted(rules, key=lambda r: len(r[1] + r[2])):
+        fits = (F.concat(F.lit("."), host_of(url)).endswith(f".{host}")) & path_of(url).startswith(path)
+        name, verdict = F.when(fits, host + path).otherwise(name), F.when(fits, says).otherwise(verdict)
+    return F.struct(name.alias("rule"), verdict.alias("verdict"))
+
+
+def taught(pages: DataFrame, rules: Sequence[Rule], labels: DataFrame, key: str = "page_id", url: str = "url") -> DataFrame:
+    """(page_id, url, bad): what rules are mined from. Where a given rule decides, its verdict is the label, which does
+    speak about URLs; elsewhere it is that of ``labels`` (page_id, bad). Pages with neither teach nothing."""
+    own = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), given(rules, F.col(url))["verdict"].alias("verdict"))
+    known = own.join(labels, "page_id", "left")
+    bad = F.when(F.col("verdict").isNotNull(), F.col("verdict") == "block").otherwise(F.col("bad"))
+    return known.select("page_id", "url", bad.alias("bad")).filter("bad is not null")
