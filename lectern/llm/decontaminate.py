@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.kernels import BASE, BASE_INVERSE, ASCII_LOWER, WordHasher, powers, chunks, windows
+from lectern.llm.tables import written
 
 # a token is a run of ASCII letters and digits and of all that is not ASCII
 SEPARATORS = np.ones(256, bool)
@@ -195,8 +196,9 @@ def contaminated(
     neither does a null text. Repeated rows give repeated results.
 
     Documents stay where they are: the benchmark is the query set. It is cut into blocks of
-    about ``block_bytes`` by a hash, and each block visits all documents, so what a task
-    holds is bounded however large the benchmark is."""
+    about ``block_bytes`` by a hash, and each block visits all documents, so what a task and the
+    driver hold is bounded however large the benchmark is. A text is read whole, however long; an empty table on either
+    side gives an empty result, and other columns are not read, whatever their names."""
     items = benchmark.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // block_bytes))
@@ -208,5 +210,7 @@ def contaminated(
         texts = pc.utf8_lower(pa.array([r["text"] or "" for r in rows], pa.string()))
         seeds = Seeds([(rows[i]["item_id"], tokens) for i, tokens in hasher(texts)], least)
         found = own.mapInArrow(_search(seeds, least, share), MATCH)
+        if n_blocks > 1:  # written before the next block is read, so that the driver holds one
+            found = written(found, "matches")
         result = found if result is None else result.unionByName(found)
     return result
