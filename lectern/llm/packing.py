@@ -19,6 +19,7 @@ from lectern.llm.tables import written
 
 BUCKETS, DIMENSIONS, BITS = 256, 4, 12
 FLUSH_BYTES = 8 << 20
+RANGE_TOKENS = 4 << 20
 
 PIECE = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -154,11 +155,13 @@ def pack(
     range is short, so padding is at most one sequence per range, whatever the
     lengths. Equal documents have one key and still fall into several ranges, as the
     id is part of the range key. Repeated rows are packed as often as they occur; an
-    empty table gives an empty result. Memory: an Arrow batch and its pieces."""
+    empty table gives an empty result. There is a range for each ``RANGE_TOKENS`` tokens, so that none grows with
+    the input. Memory: an Arrow batch and its pieces."""
     tokens = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         _tokenise(ranks_path, pattern, end_id), "doc_id long, key long, n long, ids binary"
     )
     # finding the ranges reads all keys once more, which should not tokenise all texts again
     keyed = written(tokens, "tokens").withColumn("h", F.xxhash64("ids"))
-    ordered = keyed.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id", "n", "h")
+    ranges = max(1, -(-(keyed.agg(F.sum("n")).first()[0] or 0) // RANGE_TOKENS))
+    ordered = keyed.repartitionByRange(ranges, "key", "doc_id").sortWithinPartitions("key", "doc_id", "n", "h")
     return ordered.select("doc_id", "ids").mapInArrow(_cut(length), PIECE)
