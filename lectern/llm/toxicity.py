@@ -106,6 +106,8 @@ def _byte_counts(texts: pa.Array) -> np.ndarray:
     split = np.zeros(len(raw), bool)
     if len(raw) > 2:
         split[1:-1] = letter[:-2] & odd[1:-1] & letter[2:]
+        seams = offsets[1:-1]  # the letters are of one text
+        split[seams[seams < len(raw)]] = split[seams[seams > 0] - 1] = False
     masks = (CAPITAL[raw], raw == 33, raw == 63, PUNCTUATION[raw], (raw >= 48) & (raw <= 57), split, letter)
     sums = (np.concatenate([[0], np.cumsum(m)]) for m in masks)
     return np.stack([s[offsets[1:]] - s[offsets[:-1]] for s in sums], axis=1)
@@ -117,12 +119,12 @@ def _features(words: dict[str, float], stems: dict[str, float]):
     def one(text: str) -> list[float]:
         tokens = plain_words(text)
         n = max(len(tokens), 1)
-        kinds = set(tokens)
-        hits = {w: tokens.count(w) for w in kinds & bad}
-        stemmed = {w: tokens.count(w) for w in kinds if w[:STEM] in stems and len(w) > STEM}
+        kinds = Counter(tokens)
+        hits = {w: kinds[w] for w in kinds.keys() & bad}
+        stemmed = {w: c for w, c in kinds.items() if w[:STEM] in stems and len(w) > STEM}
         learned = {w: c for w, c in hits.items() if w in words}
         near = you = 0
-        if not kinds.isdisjoint(SECOND_PERSON):
+        if not SECOND_PERSON.isdisjoint(kinds):
             at = [i for i, w in enumerate(tokens) if w in SECOND_PERSON]
             you = len(at)
             if hits or stemmed:
@@ -182,7 +184,8 @@ class ToxicityModel:
         return scored.withColumn("margin", vector_to_array("rawPrediction")[1])
 
     def score(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """(doc_id, score) of every row; a null text scores as an empty one."""
+        """(doc_id, score) of every row; a null text scores as an empty one, repeated rows alike, a long text as a
+        whole, and an empty table gives no rows."""
         found = self.features(docs, key, text)
         if self.trees is None or self.calibration is None:
             return found.select("doc_id", F.lit(self.prior).alias("score"))

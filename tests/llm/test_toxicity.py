@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -60,3 +61,36 @@ def test_bytes_are_counted_per_text():
     assert got[0].tolist() == [1, 1, 1, 2, 0, 0, 3]
     assert got[1].tolist() == got[2].tolist() == [0] * 7
     assert got[3].tolist()[4:] == [4, 1, 5]  # one sign between letters, as in s@d
+
+
+def plain_features(text, words, stems):
+    """The features by their definitions."""
+    tokens = text.lower()
+    for mark in ".,!?;:\"()":
+        tokens = tokens.replace(mark, " ")
+    tokens = tokens.split()
+    n, letters = max(len(tokens), 1), [c for c in text.encode() if 65 <= c <= 90 or 97 <= c <= 122 or c >= 128]
+    learned = [t for t in tokens if t in words]
+    stemmed = [t for t in tokens if len(t) > 4 and t[:4] in stems]
+    spots = [i for i, t in enumerate(tokens) if t in words or t in toxicity.INSULTS or (len(t) > 4 and t[:4] in stems)]
+    you = [i for i, t in enumerate(tokens) if t in toxicity.SECOND_PERSON]
+    data = text.encode()
+    split = sum(data[i] in b"0123456789@$*#!|+" and toxicity.LETTER[data[i - 1]] and toxicity.LETTER[data[i + 1]] for i in range(1, len(data) - 1))
+    punctuation = sum(c in b"!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~" for c in data)
+    return [
+        sum(t in toxicity.INSULTS for t in tokens) / n, len(learned) / n, sum(words[t] for t in learned) / n, len(stemmed) / n,
+        sum(stems[t[:4]] for t in stemmed) / n, max([words[t] for t in learned] + [stems[t[:4]] for t in stemmed], default=0.0),
+        sum(any(abs(i - j) <= 5 for j in spots) for i in you) / n, len(you) / n, sum(65 <= c <= 90 for c in data) / max(len(letters), 1),
+        data.count(b"!") / n, data.count(b"?") / n, punctuation / n, sum(48 <= c <= 57 for c in data) / n, split / n, math.log1p(len(tokens)),
+    ]
+
+
+def test_features_by_definition(spark):
+    rng = random.Random(8)
+    words, stems = {"gralk": 1.5, "ugly": 2.0, "du": 0.7}, {"snor": 1.2, "idio": 3.0}
+    parts = ["you", "DU", "ugly", "Gralk!", "snorvig", "snor", "idiot,", "idiotic", "plain", "w0rd", "f@ol", "ÜBER", "a", "(you)", "?", "!!", "1|2", "your"]
+    texts = [" ".join(rng.choices(parts, k=rng.randrange(0, 40))) for _ in range(150)] + ["", "x!y", "!", "@a@"]
+    model = toxicity.ToxicityModel({**words, **{f"{t}*": w for t, w in stems.items()}}, None, None, 0.0)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in model.features(docs).collect():
+        assert [r[f] for f in toxicity.FEATURES] == pytest.approx(plain_features(texts[r.doc_id], words, stems)), texts[r.doc_id]
