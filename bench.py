@@ -59,6 +59,7 @@ def main() -> None:
     clock("build_passages", lambda: store.load_or_build_passages(key, lambda: dedup_in_order(docs)))
     for method in INDEXES:
         clock(f"build_{method}", lambda: build_index(method, passages, tables=IndexTables(store, key)))
+        clock(f"build_{method}_blocks", lambda: build_index(method, passages, tables=IndexTables(store, key)).blocks())
     for name in HEADLINE:
         drain(QUERIES[name](spark, sf_dir))
         clock(f"scan_{name}" if name in SCANS else name, lambda: drain(QUERIES[name](spark, sf_dir)))
