@@ -23,7 +23,7 @@ END = mix(np.array([0x656E64], np.uint64))[0]
 BEGIN = mix(np.array([0x626567696E], np.uint64))[0]
 FLUSH_TOKENS = 1 << 20
 PART_TOKENS = 2 << 20
-SCORED_BYTES = 4 << 20
+SCORED_BYTES = 1 << 20
 
 _WORD, _CONTEXT, _TIMES = 0, 1, 2  # kinds of figures a part reports
 _FIGURES = "kind int, h long, a long, b long, c long, d long"
