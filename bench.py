@@ -24,7 +24,7 @@ from lectern.sources.index_store import TableStore
 
 HEADLINE = (
     "r1_ordered_dedup t2_special_characters t5_prompt_cleaning t7_answer_normalisation t8_tokens c1_feature_windows "
-    "c4_fixed_chunks c5_recursive_chunks p1_postings p3_tfidf_weights p4_tfidf_topk p7_bm25_fit p8_bm25_topk "
+    "c4_fixed_chunks c5_recursive_chunks c5_word_chunks p1_postings p3_tfidf_weights p4_tfidf_topk p7_bm25_fit p8_bm25_topk "
     "p10_zero_score_fill p12_dataset_retrieval r7_gather d3_inner_product_topk d5_cosine_topk d7_cell_assignment "
     "d8_clustered_topk d9_scalar_quantisation n3_triplets n5_shuffled_batches a4_nbest a8_best_answer a11_score_mixture "
     "e2_token_f1 e4_corpus_scores e7_hit_rate_contains flow_extractive flow_generative"

@@ -127,11 +127,62 @@ def c3_subwords(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("c5_recursive_chunks")
+WORDS_SQL = r"len([w FOR w IN string_split_regex({}, '\s+') IF w <> ''])"
+
+
+def chunk_sql(size: int, overlap: int, length: str) -> str:
+    """Chunks at separators as one recursive query; ``length`` is an SQL form with ``{}`` for the text. What one cut gives has a
+    path, and lies in one run with its neighbours as far as no piece that is too long is between them. In a run the end of a chunk
+    follows from its first piece, and the next first piece from that end, so there is a step per chunk."""
+    levels, source = [], "whole"
+    for i, separator in enumerate(("chr(10) || chr(10)", "chr(10)", "' '", "''")):
+        parts = f"string_split(t, {separator})" if i < 3 else "regexp_extract_all(t, '(?s).')"
+        cut = f"(n >= {size} AND contains(t, {separator}))"
+        levels.append(
+            f"""cut{i} AS (
+              SELECT pid, path || [j] AS path, t, n, path || [coalesce(sum(CASE WHEN n >= {size} THEN 1 ELSE 0 END) OVER (
+                       PARTITION BY pid, path ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT] AS run
+              FROM (SELECT pid, path, j, t, CAST({length.format("t")} AS BIGINT) AS n
+                    FROM (SELECT pid, path, j, CASE WHEN j > 1 THEN {separator} ELSE '' END || part AS t
+                          FROM (SELECT pid, path, unnest(parts) AS part, generate_subscripts(parts, 1)::BIGINT AS j
+                                FROM (SELECT pid, path, {parts} AS parts FROM {source} WHERE {cut}))) WHERE t <> '')
+              UNION ALL SELECT pid, path, t, n, run FROM {source} WHERE NOT {cut})"""
+        )
+        source = f"cut{i}"
+    fits = f"len([c FOR c IN sums IF c <= sums[{{0}} + 1] + {size}]) - 1"
+    return rf"""WITH RECURSIVE
+      whole AS (SELECT pid, [0::BIGINT] AS path, coalesce(text, '') AS t, {size}::BIGINT AS n, [0::BIGINT] AS run FROM passages),
+      {", ".join(levels)},
+      runs AS (SELECT pid, min(path) AS place, list(t ORDER BY path) AS ts, [0::HUGEINT] || list(c ORDER BY path) AS sums
+               FROM (SELECT *, sum(n) OVER (PARTITION BY pid, run ORDER BY path) AS c FROM {source}) GROUP BY pid, run),
+      chunks AS (
+        SELECT pid, place, ts, sums, 0::BIGINT AS k, 0::BIGINT AS lo, {fits.format("0")} AS hi FROM runs
+        UNION ALL
+        SELECT pid, place, ts, sums, k, lo, {fits.format("lo")} AS hi
+        FROM (SELECT pid, place, ts, sums, k + 1 AS k, list_min([j FOR j IN range(lo, hi + 1)
+                     IF sums[hi + 1] - sums[j + 1] <= {overlap} AND sums[hi + 2] - sums[j + 1] <= {size}]) AS lo
+              FROM chunks WHERE hi < len(ts))),
+      texts AS (SELECT pid, place, k, regexp_replace(array_to_string(ts[lo + 1:hi], ''),
+                       '^[\s-\p{{Z}}]+|[\s-\p{{Z}}]+$', '', 'g') AS text FROM chunks)
+      SELECT pid, row_number() OVER (PARTITION BY pid ORDER BY place, k) - 1 AS chunk_no, text FROM texts WHERE text <> ''"""
+
+
+@query("c5_recursive_chunks", f"SELECT * FROM ({chunk_sql(300, 50, 'length({})')})", uses="passages")
 def c5(spark: SparkSession, sf: str) -> DataFrame:
     return windows.recursive_chunks(fx.passages(spark, sf)).select("pid", *_long("chunk_no"), "text")
 
 
+@query(
+    "c5_word_chunks",
+    f"SELECT * FROM ({chunk_sql(40, 10, WORDS_SQL)})",
+    uses="passages",
+)
+def c5_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks measured by their words."""
+    chunks = windows.recursive_chunks(fx.passages(spark, sf), 40, 10, length=lambda piece: len(piece.split()))
+    return chunks.select("pid", *_long("chunk_no"), "text")
+
+
 @query(
     "r10_features_per_example",
     """SELECT example_id, string_agg(example_id || '-' || window_no, ',' ORDER BY example_id || '-' || window_no)

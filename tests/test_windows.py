@@ -1,7 +1,10 @@
 import random
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from lectern.catalog.reader_queries import WORDS_SQL, chunk_sql
 from lectern.operators import windows
 from lectern.plans import reading
 
@@ -116,3 +119,22 @@ def test_rejected_questions_keep_their_prediction(spark):
     for with_null in (False, True):
         got = reading.extractive_answers(features, logits, own, with_null=with_null)[0].collect()
         assert {r.id: r.prediction_text for r in got} == {1: "w0", 2: "empty"}
+
+
+@pytest.mark.parametrize("size,overlap", [(40, 10), (7, 3), (2, 1), (30, 0), (12, 11)])
+def test_chunk_sql_by_the_plain_computation(size, overlap):
+    """Long words, separators of all kinds next to each other, none at all, and an empty and a null text."""
+    rng = random.Random(size)
+    alphabet = ["a", "b", "é", "漢", "😀", " ", " ", "\n", "\n\n", "\t", "word", "longerword", "y" * 9]
+    texts = ["", None, "  \n\n ", "a\nb\n\nc d", "y" * 95, "\n\n\n\nx"]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 120))) for _ in range(60)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE passages (pid BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO passages VALUES (?, ?)", list(enumerate(texts)))
+    for sql, length in (("length({})", len), (WORDS_SQL, lambda t: len(t.split()))):
+        got = {}
+        for pid, number, text in con.execute(chunk_sql(size, overlap, sql) + " ORDER BY pid, chunk_no").fetchall():
+            assert number == len(got.setdefault(pid, []))
+            got[pid].append(text)
+        for pid, text in enumerate(texts):
+            assert got.get(pid, []) == windows.split_recursively(text or "", size, overlap, length)
