@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lectern.llm.tables import written
+from lectern.llm.tables import settled, written
 from lectern.operators.sizing import SALTS, fits_broadcast
 
 # fixed values of HTML
@@ -295,38 +295,67 @@ def _content(found: list[tuple[int, str, bool, bool]]) -> list[tuple[int, str, b
     return [(path, text, whole) for path, text, off, whole in found if not off and (whole or not inside)]
 
 
-def _outline(page: str) -> tuple[int, list[int], bytes | None]:
-    """Hash of a page's content, names of the texts in it that could be template, and the
-    skeleton if there are any. What an article or main holds is never template."""
+def _outline(page: str) -> tuple[int, list[int], list[int], list[int], bytes | None]:
+    """Hash of a page's content, names of the texts in it, their hashes without a path, their lengths inside an
+    article (0 outside), and the skeleton if there are any."""
     root = parse(page)
     content = _content(list(leaves(root)))
     slots = xxhash.xxh3_64_intdigest("\0".join(text for _, text, _ in content)) - (1 << 63)
-    names = sorted({_name(path, _text_hash(text)) for path, text, whole in content if not whole})
-    return slots, names, skeleton(root) if names else None
+    found = {}
+    for path, text, whole in content:
+        own = _text_hash(text)
+        found[_name(path, own)] = (own - (1 << 63), len(text) if whole else 0)
+    names = sorted(found)
+    return slots, names, [found[n][0] for n in names], [found[n][1] for n in names], skeleton(root) if names else None
 
 
 def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    longs = pa.list_(pa.int64())
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            slots, names, packed = zip(*(_outline(page.as_py() or "") for page in part.column(1)))
+            columns = zip(*(_outline(page.as_py() or "") for page in part.column(1)))
+            kinds = [pa.int64(), longs, longs, longs, pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(slots, pa.int64()), pa.array(names, pa.list_(pa.int64())), pa.array(packed, pa.binary())],
-                names=["host", "slots", "names", "skeleton"],
+                [part.column(0), *(pa.array(c, kind) for c, kind in zip(columns, kinds))],
+                names=["host", "slots", "names", "texts", "lengths", "skeleton"],
             )
 
 
-def _align(group: pa.Table) -> pa.Table:
+def _different(articles: list[dict[int, int]]) -> list[int]:
+    """Places of articles that are clearly different: less than half of the shorter one, in characters, is in both. Each
+    maps the hashes of its texts to their lengths; empty ones are left out."""
+    chosen: list[int] = []
+    for i, own in enumerate(articles):
+        total = sum(own.values())
+        if total and all(
+            2 * sum(own[t] for t in own.keys() & articles[j].keys()) < min(total, sum(articles[j].values())) for j in chosen
+        ):
+            chosen.append(i)
+    return chosen
+
+
+def _align(group: pa.Table, least_pages: int) -> pa.Table:
     """How many pages of a group hold each name, and whether it was aligned with itself. Every
-    name that two pages hold is looked for in alignments of its first page with the others that hold it."""
+    name that two pages hold is looked for in alignments of its first page with the others that hold it. Names inside an
+    article are counted over clearly different articles, if the group has more than ``least_pages`` of them."""
     sys.setrecursionlimit(1_000_000)  # alignments are as deep as the pages
     aligner = Aligner()
-    pages = sorted(zip(group.column("skeleton").to_pylist(), group.column("names").to_pylist()), key=lambda p: p[0] or b"")
-    trees = [packed and aligner.tree(packed) for packed, _ in pages]
+    columns = [group.column(c).to_pylist() for c in ("skeleton", "names", "texts", "lengths")]
+    pages = sorted(zip(*columns), key=lambda p: p[0] or b"")
+    trees = [packed and aligner.tree(packed) for packed, *_ in pages]
+    articles = [{t: n for t, n in zip(texts, lengths) if n} for _, _, texts, lengths in pages]
+    chosen = set(_different(articles))
+    if len(chosen) <= least_pages:
+        chosen = set()
     holders: dict[int, list[int]] = {}
-    for i, (_, names) in enumerate(pages):
-        for name in names:
-            holders.setdefault(name, []).append(i)
+    inside: set[int] = set()
+    for i, (_, names, _, lengths) in enumerate(pages):
+        for name, n in zip(names, lengths):
+            if n:
+                inside.add(name)
+            if not n or i in chosen:
+                holders.setdefault(name, []).append(i)
     aligned: set[int] = set()
     done: set[tuple[int, int]] = set()
     for name, (first, *others) in holders.items():
@@ -339,10 +368,11 @@ def _align(group: pa.Table) -> pa.Table:
     host = group.column("host")[0].as_py()
     return pa.table(
         {
-            "host": pa.array([host] * (len(holders) + 1), pa.string()),
-            "name": pa.array([*holders, None], pa.int64()),
-            "pages": pa.array([*map(len, holders.values()), len(pages)], pa.int64()),
-            "aligned": pa.array([*(n in aligned for n in holders), False], pa.bool_()),
+            "host": pa.array([host] * (len(holders) + 2), pa.string()),
+            "name": pa.array([*holders, None, None], pa.int64()),
+            "inside": pa.array([*(n in inside for n in holders), False, True], pa.bool_()),
+            "pages": pa.array([*map(len, holders.values()), len(pages), len(chosen)], pa.int64()),
+            "aligned": pa.array([*(n in aligned for n in holders), False, False], pa.bool_()),
         }
     )
 
@@ -364,20 +394,26 @@ def induce(
     so that a host with a third of all pages is many small groups; their counts are
     added up per host. A text is constant if ``share`` of the host's pages hold it at one path and it
     is aligned with itself; a host needs more than ``least_pages`` pages. Pages of equal content count once, whatever
-    their menus, adverts and comments, since copies of a page would make its article a template; and texts
-    inside an ``article`` or ``main`` are never template."""
+    their menus, adverts and comments, since copies of a page would make its article a template.
+
+    A text inside an ``article`` or ``main`` is held to the same share, but of the host's clearly different articles: of near
+    copies in a group, whose equal texts make half of their characters, one counts, and a group counts only if more than ``least_pages``
+    stay. So what a host puts into each article goes, and the paragraphs of an article that has many near copies stay."""
     own = pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("html"))
-    outlines = own.mapInArrow(_skeletons, "host string, slots long, names array<long>, skeleton binary")
-    trees = outlines.groupBy("host", "slots").agg(F.min(F.struct("names", "skeleton")).alias("page"))
-    # the pages are counted by a column that is read again, so that both readings share one exchange
+    outlines = own.mapInArrow(
+        _skeletons, "host string, slots long, names array<long>, texts array<long>, lengths array<long>, skeleton binary"
+    )
+    parts = ["names", "texts", "lengths", "skeleton"]
+    trees = written(outlines.groupBy("host", "slots").agg(F.min(F.struct(*parts)).alias("page")), "outlines")
     sizes = trees.groupBy("host").agg(F.ceil(F.count("page") / group_size).alias("groups"))
+    sizes = F.broadcast(sizes) if fits_broadcast(sizes) else sizes
     salted = trees.join(sizes, "host").withColumn("salt", F.pmod(F.xxhash64("slots"), "groups"))
-    counted = salted.select("host", "salt", "page.names", "page.skeleton").groupBy("host", "salt").applyInArrow(
-        _align, "host string, name long, pages long, aligned boolean"
+    counted = salted.select("host", "salt", *(f"page.{c}" for c in parts)).groupBy("host", "salt").applyInArrow(
+        lambda group: _align(group, least_pages), "host string, name long, inside boolean, pages long, aligned boolean"
     )
-    summed = counted.groupBy("host", "name").agg(F.sum("pages").alias("pages"), F.bool_or("aligned").alias("aligned"))
-    of_host = summed.filter("name is null").select("host", F.col("pages").alias("all"))
-    constant = summed.filter("name is not null and aligned").join(of_host, "host").filter(
+    summed = counted.groupBy("host", "name", "inside").agg(F.sum("pages").alias("pages"), F.bool_or("aligned").alias("aligned"))
+    of_host = summed.filter("name is null").select("host", "inside", F.col("pages").alias("all"))
+    constant = summed.filter("name is not null and aligned").join(of_host, ["host", "inside"]).filter(
         (F.col("all") > least_pages) & (F.col("pages") >= F.col("all") * share)
     )
     return constant.groupBy("host").agg(F.collect_list("name").alias("template"))
@@ -385,7 +421,7 @@ def induce(
 
 def _texts(template: set[int], page: str) -> str:
     content = _content(list(leaves(parse(page))))
-    return "\n\n".join(text for path, text, whole in content if whole or _name(path, _text_hash(text)) not in template)
+    return "\n\n".join(text for path, text, _ in content if _name(path, _text_hash(text)) not in template)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,15 +445,16 @@ def extract(
 
     Where a page has an ``article`` or ``main``, only what is inside counts. Left out are
     menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-    comments, by element, role or class, and the texts of the host's template. A null or
+    comments, by element, role or class, and the texts of the host's template, inside an article too. A null or
     empty page, and one that is all template, has an empty text; repeated rows are pages of their own, and a long page is read
     whole, once. Templates that are measured to
     be small travel to the pages, which then do not move. ``templates`` may be stored and given again; by default they are induced from ``pages``."""
-    templates = induce(pages, url=url, page=page, **how) if templates is None else templates
+    if templates is None:
+        templates = settled(lambda: induce(pages, url=url, page=page, **how), "templates")
     own = pages.select(
         F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"), host_of(F.col(url)).alias("host")
     )
-    templates = written(templates.select("host", "template"), "templates")
+    templates = templates.select("host", "template")
     if fits_broadcast(templates):
         joined = own.join(F.broadcast(templates), "host", "left")
     else:  # a host with a large share of the pages is dealt out by a salt

@@ -143,3 +143,50 @@ def test_long_pages_are_read_once():
         start = time.time()
         w.parse(page)
         assert time.time() - start < 10
+
+
+def rows_of(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_what_each_article_of_a_host_repeats_is_template(spark):
+    """Inside article and main, over clearly different articles; on hosts with few of them it stays."""
+    rows = []
+    for host, n in (("many", 80), ("few", 5)):
+        for i in range(n):
+            own = " ".join(f"w{i}x{j}" for j in range(30))
+            tag = ("article", "main")[i % 2]
+            rows.append((i, f"http://{host}.example.org/{i}", f"<{tag}><p>{own}</p><div><p>Read more stories here</p></div></{tag}>"))
+    for size in (16, 32, 500):
+        got = {r.url: r.text for r in w.extract(rows_of(spark, rows), group_size=size, share=0.4).collect()}
+        assert len(got) == 85 and all(("Read more" in out) == ("few." in url) for url, out in got.items()), size
+
+
+def test_paragraphs_of_an_article_with_many_near_copies_stay(spark):
+    """Two thirds of a host's pages are near copies of one article, alone in their groups or not."""
+    rows = [(i, f"http://h.example.org/{i}", f"<article><p>day {i}</p><p>{'one long story ' * 9}</p><p>its end</p></article>") for i in range(200)]
+    for i in range(100):
+        own = " ".join(f"v{i}z{j}" for j in range(25))
+        rows.append((1000 + i, f"http://h.example.org/{i}", f"<article><p>{own}</p></article>"))
+    for some in (rows, rows[:200]):
+        for size in (8, 32, 1000):
+            got = {r.page_id: r.text for r in w.extract(rows_of(spark, some), group_size=size).collect()}
+            assert all(got[i].startswith(f"day {i}") and got[i].endswith("its end") for i in range(200)), size
+
+
+def test_induction_by_recount(spark):
+    """One group: shares counted page by page over different contents, inside articles over different articles."""
+    rng = random.Random(9)
+    for whole in (True, False):
+        bodies = []
+        for i in range(40):
+            own = "".join(f"<p>{i} {j} {'z' * 20}</p>" for j in range(rng.randrange(1, 4)))
+            shared = "".join(f"<p>t{k}</p>" for k in range(6) if rng.random() < (0.3, 0.5, 0.55, 0.65, 0.8, 1)[k])
+            bodies.append(f"<article>{own}{shared}</article>" if whole else f"<div>{own}{shared}</div>")
+        bodies += bodies[:10]
+        frame = rows_of(spark, [(i, "http://h/", b) for i, b in enumerate(bodies)])
+        found = {n for r in w.induce(frame, group_size=1000).collect() for n in r.template}
+        label = w._below(w._below(w._below(0, ""), "article" if whole else "div"), "p")
+        different = list(dict.fromkeys(bodies))
+        want = {k for k in range(6) if sum(f"<p>t{k}</p>" in b for b in different) >= 0.6 * len(different)}
+        assert found == {w._name(label, w._text_hash(f"t{k}")) for k in want}
