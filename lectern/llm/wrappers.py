@@ -412,8 +412,10 @@ def induce(
         lambda group: _align(group, least_pages), "host string, name long, inside boolean, pages long, aligned boolean"
     )
     summed = counted.groupBy("host", "name", "inside").agg(F.sum("pages").alias("pages"), F.bool_or("aligned").alias("aligned"))
+    # only what could be constant is kept; it is read twice, and each group is aligned once
+    summed = written(summed.filter("name is null or aligned"), "counts")
     of_host = summed.filter("name is null").select("host", "inside", F.col("pages").alias("all"))
-    constant = summed.filter("name is not null and aligned").join(of_host, ["host", "inside"]).filter(
+    constant = summed.filter("name is not null").join(of_host, ["host", "inside"]).filter(
         (F.col("all") > least_pages) & (F.col("pages") >= F.col("all") * share)
     )
     return constant.groupBy("host").agg(F.collect_list("name").alias("template"))
