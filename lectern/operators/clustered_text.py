@@ -6,9 +6,10 @@ the driver. Distances come from the shared terms alone: for unit vectors L2 squa
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.operators.sizing import fits_broadcast, sized_join, top_k
 from lectern.operators.sparse import TfidfIndex, question_terms
@@ -38,22 +39,30 @@ def nearest_centres(weights: DataFrame, ids: DataFrame, centres: DataFrame, by:
     """(by, cell, d2) of every one of ``ids``: the centre at the smallest squared distance, equal ones by number.
     ``weights`` (by, term, w) are of unit length; an id without any is the zero vector.
 
-    A row meets the centres that share a term with it. Beside these only the one nearest to
-    the origin counts, as no shared term brings a centre nearer than its own length says."""
-    norms = centres.groupBy("cell").agg(F.sum(F.col("w") * F.col("w")).alias("c2"))
-    columns = centres.select("cell", "term", F.col("w").alias("wc"))
-    shared = sized_join(weights.select(by, "term", "w"), columns, ["term"], salt_by=by, fits=fits_broadcast(columns))
-    dots = shared.groupBy(by, "cell").agg(F.sum(F.col("w") * F.col("wc")).alias("dot"))
-    # one row per cell, a parameter of the fit
-    met = dots.join(F.broadcast(norms), "cell")
-    distance = F.round(1 + F.col("c2") - 2 * F.col("dot"), SCORE_DIGITS).alias("d2")
-    touched = met.groupBy(by).agg(F.min(F.struct(distance, "cell")).alias("met"))
-    apart = norms.agg(F.min(F.struct(F.round(1 + F.col("c2"), SCORE_DIGITS).alias("d2"), "cell"))).scalar()
-    empty = norms.agg(F.min(F.struct(F.round("c2", SCORE_DIGITS).alias("d2"), "cell"))).scalar()
-    known = weights.select(by).distinct().withColumn("_known", F.lit(True))
-    every = ids.select(by).join(known, by, "left").join(touched, by, "left")
-    best = F.when(F.col("_known"), F.least(F.coalesce("met", apart), apart)).otherwise(empty)
-    return every.select(by, best.alias("best")).select(by, F.col("best.cell").alias("cell"), F.col("best.d2").alias("d2"))
+    A term comes with its weights in all centres, which are few, as the columns of one row. A weight
+    meets one row then and not one per cell, and the sums of an id are one row. Where the centres
+    fit on every executor, weights that lie by id do not move."""
+    cell = centres.schema["cell"].dataType
+    lengths = centres.groupBy("cell").agg(F.sum(F.col("w") * F.col("w")).alias("c2")).orderBy("cell").collect()  # a row per cell
+    numbers = [r["cell"] for r in lengths]
+    if not numbers:
+        return ids.select(by, F.lit(None).cast(cell).alias("cell"), F.lit(None).cast("double").alias("d2"))
+    wide = centres.groupBy("term").pivot("cell", numbers).agg(F.sum("w"))
+    terms = wide.select("term", *[F.col(f"`{n}`").alias(f"_{i}") for i, n in enumerate(numbers)])
+    # left: an id whose terms no centre has is not the zero vector
+    shared = sized_join(weights.select(by, "term", "w"), terms, ["term"], salt_by=by, fits=fits_broadcast(terms), how="left")
+    dots = [F.coalesce(F.sum(F.col("w") * F.col(f"_{i}")), F.lit(0.0)).alias(f"_{i}") for i in range(len(numbers))]
+
+    def nearest(own: int, dot: Callable[[int], Column]) -> Column:
+        found = [
+            F.struct(F.round(F.lit(own + r["c2"]) - 2 * dot(i), SCORE_DIGITS).alias("d2"), F.lit(r["cell"]).cast(cell).alias("cell"))
+            for i, r in enumerate(lengths)
+        ]
+        return F.array_min(F.array(*found))
+
+    met = shared.groupBy(by).agg(*dots).select(by, nearest(1, lambda i: F.col(f"_{i}")).alias("met"))
+    best = F.coalesce("met", nearest(0, lambda i: F.lit(0.0)))
+    return ids.select(by).join(met, by, "left").select(by, best.alias("best")).select(by, F.col("best.cell").alias("cell"), F.col("best.d2").alias("d2"))
 
 
 def moved_centres(weights: DataFrame, assigned: DataFrame) -> DataFrame:
@@ -70,7 +79,7 @@ def fit_cells(index: TfidfIndex, cells: int = 64, seed: int = 2024, rounds: int
     shared_dir(index.passages.sparkSession)  # where checkpoints go
     centres = seeded_centres(index.weights, cells, seed).checkpoint()
     for _ in range(rounds):
-        centres = moved_centres(index.weights, nearest_centres(index.weights, index.passages, centres, "pid")).checkpoint()
+        centres = moved_centres(index.weights, nearest_centres(index.weights, index.passages, centres, "pid").checkpoint()).checkpoint()
     assigned = index.tables.by_passage(
         f"tfidf_cells_{cells}_{seed}_{rounds}", index.passages,
         lambda n: nearest_centres(index.weights, index.passages, centres, "pid").select("pid", "cell"), sort_by="pid", placed=False,
