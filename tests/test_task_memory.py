@@ -85,3 +85,17 @@ def test_embedding_by_batches(spark):
     df = spark.createDataFrame([(i, "x" * i) for i in range(10)], "pid long, text string").coalesce(1)
     rows = dense.embed(df, make_encoder, batch_size=4).collect()
     assert all(r["vec"][1] == r["pid"] and r["vec"][0] <= 4 for r in rows)
+
+
+def test_passages_stay_where_they_are_for_the_examples(spark, monkeypatch):
+    """The candidates of the examples are counted, so their number bounds what goes to the passages."""
+    from lectern.catalog import fixtures as fx
+
+    docs = spark.createDataFrame([(i, f"x {i} the quick brown fox jumps over it {i}") for i in range(8)], "doc_id long, text string")
+    asked = spark.createDataFrame([(0, "the quick brown fox jumps")], "qid long, question string")
+    bounds, gather = [], fx.gather
+    monkeypatch.setattr(fx, "table", lambda *_: docs)
+    monkeypatch.setattr(fx, "questions", lambda *_: asked)
+    monkeypatch.setattr(fx, "gather", lambda hits, table, max_hits=None: bounds.append(max_hits) or gather(hits, table, max_hits=max_hits))
+    found = fx._qa_examples(spark, "made by test_task_memory").collect()
+    assert bounds == [8] and [(r["id"], r["context"]) for r in found] == [(0, "x 0 the quick brown fox jumps over it 0")]
