@@ -99,3 +99,14 @@ def test_passages_stay_where_they_are_for_the_examples(spark, monkeypatch):
     monkeypatch.setattr(fx, "gather", lambda hits, table, max_hits=None: bounds.append(max_hits) or gather(hits, table, max_hits=max_hits))
     found = fx._qa_examples(spark, "made by test_task_memory").collect()
     assert bounds == [8] and [(r["id"], r["context"]) for r in found] == [(0, "x 0 the quick brown fox jumps over it 0")]
+
+
+def test_stored_tables_are_packed(spark, tmp_path):
+    from lectern.sources.index_store import TableStore
+
+    rows = spark.range(20).select(F.col("id").alias("pid"), F.lit("a b").alias("text"))
+    TableStore(spark, str(tmp_path)).load_or_build("plain", {"n": 1}, lambda: rows)
+    TableStore(spark, str(tmp_path)).load_or_build_passages({"n": 1}, lambda: rows)
+    found = TableStore(spark, str(tmp_path)).load_or_build_bucketed("terms", {"n": 1}, lambda n: rows, "pid", lambda: 2, "text")
+    files = [*tmp_path.rglob("*.parquet")]
+    assert files and all(".zstd." in f.name for f in files) and found.count() == 20
