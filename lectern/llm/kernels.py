@@ -1,7 +1,7 @@
 """Whole Arrow batches of texts as numpy arrays: words, their hashes, windows.
 
-A batch is read in chunks of some megabytes so that a task holds a bounded
-amount next to its batch; a text larger than a chunk is a chunk of its own."""
+A batch is read in small chunks so that a task holds a bounded amount next to its
+batch; a text larger than a chunk is a chunk of its own."""
 
 from __future__ import annotations
 
@@ -11,7 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+# hashing takes some fifty bytes for each byte of a chunk, and a worker keeps them for its next stage
+CHUNK_BYTES = 256 << 10
 
 # the white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return
 SPACES = np.zeros(256, bool)

@@ -22,6 +22,8 @@ _SIGNED = "doc_id long, d1 long, d2 long, n_shingles long, bands array<long>"
 _SETS = "doc_id long, shingles array<long>"
 # coordinates are computed over this many shingles at a time, so that they stay in cache
 _BLOCK = 1 << 16
+# sets go back to Spark as soon as they hold so many
+_HELD_SHINGLES = 1 << 17
 # pivots that the members of a bucket meet, of a band and of a prefix; then all that is left meets
 _BAND_PIVOTS, _PREFIX_PIVOTS = 2, 8
 
@@ -107,7 +109,7 @@ def _sets(k: int):
                 ids.append(batch.column(0)[row].as_py())
                 found.append(shingles.view(np.int64))
                 held += len(shingles)
-                if held > 1 << 20:
+                if held > _HELD_SHINGLES:
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
                     ids, found, held = [], [], 0
             if ids:
