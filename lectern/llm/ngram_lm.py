@@ -21,16 +21,23 @@ from lectern.llm.tables import fresh_folder, written
 
 END = mix(np.array([0x656E64], np.uint64))[0]
 BEGIN = mix(np.array([0x626567696E], np.uint64))[0]
-FLUSH_TOKENS = 1 << 20
+FLUSH_WORDS = 1 << 20
+FLUSH_PAIRS = 1 << 19
 PART_TOKENS = 2 << 20
-SCORED_BYTES = 1 << 20
+PART_TYPES = 1 << 19
+SCORED_BYTES = 1 << 19
+# Spark puts thousands of rows in an Arrow batch, so a row of pairs is about a kilobyte
+ROW_PAIRS = 64
+BATCH_ROWS = 4096
 
 _WORD, _CONTEXT, _TIMES = 0, 1, 2  # kinds of figures a part reports
 _FIGURES = "kind int, h long, a long, b long, c long, d long"
 
 
 def _pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix(context * np.uint64(0x9FB21C651E98DF25) ^ mix(word + np.uint64(0x3C6EF372FE94F82A)))
+    out = mix(word + np.uint64(0x3C6EF372FE94F82A))
+    out ^= context * np.uint64(0x9FB21C651E98DF25)
+    return mix(out)
 
 
 def _sequences(hasher: WordHasher, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,46 +58,54 @@ def _sequences(hasher: WordHasher, texts: pa.Array) -> tuple[np.ndarray, np.ndar
 
 def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys in order, sums, a place where each is found)."""
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(keys) else np.empty(0, np.int64)
-    sums = np.diff(np.append(at, len(keys))) if counts is None else np.add.reduceat(counts[order], at) if len(at) else counts
-    return ordered[at], sums.astype(np.int64), order[at]
-
-
-def _held(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(words, contexts) of about ``limit`` tokens at a time."""
-    hasher, words, contexts, n = WordHasher(), [], [], 0
-    for batch in batches:
-        for _, part in chunks(batch.column(0)):
-            w, c, _ = _sequences(hasher, part)
-            words.append(w)
-            contexts.append(c)
-            n += len(w)
-            if n >= limit:
-                yield np.concatenate(words), np.concatenate(contexts)
-                words, contexts, n = [], [], 0
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    at = np.flatnonzero(new)
+    if counts is None:
+        sums = np.diff(np.append(at, len(keys)))
+    else:
+        sums = np.add.reduceat(counts[order], at, dtype=np.int64) if len(at) else np.empty(0, np.int64)
+    del at
+    keys = keys[new]
+    return keys, sums, order[new]
+
+
+def _held(pieces: Iterator[tuple[np.ndarray, ...]], limit: int) -> Iterator[list[np.ndarray]]:
+    """Pieces of equally long arrays end to end, about ``limit`` values at a time; what
+    is yielded is valid until the next is asked for."""
+    held, n = None, 0
+    for piece in pieces:
+        if held is None:
+            held = [np.empty(limit, x.dtype) for x in piece]
+        size = len(piece[0])
+        if n and n + size > limit:
+            yield [x[:n] for x in held]
+            n = 0
+        if size > limit:
+            yield list(piece)
+            continue
+        for own, x in zip(held, piece):
+            own[n : n + size] = x
+        n += size
     if n:
-        yield np.concatenate(words), np.concatenate(contexts)
+        yield [x[:n] for x in held]
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher, held, n = WordHasher(), [], 0
-
-    def summed() -> pa.RecordBatch:
-        keys, counts, _ = _summed(np.concatenate(held))
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["h", "n"])
-
-    for batch in batches:
-        for _, part in chunks(batch.column(0)):
-            hashes, at = hasher.chunk(part)
-            held += [hashes, np.full(len(at) - 1, END)]
-            n += len(hashes) + len(at) - 1
-            if n >= FLUSH_TOKENS:
-                yield summed()
-                held, n = [], 0
-    if n:
-        yield summed()
+    hasher = WordHasher()
+
+    def words() -> Iterator[tuple[np.ndarray]]:
+        for batch in batches:
+            for _, part in chunks(batch.column(0)):
+                hashes, at = hasher.chunk(part)
+                yield (hashes,)
+                yield (np.full(len(at) - 1, END),)
+
+    for (held,) in _held(words(), FLUSH_WORDS):
+        keys, counts = np.unique(held, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["h", "n"])
 
 
 def _part(contexts: np.ndarray, pairs: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
@@ -98,24 +113,55 @@ def _part(contexts: np.ndarray, pairs: np.ndarray, hot: np.ndarray, parts: int)
     return np.where(np.isin(contexts, hot), pairs, contexts) % np.uint64(parts)
 
 
+def _blobs(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Binary values that begin at ``at``; the last place is the end of the last one."""
+    ends = ((at - at[0]) * values.itemsize).astype(np.int32)
+    own = np.ascontiguousarray(values[at[0] : at[-1]])
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(ends), pa.py_buffer(own)])
+
+
+def _values(blobs: pa.Array, kind: type) -> np.ndarray:
+    """The values of all rows end to end, where they lie."""
+    _, ends, data = blobs.buffers()
+    at = np.frombuffer(ends, np.int32)[blobs.offset : blobs.offset + len(blobs) + 1]
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(kind)
+
+
+def _rows(part: np.ndarray, contexts: np.ndarray, words: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs in the order of part and context as rows of at most ``ROW_PAIRS``: a context
+    stands once in a row, with the number of its words."""
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    place = np.arange(len(part)) - np.repeat(first, np.diff(np.append(first, len(part))))
+    new = place % ROW_PAIRS == 0
+    rows = np.append(np.flatnonzero(new), len(part))
+    new[1:] |= contexts[1:] != contexts[:-1]
+    heads = np.append(np.flatnonzero(new), len(part))
+    lengths = np.diff(heads).astype(np.uint8)
+    contexts = contexts[heads[:-1]]
+    first = np.searchsorted(heads, rows)
+    for start in range(0, len(rows) - 1, BATCH_ROWS):
+        stop = start + BATCH_ROWS + 1
+        at, head = rows[start:stop], first[start:stop]
+        columns = [pa.array(part[at[:-1]].astype(np.int32)), _blobs(contexts, head), _blobs(lengths, head)]
+        columns += [_blobs(words, at), _blobs(counts, at)]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "contexts", "lengths", "words", "counts"])
+
+
+def _dealt(words: np.ndarray, contexts: np.ndarray, hot: np.ndarray, parts: int) -> tuple[np.ndarray, ...]:
+    """(part, context, word, count) of the distinct pairs, in the order of part and context."""
+    pairs, counts, at = _summed(_pair(contexts, words))
+    words, contexts = words[at], contexts[at]
+    part = _part(contexts, pairs, hot, parts)
+    order = np.lexsort((contexts, part))
+    return part[order], contexts[order], words[order], counts[order].astype(np.uint32)
+
+
 def _count_pairs(hot: np.ndarray, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, contexts in _held(batches, FLUSH_TOKENS):
-            pairs, counts, at = _summed(_pair(contexts, words))
-            words, contexts = words[at], contexts[at]
-            part = _part(contexts, pairs, hot, parts)
-            order = np.lexsort((contexts, part))
-            part, words, contexts, counts = part[order], words[order], contexts[order], counts[order].astype(np.uint32)
-            edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            for start, stop in zip(edges, np.append(edges[1:], len(part))):
-                own = contexts[start:stop]
-                new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                lengths = np.diff(np.append(new, len(own))).astype(np.uint32)
-                blobs = [x.tobytes() for x in (own[new], lengths, words[start:stop], counts[start:stop])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(part[start])], pa.int32())] + [pa.array([b], pa.binary()) for b in blobs],
-                    names=["part", "contexts", "lengths", "words", "counts"],
-                )
+        hasher = WordHasher()
+        texts = (_sequences(hasher, part)[:2] for batch in batches for _, part in chunks(batch.column(0)))
+        for words, contexts in _held(texts, FLUSH_PAIRS):
+            yield from _rows(*_dealt(words, contexts, hot, parts))
 
     return run
 
@@ -133,69 +179,70 @@ def _narrow(counts: np.ndarray) -> np.ndarray:
     return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
 
 
+def _joined(pieces: list[np.ndarray]) -> np.ndarray:
+    """All pieces end to end; the list is emptied."""
+    out = np.concatenate(pieces)
+    pieces.clear()
+    return out
+
+
 def _store_pairs(folder: str, hot: np.ndarray):
-    def figures(part: int, blobs: list[tuple]) -> pa.RecordBatch:
-        contexts = np.concatenate([np.repeat(np.frombuffer(c, np.uint64), np.frombuffer(n, np.uint32)) for c, n, _, _ in blobs])
-        words = np.concatenate([np.frombuffer(w, np.uint64) for _, _, w, _ in blobs])
-        counts = np.concatenate([np.frombuffer(n, np.uint32) for _, _, _, n in blobs]).astype(np.int64)
+    def figures(part: int, *held: list[np.ndarray]) -> pa.RecordBatch:
+        contexts, words, counts = (_joined(x) for x in held)
         pairs, counts, at = _summed(_pair(contexts, words), counts)
-        contexts, words = contexts[at], words[at]
         _save(folder, f"pair-{part}", pairs)
         _save(folder, f"pair-n-{part}", _narrow(counts))
-        by_context, total, _ = _summed(contexts, counts)
-        once, twice, more = (_summed(contexts, m.astype(np.int64))[1] for m in (counts == 1, counts == 2, counts > 2))
+        del pairs
+        contexts, words = contexts[at], words[at]
+        order = np.argsort(contexts, kind="stable")
+        by_context, first = np.unique(contexts[order], return_index=True)
+        by_size = counts[order]
+        del contexts, at, order
+        total = np.add.reduceat(by_size, first)
+        once, twice, more = (np.add.reduceat(m, first, dtype=np.int64) for m in (by_size == 1, by_size == 2, by_size > 2))
+        del by_size
         spread = np.isin(by_context, hot)
         _save(folder, f"context-{part}", by_context[~spread])
         _save(folder, f"context-n-{part}", _narrow(np.stack([total, once, twice, more], 1)[~spread]))
-        known, kinds, _ = _summed(words)
-        times, n_times, _ = _summed(np.minimum(counts, 5).astype(np.uint64))
+        known, kinds = np.unique(words, return_counts=True)
+        times, n_times = np.unique(np.minimum(counts, 5), return_counts=True)
         n = spread.sum()
         kind = np.repeat([_WORD, _CONTEXT, _TIMES], [len(known), n, len(times)]).astype(np.int32)
         zeros = lambda k: np.zeros(k, np.int64)
-        columns = [np.concatenate([known.view(np.int64), by_context[spread].view(np.int64), times.view(np.int64)])]
+        columns = [np.concatenate([known.view(np.int64), by_context[spread].view(np.int64), times])]
         columns.append(np.concatenate([kinds, total[spread], n_times]))
         columns += [np.concatenate([zeros(len(known)), x[spread], zeros(len(times))]) for x in (once, twice, more)]
         return pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, columns)], names=["kind", "h", "a", "b", "c", "d"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, blobs = None, []
+        part, contexts, words, counts = None, [], [], []
         for batch in batches:
-            for part, *row in zip(*(batch.column(i) for i in range(5))):
-                part = part.as_py()
-                if part != now and blobs:
-                    yield figures(now, blobs)
-                    blobs = []
-                now = part
-                blobs.append(tuple(x.as_py() for x in row))
-        if blobs:
-            yield figures(now, blobs)
+            if batch.num_rows:
+                part = batch.column(0)[0].as_py()
+                contexts.append(np.repeat(_values(batch.column(1), np.uint64), _values(batch.column(2), np.uint8)))
+                words.append(_values(batch.column(3), np.uint64).copy())
+                counts.append(_values(batch.column(4), np.uint32).copy())
+        batch = None
+        if words:
+            yield figures(part, contexts, words, counts)
 
     return run
 
 
 def _store_words(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
-
-        def save() -> None:
-            table = pa.Table.from_batches(held)
-            keys = table.column("h").to_numpy().view(np.uint64)
-            order = np.argsort(keys)
-            _save(folder, f"word-{now}", keys[order])
-            both = np.stack([table.column("n").to_numpy(), table.column("kinds").to_numpy()], 1)
-            _save(folder, f"word-n-{now}", _narrow(both[order]))
-
+        part, held = None, ([], [], [])
         for batch in batches:
-            parts = np.asarray(batch.column("part"))
-            for start in np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(parts) else []:
-                stop = start + int((parts[start:] == parts[start]).argmin() or len(parts) - start)
-                if parts[start] != now and held:
-                    save()
-                    held = []
-                now = int(parts[start])
-                held.append(batch.slice(start, stop - start))
-        if held:
-            save()
+            if batch.num_rows:
+                part = batch.column(3)[0].as_py()
+                for i, own in enumerate(held):
+                    own.append(batch.column(i).to_numpy())
+        if held[0]:
+            keys, *both = (_joined(x) for x in held)
+            keys = keys.view(np.uint64)
+            order = np.argsort(keys)
+            _save(folder, f"word-{part}", keys[order])
+            _save(folder, f"word-n-{part}", _narrow(np.stack(both, 1)[order]))
         yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32())], names=["done"])
 
     return run
@@ -240,11 +287,12 @@ class Model:
     def _find(self, kind: str, keys: np.ndarray, part: np.ndarray, width: int) -> np.ndarray:
         """Rows of counts of sorted ``keys``, zeros where a key is unknown."""
         out = np.zeros((len(keys), width), np.int64)
-        for p in np.unique(part):
+        order = np.argsort(part.astype(np.min_scalar_type(self.parts + self.word_parts)), kind="stable")
+        found, first = np.unique(part[order], return_index=True)
+        for p, asked in zip(found, np.split(order, first[1:])):
             stored = self._array(f"{kind}-{p}")
             if stored is None or not len(stored):
                 continue
-            asked = np.flatnonzero(part == p)
             at = np.minimum(np.searchsorted(stored, keys[asked]), len(stored) - 1)
             hit = stored[at] == keys[asked]
             counts = self._array(f"{kind}-n-{p}")
@@ -254,7 +302,7 @@ class Model:
     def words(self, words: np.ndarray) -> np.ndarray:
         """(count, contexts before it) of each word."""
         keys, back = np.unique(words, return_inverse=True)
-        return self._find("word", keys, keys % np.uint64(self.word_parts), 2)[back]
+        return self._find("word", keys, keys.view(np.int64) % self.word_parts, 2)[back]
 
     def unigram(self, kinds: np.ndarray) -> np.ndarray:
         """Probability from the number of contexts, the rest shared by all words and the unknown one."""
@@ -297,7 +345,8 @@ def fit(texts: DataFrame, text: str = "text") -> Model:
 
     Words are runs without white space, A-Z lower-cased. A context with a large share of all
     tokens is dealt out over all parts; such contexts are at most four times the number
-    of parts. No task holds more than the pairs of one part, about ``PART_TOKENS`` tokens.
+    of parts. A part is a task of its own, which holds the pairs of about ``PART_TOKENS`` tokens
+    or ``PART_TYPES`` words.
     Only sums and the figures of hot contexts reach the driver."""
     spark = texts.sparkSession
     folder = local_folder(fresh_folder(spark, "bigrams"))
@@ -310,8 +359,7 @@ def fit(texts: DataFrame, text: str = "text") -> Model:
     pairs = column.mapInArrow(
         _count_pairs(hot, parts), "part int, contexts binary, lengths binary, words binary, counts binary"
     )
-    dealt = pairs.repartition(parts, "part").sortWithinPartitions("part")
-    figures = dealt.mapInArrow(_store_pairs(folder, hot), _FIGURES)
+    figures = pairs.repartitionById(parts, "part").mapInArrow(_store_pairs(folder, hot), _FIGURES)
     summed = written(
         figures.groupBy("kind", "h").agg(*[F.sum(c).alias(c) for c in "abcd"]), "figures"
     )
@@ -321,10 +369,9 @@ def fit(texts: DataFrame, text: str = "text") -> Model:
     for r in spread:
         hot_counts[np.searchsorted(hot, np.int64(r["h"]).view(np.uint64))] = [r[c] for c in "abcd"]
     before = summed.filter(F.col("kind") == _WORD).select("h", F.col("a").alias("kinds"))
-    word_parts = max(1, -(-types // PART_TOKENS))
-    low = F.conv(F.col("h").cast("string"), 10, 10)  # as unsigned
-    both = words.join(before, "h").withColumn("part", (low.cast("decimal(20,0)") % F.lit(word_parts)).cast("int"))
-    stored = both.repartition(word_parts, "part").sortWithinPartitions("part").mapInArrow(_store_words(folder), "done int")
+    word_parts = max(1, -(-types // PART_TYPES))
+    both = words.join(before, "h").withColumn("part", F.pmod("h", F.lit(word_parts)).cast("int"))
+    stored = both.repartitionById(word_parts, "part").mapInArrow(_store_words(folder), "done int")
     stored.write.format("noop").mode("overwrite").save()
     k = F.col("kinds")
     count = lambda test: F.coalesce(F.sum(F.when(test, 1)), F.lit(0))

@@ -1,7 +1,11 @@
 import math
+import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from lectern.llm import ngram_lm as lm
@@ -81,3 +85,51 @@ def test_only_mounted_folders():
     assert lm.local_folder("file:///a/b") == "/a/b"
     with pytest.raises(ValueError):
         lm.local_folder("hdfs://name/a")
+
+
+def test_many_parts(spark, monkeypatch):
+    """Parts and rows of every size: contexts over several rows, a pair of many times, empty parts."""
+    monkeypatch.setattr(lm, "PART_TOKENS", 2000)
+    monkeypatch.setattr(lm, "PART_TYPES", 100)
+    wide = " ".join(f"a w{i} b w{i % 70}" for i in range(1000))
+    texts = [wide, "again " * 70_000, None, "", *[f"rare{i} a w{i} c{i % 7}" for i in range(300)]]
+    model = check(spark, texts, [*texts, "a w3 never", "never a w3"])
+    assert model.parts > 30 and model.word_parts > 10
+
+
+@pytest.fixture(scope="module")
+def long_batch():
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60_000)]
+    texts = [" ".join(rng.choices(words, k=500)) for _ in range(4000)]
+    return pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+
+
+HOT = np.array([lm.BEGIN], np.uint64)
+
+
+def peak(run):
+    tracemalloc.start()
+    n = sum(out.num_rows for out in run)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n
+    return most
+
+
+def test_counting_holds_little_next_to_its_batch(long_batch):
+    assert peak(lm._count_words(iter([long_batch]))) < 64 << 20
+    assert peak(lm._count_pairs(HOT, 8)(iter([long_batch]))) < 80 << 20
+
+
+def test_a_batch_of_pairs_is_small(long_batch):
+    """Spark puts up to 10,000 rows in a batch, for the JVM and for Python."""
+    out = [*lm._count_pairs(HOT, 8)(iter([long_batch]))]
+    sizes = [sum(len(r[c]) for c in ("contexts", "lengths", "words", "counts")) for b in out for r in b.to_pylist()]
+    assert 10_000 * max(sizes) < 16 << 20
+
+
+def test_storing_a_part_holds_little(long_batch, tmp_path):
+    """A part of about ``PART_TOKENS`` tokens, in batches as Spark makes them."""
+    rows = pa.Table.from_batches([*lm._count_pairs(HOT, 1)(iter([long_batch]))]).combine_chunks()
+    assert peak(lm._store_pairs(str(tmp_path), HOT)(iter(rows.to_batches(10_000)))) < 190 << 20
