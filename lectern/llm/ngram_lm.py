@@ -179,6 +179,14 @@ def _narrow(counts: np.ndarray) -> np.ndarray:
     return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
 
 
+def _only(parts: pa.Array, known: int | None) -> int:
+    """The part of a task's rows; two parts in one task would end in one file."""
+    found = {*parts.unique().to_pylist(), *([] if known is None else [known])}
+    if len(found) > 1:
+        raise ValueError(f"one task got the parts {sorted(found)}")
+    return found.pop()
+
+
 def _joined(pieces: list[np.ndarray]) -> np.ndarray:
     """All pieces end to end; the list is emptied."""
     out = np.concatenate(pieces)
@@ -218,7 +226,7 @@ def _store_pairs(folder: str, hot: np.ndarray):
         part, contexts, words, counts = None, [], [], []
         for batch in batches:
             if batch.num_rows:
-                part = batch.column(0)[0].as_py()
+                part = _only(batch.column(0), part)
                 contexts.append(np.repeat(_values(batch.column(1), np.uint64), _values(batch.column(2), np.uint8)))
                 words.append(_values(batch.column(3), np.uint64).copy())
                 counts.append(_values(batch.column(4), np.uint32).copy())
@@ -234,7 +242,7 @@ def _store_words(folder: str):
         part, held = None, ([], [], [])
         for batch in batches:
             if batch.num_rows:
-                part = batch.column(3)[0].as_py()
+                part = _only(batch.column(3), part)
                 for i, own in enumerate(held):
                     own.append(batch.column(i).to_numpy())
         if held[0]:
@@ -281,7 +289,7 @@ class Model:
         if name not in self._open:
             path = f"{self.folder}/{name}.npy"
             mapped = os.path.exists(path) and os.path.getsize(path) > 128
-            self._open[name] = np.load(path, mmap_mode="r") if mapped else None
+            self._open[name] = np.asarray(np.load(path, mmap_mode="r")) if mapped else None
         return self._open[name]
 
     def _find(self, kind: str, keys: np.ndarray, part: np.ndarray, width: int) -> np.ndarray:

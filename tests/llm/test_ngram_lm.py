@@ -133,3 +133,11 @@ def test_storing_a_part_holds_little(long_batch, tmp_path):
     """A part of about ``PART_TOKENS`` tokens, in batches as Spark makes them."""
     rows = pa.Table.from_batches([*lm._count_pairs(HOT, 1)(iter([long_batch]))]).combine_chunks()
     assert peak(lm._store_pairs(str(tmp_path), HOT)(iter(rows.to_batches(10_000)))) < 190 << 20
+
+
+def test_parts_never_share_a_task(long_batch, tmp_path):
+    with pytest.raises(ValueError, match="parts"):
+        [*lm._store_pairs(str(tmp_path), HOT)(lm._count_pairs(HOT, 2)(iter([long_batch])))]
+    words = pa.RecordBatch.from_pydict({"h": [1, 2], "n": [1, 1], "kinds": [1, 1], "part": pa.array([0, 1], pa.int32())})
+    with pytest.raises(ValueError, match="parts"):
+        [*lm._store_words(str(tmp_path))(iter([words]))]
