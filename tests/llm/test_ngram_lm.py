@@ -132,7 +132,7 @@ def test_a_batch_of_pairs_is_small(long_batch):
 def test_storing_a_part_holds_little(long_batch, tmp_path):
     """A part of about ``PART_TOKENS`` tokens, in batches as Spark makes them."""
     rows = pa.Table.from_batches([*lm._count_pairs(HOT, 1)(iter([long_batch]))]).combine_chunks()
-    assert peak(lm._store_pairs(str(tmp_path), HOT)(iter(rows.to_batches(10_000)))) < 190 << 20
+    assert peak(lm._store_pairs(str(tmp_path), HOT)(iter(rows.to_batches(10_000)))) < 165 << 20
 
 
 def test_parts_never_share_a_task(long_batch, tmp_path):
