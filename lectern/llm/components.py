@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.tables import drop, written
+from lectern.llm.tables import arrow_map, drop, written
 
 _HELD_EDGES = 1 << 20
 
@@ -63,7 +63,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def contracted(edges: DataFrame) -> DataFrame:
     """Edges (a, b) with the same components, as stars of what each task connects. Its centre is tied to itself."""
-    return edges.select("a", "b").filter("a <> b").mapInArrow(_forest, "a long, b long")
+    return arrow_map(edges.select("a", "b").filter("a <> b"), _forest, "a long, b long")
 
 
 def rough_classes(edges: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.kernels import BASE, BASE_INVERSE, ASCII_LOWER, WordHasher, powers, chunks, windows
-from lectern.llm.tables import written
+from lectern.llm.tables import arrow_map, written
 
 # a token is a run of ASCII letters and digits and of all that is not ASCII
 SEPARATORS = np.ones(256, bool)
@@ -209,7 +209,7 @@ def contaminated(
         rows = items.filter(block_of == block).collect()
         texts = pc.utf8_lower(pa.array([r["text"] or "" for r in rows], pa.string()))
         seeds = Seeds([(rows[i]["item_id"], tokens) for i, tokens in hasher(texts)], least)
-        found = own.mapInArrow(_search(seeds, least, share), MATCH)
+        found = arrow_map(own, _search(seeds, least, share), MATCH)
         if n_blocks > 1:  # written before the next block is read, so that the driver holds one
             found = written(found, "matches")
         result = found if result is None else result.unionByName(found)

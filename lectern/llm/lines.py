@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.kernels import chunks
-from lectern.llm.tables import drop, settled, written
+from lectern.llm.tables import arrow_map, drop, settled, written
 from lectern.operators.sizing import fits_broadcast
 
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -155,14 +155,15 @@ def keep_bitmaps(
     A line in a third of all documents is spread over tasks, since the document is
     part of the range key. A run that reaches the edge of an Arrow batch is settled
     afterwards, from one summary row per batch."""
-    rows = docs.select(
+    own = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.col(text).alias("text"), body_key(text).alias("body")
-    ).mapInArrow(_line_rows(min_chars), _LINE)
+    )
+    rows = arrow_map(own, _line_rows(min_chars), _LINE)
     order = [F.col("h1"), F.col("h2"), F.col("doc").desc()]
     # finding the ranges reads all hashes once more, which should not split all texts again
     hashed = written(rows, "line-hashes")
     ordered = hashed.repartitionByRange(*order).sortWithinPartitions(*order)
-    streamed = written(ordered.mapInArrow(_stream_runs(min_docs), _STREAMED), "line-runs")
+    streamed = written(arrow_map(ordered, _stream_runs(min_docs), _STREAMED), "line-runs")
     drop(hashed)
     line = ["doc", "body", "n_lines", "places"]
     known = (
@@ -184,7 +185,7 @@ def keep_bitmaps(
     by_doc = lost.groupBy("doc", "body").agg(
         F.max("n_lines").alias("n_lines"), F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")
     )
-    return by_doc.mapInArrow(_bitmaps, "doc long, body long, n_lines int, n_dropped int, keep binary")
+    return arrow_map(by_doc, _bitmaps, "doc long, body long, n_lines int, n_dropped int, keep binary")
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +230,7 @@ def drop_repeated_lines(
     )
     joined = keyed.join(maps, ["_doc", "_body"], "left").select("_row", "_text", "_keep")
     schema = joined.drop("_keep").withColumns({"_total": F.lit(0).cast("long"), "_lost": F.lit(0).cast("long")}).schema
-    applied = joined.mapInArrow(_apply, schema)
+    applied = arrow_map(joined, _apply, schema)
     out = [F.col("_text").alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns]
     if totals:
         out += [F.col("_total").alias(totals[0]), F.col("_lost").alias(totals[1])]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from lectern.llm.components import components, rough_classes
 from lectern.llm.kernels import WordHasher, chunks, digest, mix, windows
 from lectern.llm.lines import body_key
-from lectern.llm.tables import drop, settled, written
+from lectern.llm.tables import arrow_map, drop, settled, written
 from lectern.operators.sizing import fits_broadcast
 
 _SIGNED = "doc_id long, d1 long, d2 long, n_shingles long, bands array<long>"
@@ -236,7 +236,7 @@ def _links(buckets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     asked = written(rows.select("doc_id").distinct(), "asked")
     # few ids go to the texts, which then do not move
     asked = F.broadcast(asked) if fits_broadcast(asked) else asked
-    sets = written(docs.join(asked, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(k), _SETS), "shingles")
+    sets = written(arrow_map(docs.join(asked, "doc_id", "left_semi").select("doc_id", "text"), _sets(k), _SETS), "shingles")
     met: DataFrame | None = None
     for salts in (_BAND_PIVOTS, _PREFIX_PIVOTS, None):
         pairs = _meet(rows, salts, percent)
@@ -283,7 +283,7 @@ def near_duplicates(
     ``component_id`` and kept. Extra columns are not carried; an empty table gives an
     empty result."""
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = written(own.mapInArrow(_sign(k, bands, rows), _SIGNED), "signatures")
+    signed = written(arrow_map(own, _sign(k, bands, rows), _SIGNED), "signatures")
     classes = settled(lambda: _classes(signed.filter("n_shingles > 0 and doc_id is not null"), own, k, percent), "classes")
     out = signed.select("doc_id", "n_shingles").join(classes, "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")

@@ -15,10 +15,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from lectern.llm.kernels import chunks, mix
-from lectern.llm.tables import written
+from lectern.llm.tables import arrow_map, written
 
 BUCKETS, DIMENSIONS, BITS = 256, 4, 12
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 1 << 20
 RANGE_TOKENS = 4 << 20
 
 PIECE = (
@@ -157,11 +157,10 @@ def pack(
     id is part of the range key. Repeated rows are packed as often as they occur; an
     empty table gives an empty result. There is a range for each ``RANGE_TOKENS`` tokens, so that none grows with
     the input. Memory: an Arrow batch and its pieces."""
-    tokens = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        _tokenise(ranks_path, pattern, end_id), "doc_id long, key long, n long, ids binary"
-    )
+    own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    tokens = arrow_map(own, _tokenise(ranks_path, pattern, end_id), "doc_id long, key long, n long, ids binary")
     # finding the ranges reads all keys once more, which should not tokenise all texts again
     keyed = written(tokens, "tokens").withColumn("h", F.xxhash64("ids"))
     ranges = max(1, -(-(keyed.agg(F.sum("n")).first()[0] or 0) // RANGE_TOKENS))
     ordered = keyed.repartitionByRange(ranges, "key", "doc_id").sortWithinPartitions("key", "doc_id", "n", "h")
-    return ordered.select("doc_id", "ids").mapInArrow(_cut(length), PIECE)
+    return arrow_map(ordered.select("doc_id", "ids"), _cut(length), PIECE)
