@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lectern.functions.text import whitespace_tokens
 from lectern.operators import sparse, terms
 from lectern.operators.blocks import posting_blocks
+from lectern.operators.corpus import dedup_in_order
 from lectern.sources.index_store import TableStore
 
 ALL = 1 << 30
@@ -118,3 +119,13 @@ def test_blocks_are_those_of_the_weights(spark):
 
     made = plain(terms.coded_blocks(index._coded(), index._codes, 2))
     assert made == plain(posting_blocks(index.weights.withColumnRenamed("w", "impact"), 2)) and max(b[2] for b in made) > 0
+
+
+def test_texts_move_once_to_meet_their_number(spark):
+    rows = [(7, "b"), (7, "b"), (7, "a"), (3, None), (3, None), (9, "a"), (12, "c"), (1, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = dedup_in_order(docs)
+    assert [r.text for r in found.orderBy("pid").collect()][:2] == ["c", None]
+    assert sorted(map(tuple, found.collect()))[2:] in ([(2, "a"), (3, "b")], [(2, "b"), (3, "a")])
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", found._jdf.queryExecution().executedPlan().toString())
+    assert not any("pid#" in keys for keys in moved)
