@@ -121,6 +121,26 @@ def test_blocks_are_those_of_the_weights(spark):
     assert made == plain(posting_blocks(index.weights.withColumnRenamed("w", "impact"), 2)) and max(b[2] for b in made) > 0
 
 
+def test_postings_are_stored_once_and_meet_their_weights_in_place(spark, tmp_path):
+    texts = texts_of(40, 3)
+    passages = corpus(spark, texts)
+    tables = sparse.IndexTables(TableStore(spark, str(tmp_path)), {"corpus": "twice"}, buckets=3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for cap in (ALL, 6):
+            index = sparse.TfidfIndex(passages, max_features=cap, with_bigrams=False, tables=tables)
+            kept = {r.term for r in index.vocabulary.collect()}
+            want = Counter((pid, w) for pid, t in enumerate(texts) for w in (t or "").lower().split() if w in kept)
+            got = index.known_postings()
+            assert {(r.pid, r.term): r.tf for r in got.collect()} == want
+            assert {r.dl for r in got.filter("pid = 3").collect()} == {28}
+            assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(p.name.startswith("tfidf_posting") and p.is_dir() for p in (tmp_path / "tables").iterdir()) == 1
+
+
 def test_texts_move_once_to_meet_their_number(spark):
     rows = [(7, "b"), (7, "b"), (7, "a"), (3, None), (3, None), (9, "a"), (12, "c"), (1, "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
